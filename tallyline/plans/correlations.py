@@ -9,6 +9,7 @@ from tallyline.functions.text import UNMATCHED
 from tallyline.operators.counting import guarded_ratio, share_of_total
 from tallyline.operators.keys import first_per_key, usable_key
 from tallyline.operators.stats import correlation_rows
+from tallyline.session import materialise
 
 # Names of the two correlations.
 VIOLENCE_ARREST = "violence_rate_vs_arrest_rate_by_district"
@@ -47,9 +48,13 @@ def offender_metrics(cases: DataFrame, density: DataFrame) -> DataFrame:
 
 
 def correlations(incidents: DataFrame, outcomes: DataFrame, victims: DataFrame, density: DataFrame) -> DataFrame:
-    """Long-form rows of both correlations."""
-    cases = area_cases(incidents, outcomes)
-    first = area_metrics(cases, victims)
+    """Long-form rows of both correlations.
+
+    The metrics are one row per area; they are kept, because the rows and the
+    scalar beside them read the same table.
+    """
+    cases = materialise(area_cases(incidents, outcomes))
+    first = materialise(area_metrics(cases, victims))
     second = offender_metrics(cases, density)
     return correlation_rows(first, VIOLENCE_ARREST, "district", "violence_rate", "arrest_rate").unionByName(
         correlation_rows(second, OFFENDER_CRIME, "district", "offender_density", "crime_rate")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.text import MISSING_BLOCK, UNMATCHED, area_code, text_key
 from tallyline.operators.counting import positive_total
 from tallyline.operators.keys import first_per_key, look_up, most_frequent, rank_in_order
+from tallyline.session import materialise
 
 # Labels shown for missing names.
 NAME_UNAVAILABLE = "District name unavailable"
@@ -40,8 +41,11 @@ def area_counts(registry: DataFrame, incidents: DataFrame) -> DataFrame:
 
 
 def sex_offender_density(registry: DataFrame, dimension: DataFrame, incidents: DataFrame) -> DataFrame:
-    """Ranked areas with their names, and one unranked row for the unmatched."""
-    counts = area_counts(registry, incidents)
+    """Ranked areas with their names, and one unranked row for the unmatched.
+
+    The counts, one row per area, are kept once and read for both parts.
+    """
+    counts = materialise(area_counts(registry, incidents))
     found = counts.where(F.col("district").isNotNull())
     ranked = rank_in_order(found, [F.desc("offender_count"), F.asc("district")], "density_rank")
 

@@ -6,6 +6,7 @@ commit: it is appended last, and readers only look at completed runs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -41,17 +42,18 @@ class RunStore:
     def _path(self, table: str, staged: bool) -> str:
         return f"{self.root}/{'staging' if staged else 'final'}/{table}"
 
-    def _replace(self, df: DataFrame, table: str, staged: bool) -> int:
-        """Overwrite the partition of the run in hand; the row count comes with the write."""
+    def _replace(self, df: DataFrame, table: str, run_id: str, staged: bool) -> int:
+        """Overwrite the partition of one run; the row count comes with the write."""
+        if not re.fullmatch(r"[0-9A-Za-z_.-]+", run_id):
+            raise ValueError(f"run id is not usable as a folder name: {run_id!r}")
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("run_id").parquet(self._path(table, staged))
+        counted.drop("run_id").write.mode("overwrite").parquet(f"{self._path(table, staged)}/run_id={run_id}")
         return int(seen.get["rows"])
 
     def stage(self, df: DataFrame, table: str, run_id: str) -> int:
         """Write a result to its staging table; the run's earlier rows there go."""
-        return self._replace(conform(df, table, run_id), table, staged=True)
+        return self._replace(conform(df, table, run_id), table, run_id, staged=True)
 
     def read(self, table: str, staged: bool = False) -> DataFrame:
         """All runs of a table; empty with the right columns before the first write."""
@@ -63,10 +65,8 @@ class RunStore:
         names = list(tables)
         for table in names:
             columns_of(table)
-        return {
-            table: self._replace(self.read(table, staged=True).where(F.col("run_id") == run_id), table, False)
-            for table in names
-        }
+        staged = {table: self.read(table, staged=True).where(F.col("run_id") == run_id) for table in names}
+        return {table: self._replace(rows, table, run_id, staged=False) for table, rows in staged.items()}
 
     def mark(self, run_id: str, job_name: str, status: str, message: str = "") -> None:
         """Append one state of a run."""

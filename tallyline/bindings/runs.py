@@ -1,0 +1,147 @@
+"""The run protocol: results of the tables, staged and published in a scratch store."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyline.bindings.batch import CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, density_rows, rounded, trends_sql
+from tallyline.bindings.registry import query
+from tallyline.bindings.tables import SIZE, VICTIM_KEYWORD, incidents, outcomes, stamp, table, victims
+from tallyline.operators import clusters
+from tallyline.plans import contracts, correlations, incidents as incident_plan, outcomes as outcome_plan
+from tallyline.plans.runs import COMPLETED, FAILED, RUNNING, RunStore, ledger_state, row_counts
+from tallyline.plans.trends import crime_trends
+from tallyline.serving import reads
+from tallyline.session import scratch_path
+
+OLD, NEW, BROKEN, OPEN = (f"batch_2024010{day}_000000" for day in (1, 2, 3, 4))
+JOB = "tables"
+
+def _result(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
+    """A result table; the older run saw only the finished orders."""
+    cases = incidents(spark, folder)
+    if run == OLD:
+        cases = cases.where(F.col("status") == "F")
+    if name == "crime_trends":
+        return crime_trends(cases)
+    if name == "arrest_rates":
+        return outcome_plan.arrest_rates(cases, outcomes(spark, folder))
+    if name == "violence_stats":
+        return incident_plan.violence_stats(victims(spark, folder), VICTIM_KEYWORD)
+    if name == "sex_offender_density":
+        return density_rows(spark, folder)
+    if name == "hotspots":
+        lines = table(spark, folder, "lineitem")
+        return clusters.hotspots(clusters.valid_points(lines, F.col("l_discount"), F.col("l_tax")))
+    return correlations.correlations(cases, outcomes(spark, folder), victims(spark, folder), density_rows(spark, folder))
+
+
+@lru_cache(maxsize=None)
+def _store(application: str, folder: str) -> RunStore:
+    """A store with two completed runs, a failed and an open one; tables come on demand."""
+    spark = SparkSession.getActiveSession()
+    store = RunStore(spark, scratch_path(spark, "runs"))
+    for run, end in ((OLD, COMPLETED), (NEW, COMPLETED), (BROKEN, FAILED), (OPEN, None)):
+        store.mark(run, JOB, RUNNING, "started")
+        if end:
+            store.mark(run, JOB, end, "finished" if end == COMPLETED else "out of space")
+    return store
+
+
+@lru_cache(maxsize=None)
+def _publish(application: str, folder: str, name: str) -> None:
+    spark = SparkSession.getActiveSession()
+    store = _store(application, folder)
+    runs = (OLD, NEW) if name in ("crime_trends", "arrest_rates") else (NEW,)
+    for run in runs:
+        store.stage(_result(spark, folder, name, run), name, run)
+        store.publish(run, [name])
+
+
+def published(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Rows of the newest completed run of a table, through staging and publish."""
+    application = spark.sparkContext.applicationId
+    _publish(application, folder, name)
+    store = _store(application, folder)
+    return reads.of_latest_run(store.read(name), ledger_state(store.ledger()))
+
+
+@query(
+    "staged_publish",
+    f"""SELECT '{OLD}' AS run_id, * FROM ({trends_sql("(SELECT * FROM orders WHERE o_orderstatus = 'F')", "o_orderdate")})
+        UNION ALL SELECT '{NEW}', * FROM ({trends_sql("orders", "o_orderdate")})""",
+)
+def staged_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """Both runs, each staged twice: the second time replaces the first."""
+    store = RunStore(spark, scratch_path(spark, "publish"))
+    for run in (OLD, NEW):
+        result = _result(spark, folder, "crime_trends", run)
+        store.stage(result, "crime_trends", run)
+        store.stage(result, "crime_trends", run)
+        store.publish(run, ["crime_trends"])
+        store.publish(run, ["crime_trends"])
+    return store.read("crime_trends")
+
+
+@query(
+    "run_row_counts",
+    f"""
+    SELECT 'crime_trends' AS table_name, count(*) AS row_count FROM ({trends_sql("orders", "o_orderdate")})
+    UNION ALL SELECT 'arrest_rates', count(*) FROM ({RATE_ROWS})
+    UNION ALL SELECT 'violence_stats', count(*) FROM (SELECT * FROM ({STATS_DETAIL}) UNION ALL SELECT * FROM ({STATS_TOP}))
+    UNION ALL SELECT 'sex_offender_density', count(*) FROM (WITH {DENSITY} SELECT * FROM density)
+    UNION ALL SELECT 'hotspots', least(10, count(*)) FROM (SELECT DISTINCT l_discount, l_tax FROM lineitem WHERE l_discount <> 0 AND l_tax <> 0)
+    UNION ALL SELECT 'correlations', count(*) FROM ({CORRELATIONS})
+    """,
+)
+def run_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    for name in contracts.RESULT_TABLES:
+        published(spark, folder, name)
+    return row_counts(_store(spark.sparkContext.applicationId, folder), NEW)
+
+
+@query(
+    "trend_check",
+    f"""SELECT trend_type, count(*) AS rows, CAST(sum(crime_count) AS BIGINT) AS total_count
+        FROM ({trends_sql("orders", "o_orderdate")}) GROUP BY 1""",
+)
+def trend_check(spark: SparkSession, folder: str) -> DataFrame:
+    return reads.trend_check(published(spark, folder, "crime_trends"))
+
+
+def order_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order as a run: begun on its date, ended by its status."""
+    orders = table(spark, folder, "orders")
+    begun = F.col("o_orderdate").cast("timestamp")
+    end = F.when(F.col("o_orderstatus") == "F", COMPLETED).when(F.col("o_orderstatus") == "O", FAILED)
+    ended = F.timestamp_seconds(F.unix_seconds(begun) + F.col("o_custkey"))
+    states = F.array(
+        F.struct(F.lit(RUNNING).alias("status"), F.lit(0).alias("seq"), begun.alias("at"), F.lit("started").alias("message")),
+        F.struct(end.alias("status"), F.lit(1).alias("seq"), ended.alias("at"), F.col("o_orderpriority").alias("message")),
+    )
+    rows = orders.select(
+        F.concat(F.lit("batch_"), F.col("o_orderkey").cast("string")).alias("run_id"),
+        F.lit(JOB).alias("job_name"),
+        F.inline(states),
+    )
+    return rows.where(F.col("status").isNotNull())
+
+
+ORDER_RUNS = f"""
+    SELECT 'batch_' || CAST(o_orderkey AS VARCHAR) AS run_id, '{JOB}' AS job_name,
+           CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'failed' ELSE 'running' END AS status,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS started_at,
+           CASE WHEN o_orderstatus IN ('F', 'O') THEN strftime(o_orderdate + to_seconds(o_custkey), '%Y-%m-%d %H:%M:%S') END AS finished_at,
+           CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + to_seconds(o_custkey), '%Y-%m-%d %H:%M:%S') END AS last_successful_run,
+           CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderpriority ELSE 'started' END AS message
+    FROM orders
+"""
+
+
+@query("run_ledger_state", ORDER_RUNS)
+def run_ledger_state(spark: SparkSession, folder: str) -> DataFrame:
+    states = ledger_state(order_ledger(spark, folder))
+    return states.withColumns({c: stamp(c) for c in ("started_at", "finished_at", "last_successful_run")})

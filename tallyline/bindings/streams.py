@@ -1,0 +1,271 @@
+"""The speed layer: emits, alerts and their sinks, in batch and as real streams."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyline.bindings.registry import query
+from tallyline.bindings.scalars import HOPS
+from tallyline.bindings.tables import (
+    EVENT_FIELDS, MINIMA, SIZE, SLIDE, THRESHOLD, emits_sql, event_lines, stamp, table,
+)
+from tallyline.operators import trailing
+from tallyline.serving import reads
+from tallyline.session import scratch_path
+from tallyline.sources import events
+from tallyline.sources.records import to_parquet
+from tallyline.streaming import alerts, sinks, windows
+
+
+def emitted(spark: SparkSession, folder: str) -> DataFrame:
+    """Throttled trailing windows of the events, one key per event type."""
+    seconds = trailing.per_second(table(spark, folder, "events"), "event_type", "ts", "event_id")
+    return trailing.trailing_emits(seconds, SIZE, SLIDE)
+
+
+def anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """The emitted windows as anomaly records."""
+    return alerts.anomaly_rows(emitted(spark, folder), "key", MINIMA, THRESHOLD)
+
+
+EMITS = f"WITH RECURSIVE {emits_sql()} SELECT district AS key, window_start, window_end, first_id, event_count FROM emits"
+ANOMALIES = f"""
+    WITH RECURSIVE {emits_sql()}
+    SELECT district, window_start, window_end, event_count, CAST({THRESHOLD} AS BIGINT) AS threshold_value, severity FROM emits
+"""
+
+
+def _alerts_sql(source: str = "stream", threshold: str = "threshold_value") -> str:
+    return f"""
+    WITH RECURSIVE {emits_sql()}
+    SELECT alert_id, district, strftime(make_timestamp(window_start * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(make_timestamp(window_end * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end, event_count,
+           CAST({THRESHOLD} AS BIGINT) AS {threshold}, severity,
+           'Crime spike detected in district ' || district AS message, '{source}' AS source
+    FROM emits WHERE severity IS NOT NULL
+    """
+
+
+def _shown(rows: DataFrame) -> DataFrame:
+    """Without the time of writing, which no two runs share."""
+    kept = rows.drop("alert_timestamp", "timestamp", "updated_at")
+    return kept.withColumns({c: stamp(c) for c in ("window_start", "window_end") if c in kept.columns})
+
+
+@query("trailing_emits", EMITS)
+def trailing_emits(spark: SparkSession, folder: str) -> DataFrame:
+    return emitted(spark, folder)
+
+
+@query("anomaly_rows", ANOMALIES)
+def anomaly_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return anomalies(spark, folder)
+
+
+@query("alert_rows", _alerts_sql())
+def alert_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(alerts.alert_rows(anomalies(spark, folder)))
+
+
+@lru_cache(maxsize=None)
+def _live(application: str, folder: str) -> sinks.AlertStore:
+    """All anomalies saved in one batch, then once more: a replay changes nothing."""
+    spark = SparkSession.getActiveSession()
+    store = sinks.AlertStore(spark, scratch_path(spark, "live"))
+    rows = to_parquet(anomalies(spark, folder), scratch_path(spark, "anomalies"))
+    for _ in range(2):
+        store.save(rows, 0)
+    return store
+
+
+def live(spark: SparkSession, folder: str) -> sinks.AlertStore:
+    return _live(spark.sparkContext.applicationId, folder)
+
+
+def _like_counts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "district string, window_start timestamp, window_end timestamp, event_count long, updated_at timestamp")
+
+
+def _like_alerts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [],
+        "alert_id string, district string, alert_timestamp timestamp, window_start timestamp, window_end timestamp, "
+        "event_count long, threshold_value long, severity string, message string, source string",
+    )
+
+
+@query("alert_documents", _alerts_sql(threshold="threshold"))
+def alert_documents(spark: SparkSession, folder: str) -> DataFrame:
+    store = live(spark, folder)
+    return _shown(store.documents.latest(alerts.alert_documents(_like_alerts(spark))))
+
+
+@query("serve_live_alerts", f"SELECT * EXCLUDE (window_start, window_end, source) FROM ({_alerts_sql()}) ORDER BY window_end DESC, alert_id LIMIT 100")
+def serve_live_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(reads.live_alerts(live(spark, folder).alerts.latest(_like_alerts(spark)), 100))
+
+
+COUNTS = f"""
+    WITH RECURSIVE {emits_sql()}
+    SELECT district, strftime(make_timestamp(window_start * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(make_timestamp(window_end * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end, event_count FROM emits
+"""
+
+
+@query("serve_live_counts", f"SELECT * FROM ({COUNTS}) ORDER BY window_end DESC, district, window_start LIMIT 100")
+def serve_live_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(reads.live_counts(live(spark, folder).counts.latest(_like_counts(spark))))
+
+
+def _thirds(rows: DataFrame, ident: str, top: DataFrame) -> DataFrame:
+    """Each row's batch: the lower, middle or upper third of the ids."""
+    return rows.withColumn("batch", F.least(F.floor(F.col(ident) * 3 / (top.scalar() + 1)), F.lit(2)).cast("int"))
+
+
+BATCH_OF = "CAST(floor(event_id * 3 / ((SELECT max(event_id) FROM events) + 1)) AS INTEGER)"
+
+
+@query(
+    "upsert_latest",
+    f"""
+    SELECT event_type AS district, strftime(make_timestamp(s * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(make_timestamp((s + 86400) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end, event_count
+    FROM (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) // 86400 * 86400 AS s, {BATCH_OF} AS batch, count(*) AS event_count,
+                 max({BATCH_OF}) OVER (PARTITION BY event_type, CAST(floor(epoch(ts)) AS BIGINT) // 86400 * 86400) AS last_batch
+          FROM events GROUP BY 1, 2, 3)
+    WHERE batch = last_batch
+    """,
+)
+def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily counts in three batches; the last one to have a window wins it."""
+    rows = table(spark, folder, "events")
+    placed = _thirds(rows, "event_id", rows.agg(F.max("event_id").alias("m")))
+    day = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 86400) * 86400
+    counts = placed.groupBy("batch", F.col("event_type").alias("district"), day.alias("s")).agg(F.count(F.lit(1)).alias("event_count"))
+    shaped = counts.select(
+        "batch", "district", F.timestamp_seconds("s").alias("window_start"),
+        F.timestamp_seconds(F.col("s") + 86400).alias("window_end"), "event_count", F.current_timestamp().alias("updated_at"),
+    )
+    target = sinks.BatchTable(spark, scratch_path(spark, "upsert"), ("district", "window_start", "window_end"), "window_end")
+    kept = to_parquet(shaped, scratch_path(spark, "counts"))
+    for batch in (0, 1, 1, 2, 0):
+        target.upsert(kept.where(F.col("batch") == batch).drop("batch"), batch)
+    return _shown(target.latest(_like_counts(spark)))
+
+
+@query(
+    "insert_if_absent",
+    f"""
+    SELECT alert_id, arg_min(source, batch) AS source, CAST(min(batch) AS INTEGER) AS batch FROM (
+        SELECT event_type || '_' || strftime(ts, '%Y%m%dT%H') AS alert_id, {BATCH_OF} AS batch, 'batch_' || {BATCH_OF} AS source
+        FROM events)
+    GROUP BY alert_id
+    """,
+)
+def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts per type and hour in three batches, rows doubled; the first one stays."""
+    rows = table(spark, folder, "events")
+    placed = _thirds(rows, "event_id", rows.agg(F.max("event_id").alias("m")))
+    made = placed.select(
+        F.concat_ws("_", "event_type", F.date_format("ts", "yyyyMMdd'T'HH")).alias("alert_id"),
+        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("window_end"),
+        F.concat(F.lit("batch_"), F.col("batch").cast("string")).alias("source"),
+        "batch",
+    )
+    kept = to_parquet(made, scratch_path(spark, "made"))
+    target = sinks.BatchTable(spark, scratch_path(spark, "alerts"), ("alert_id",), "window_end")
+    for batch in (0, 1, 1, 2):
+        part = kept.where(F.col("batch") == batch)
+        target.insert_absent(part.unionAll(part), batch)
+    return target.stored(kept).select("alert_id", "source", "batch")
+
+
+@query(
+    "raw_log_retention",
+    """
+    SELECT event_type || '_' || strftime(ts, '%Y-%m-%dT%H:%M:%S') AS event_id, event_type, value AS latitude
+    FROM events WHERE date_trunc('second', ts) >= (SELECT max(date_trunc('second', ts)) FROM events) - INTERVAL 1 DAY
+    """,
+)
+def raw_log_retention(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = events.accepted(events.parse_events(event_lines(spark, folder), EVENT_FIELDS)).drop("event_id")
+    log = events.raw_documents(parsed, events.event_time(F.col("date")), "event_type", "date")
+    kept = to_parquet(log, scratch_path(spark, "raw-log"))
+    newest = kept.agg(F.max("ingested_at").alias("now")).scalar()
+    return events.retained(kept, newest).select("event_id", "event_type", "latitude")
+
+
+@query(
+    "stream_summary",
+    f"""
+    WITH RECURSIVE good AS (SELECT * FROM events WHERE event_id % 50 > 3), {emits_sql("good")}
+    SELECT (SELECT count(*) FROM events) AS rows_processed, (SELECT count(*) FROM events WHERE event_id % 50 <= 3) AS rows_rejected,
+           (SELECT count(*) FROM emits) AS windows_emitted, (SELECT count(severity) FROM emits) AS anomalies_detected
+    """,
+)
+def stream_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged input: what was taken, refused, emitted and raised; records also go out as JSON lines."""
+    parsed = events.parse_events(event_lines(spark, folder, broken=True), EVENT_FIELDS)
+    good = timed(events.accepted(parsed))
+    seconds = trailing.per_second(good, "event_type", "moment", "event_id")
+    rows = alerts.anomaly_rows(trailing.trailing_emits(seconds, SIZE, SLIDE), "key", MINIMA, THRESHOLD)
+    path = scratch_path(spark, "anomalies")
+    rows.write.json(path)
+    shape = "district string, window_start long, window_end long, event_count long, threshold_value long, severity string"
+    return alerts.stream_summary(parsed, spark.read.schema(shape).json(path))
+
+
+def timed(accepted: DataFrame) -> DataFrame:
+    """Accepted events with their event time and a numeric id."""
+    return accepted.withColumns(
+        {"moment": events.event_time(F.col("date")), "event_id": F.col("event_id").cast("long")}
+    )
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream of JSON lines from files."""
+    path = scratch_path(spark, "topic")
+    events.publish(event_lines(spark, folder), "text", path)
+    lines = events.read_event_stream(spark, "text", path, maxFilesPerTrigger="64")
+    return timed(events.accepted(events.parse_events(lines, EVENT_FIELDS)))
+
+
+@query(
+    "stream_hop_counts",
+    f"""
+    SELECT event_type, strftime(make_timestamp(start_s * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(make_timestamp((start_s + {SIZE}) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end, event_count
+    FROM ({HOPS})
+    """,
+)
+def stream_hop_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Event-time windows on a stream, updates upserted batch by batch."""
+    counts = windows.hop_stream(event_stream(spark, folder), "event_type", "moment", SIZE, SLIDE, "60 days")
+    target = sinks.BatchTable(spark, scratch_path(spark, "hops"), ("event_type", "window_start", "window_end"), "window_start")
+    running = sinks.start_batches(counts, target.upsert, scratch_path(spark, "checkpoint"), "update")
+    running.awaitTermination()
+    shape = spark.createDataFrame([], "event_type string, window_start timestamp, window_end timestamp, event_count long")
+    return _shown(target.latest(shape))
+
+
+@query("stream_alerts", _alerts_sql())
+def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole speed layer on a stream: parse, keyed trailing counter, bands, sinks."""
+    emits = windows.trailing_stream(event_stream(spark, folder), "event_type", "moment", "event_id", SIZE, SLIDE)
+    store = sinks.AlertStore(spark, scratch_path(spark, "alerts"))
+    running = sinks.start_alerts(emits, store, scratch_path(spark, "checkpoint"), minima=MINIMA, threshold=THRESHOLD)
+    running.awaitTermination()
+    return _shown(store.alerts.latest(_like_alerts(spark)))
+
+
+@query("stream_counts", COUNTS)
+def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The live counts the same stream writes: one per emitted window."""
+    emits = windows.trailing_stream(event_stream(spark, folder), "event_type", "moment", "event_id", SIZE, SLIDE)
+    store = sinks.AlertStore(spark, scratch_path(spark, "counts"))
+    running = sinks.start_alerts(emits, store, scratch_path(spark, "checkpoint"), minima=MINIMA, threshold=THRESHOLD)
+    running.awaitTermination()
+    return _shown(store.counts.latest(_like_counts(spark)))

@@ -52,13 +52,12 @@ def area_code(value: Column, width: int = 3, missing: str = UNKNOWN) -> Column:
     rest is numeric, and a code longer than ``width`` is never cut.
     """
     text = strip(value)
-    digits = F.regexp_extract(text, r"^([0-9]+)(\.0)?$", 1)
-    size = F.length(digits)
+    digits = F.substring_index(text, ".", 1)
+    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), "0")
     return (
         F.when(~has_text(value), F.lit(missing))
-        .when(size == 0, text)
-        .when(size < width, F.lpad(digits, width, "0"))
-        .otherwise(digits)
+        .when(text.rlike(r"^[0-9]+(\.0)?$"), padded)
+        .otherwise(text)
     )
 
 

@@ -7,6 +7,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.session import materialise
+
 HOTSPOT_SCHEMA = "cluster_id int, centroid_latitude double, centroid_longitude double, crime_count long"
 
 
@@ -25,18 +27,14 @@ def hotspots(points: DataFrame, k: int = 10, seed: int = 42) -> DataFrame:
     """
     spark = points.sparkSession
     x, y = points.columns
-    clusters = max(1, min(int(k), points.limit(int(k)).count()))
-    weighted = points.groupBy(x, y).agg(F.count(F.lit(1)).alias("weight"))
+    weighted = materialise(points.groupBy(x, y).agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    rows = int(weighted.agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("n")).first()["n"])
+    if rows == 0:
+        return spark.createDataFrame([], HOTSPOT_SCHEMA)
     features = VectorAssembler(inputCols=[x, y], outputCol="features").transform(weighted)
-    features = features.select("features", F.col("weight").cast("double").alias("weight")).persist()
-    try:
-        if features.isEmpty():
-            return spark.createDataFrame([], HOTSPOT_SCHEMA)
-        model = KMeans(
-            k=clusters, seed=seed, featuresCol="features", predictionCol="cluster_id", weightCol="weight"
-        ).fit(features)
-    finally:
-        features.unpersist()
+    model = KMeans(
+        k=max(1, min(int(k), rows)), seed=seed, featuresCol="features", predictionCol="cluster_id", weightCol="weight"
+    ).fit(features)
     members = (
         model.transform(features).groupBy("cluster_id").agg(F.sum("weight").cast("long").alias("crime_count"))
     )
@@ -54,17 +52,23 @@ def nearest_center(points: DataFrame, centers: DataFrame, k: int, name: str = "c
     """
     x, y = points.columns[:2]
     cid, cx, cy = centers.columns
-    packed = centers.agg(
-        F.sort_array(F.collect_list(F.struct(F.col(cid).alias("id"), F.col(cx).alias("x"), F.col(cy).alias("y"))))
-        .alias("c")
-    ).select(
+    center = F.struct(F.col(cid).alias("id"), F.col(cx).alias("x"), F.col(cy).alias("y"))
+    packed = centers.agg(F.sort_array(F.collect_list(center)).alias("c")).select(
         F.when(F.size("c") <= k, F.col("c")).otherwise(F.raise_error(F.lit(f"more than {k} centers"))).alias("c")
     )
-    known = points.withColumn("c", packed.scalar())
-    options = []
-    for i in range(k):
-        center = F.get(F.col("c"), F.lit(i))
-        gap = F.pow(F.col(x) - center["x"], 2) + F.pow(F.col(y) - center["y"], 2)
-        options.append(F.when(center.isNotNull(), F.struct(gap.alias("gap"), center["id"].alias("id"))))
-    best = F.least(*options) if k > 1 else options[0]
-    return known.withColumn(name, best["id"]).drop("c")
+
+    def field(i: int, part: str) -> Column:
+        return F.get(F.col("centers_"), F.lit(i))[part]
+
+    def gap(i: int) -> Column:
+        across, up = F.col(x) - field(i, "x"), F.col(y) - field(i, "y")
+        return across * across + up * up
+
+    # Plain numbers, not structs: one short expression per center stays compiled.
+    gaps = [f"gap_{i}_" for i in range(k)]
+    measured = points.withColumn("centers_", packed.scalar()).withColumns({g: gap(i) for i, g in enumerate(gaps)})
+    measured = measured.withColumn("best_", F.least(*gaps) if k > 1 else F.col(gaps[0]))
+    chosen = F.lit(None)
+    for i in reversed(range(k)):
+        chosen = F.when(F.col(gaps[i]) == F.col("best_"), field(i, "id")).otherwise(chosen)
+    return measured.select(*points.columns, chosen.alias(name))

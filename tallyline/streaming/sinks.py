@@ -33,8 +33,10 @@ class BatchTable:
         tagged = rows.withColumns(
             {"day": F.to_date(F.col(self.day_of)), "batch_id": F.lit(batch_id).cast("long")}
         )
+        # Few files per day: Spark gathers the rows of a day, and AQE splits a large day.
+        gathered = tagged.hint("rebalance", F.col("day"))
         (
-            tagged.write.mode("overwrite")
+            gathered.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("day", "batch_id")
             .format(self.fmt)

@@ -31,9 +31,18 @@ def hotspots(points: DataFrame, k: int = 10, seed: int = 42) -> DataFrame:
     rows = int(weighted.agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("n")).first()["n"])
     if rows == 0:
         return spark.createDataFrame([], HOTSPOT_SCHEMA)
+    clusters = max(1, min(int(k), rows))
+    if clusters == 1:  # MLlib fits two or more; the best single center is the mean.
+        mean = [(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")) for c in (x, y)]
+        return weighted.agg(
+            F.lit(0).alias("cluster_id"),
+            mean[0].alias("centroid_latitude"),
+            mean[1].alias("centroid_longitude"),
+            F.sum("weight").cast("long").alias("crime_count"),
+        )
     features = VectorAssembler(inputCols=[x, y], outputCol="features").transform(weighted)
     model = KMeans(
-        k=max(1, min(int(k), rows)), seed=seed, featuresCol="features", predictionCol="cluster_id", weightCol="weight"
+        k=clusters, seed=seed, featuresCol="features", predictionCol="cluster_id", weightCol="weight"
     ).fit(features)
     members = (
         model.transform(features).groupBy("cluster_id").agg(F.sum("weight").cast("long").alias("crime_count"))

@@ -1,8 +1,10 @@
 """Idempotent sinks for micro-batches, on plain file tables.
 
-A table is a folder partitioned by day and batch. A micro-batch only ever writes
+A table is a folder partitioned by day, writer and batch. The writer is the id of
+the streaming query, which lives in its checkpoint. A micro-batch only ever writes
 its own partitions, by overwrite, so a replay of it writes the same files again,
-and nothing that is already there is rewritten.
+a query begun afresh does not touch what another one wrote, and nothing that is
+already there is rewritten.
 """
 
 from __future__ import annotations
@@ -18,6 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyline.operators.keys import first_per_key
 from tallyline.streaming.alerts import alert_documents, alert_rows, anomaly_rows, count_rows
 
+BATCH_JOB = "batch-job"
+TAGS = "written_at timestamp, day date, writer string, batch_id long"
+
 
 @dataclass(frozen=True)
 class BatchTable:
@@ -29,23 +34,28 @@ class BatchTable:
     day_of: str
     fmt: str = "parquet"
 
-    def _write(self, rows: DataFrame, batch_id: int) -> None:
+    def _write(self, rows: DataFrame, batch_id: int, writer: str) -> None:
         tagged = rows.withColumns(
-            {"day": F.to_date(F.col(self.day_of)), "batch_id": F.lit(batch_id).cast("long")}
+            {
+                "written_at": F.current_timestamp(),
+                "day": F.to_date(F.col(self.day_of)),
+                "writer": F.lit(writer),
+                "batch_id": F.lit(batch_id).cast("long"),
+            }
         )
         # Few files per day: Spark gathers the rows of a day, and AQE splits a large day.
         gathered = tagged.hint("rebalance", F.col("day"))
         (
             gathered.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch_id")
+            .partitionBy("day", "writer", "batch_id")
             .format(self.fmt)
             .save(self.path)
         )
 
     def stored(self, like: DataFrame) -> DataFrame:
-        """All rows ever written, with their day and batch; empty before the first."""
-        schema = f"{_ddl(like)}, day date, batch_id long"
+        """All rows ever written, with their tags; empty before the first."""
+        schema = f"{_ddl(like)}, {TAGS}"
         try:
             return self.spark.read.schema(schema).format(self.fmt).load(self.path)
         except AnalysisException as problem:
@@ -53,32 +63,35 @@ class BatchTable:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+    def upsert(self, rows: DataFrame, batch_id: int, writer: str = BATCH_JOB) -> None:
         """Last write wins: the batch is appended, :meth:`latest` picks the winner."""
-        self._write(rows, batch_id)
+        self._write(rows, batch_id, writer)
 
     def latest(self, like: DataFrame) -> DataFrame:
-        """The newest row per key. Filters on ``day`` prune; the choice is an
+        """The row written last, per key. Filters on ``day`` prune; the choice is an
         aggregate with a map-side part, not a window over each key."""
         rows = self.stored(like)
         rest = [c for c in like.columns if c not in self.keys]
-        newest = rows.groupBy("day", *self.keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("row"))
+        newest = rows.groupBy("day", *self.keys).agg(
+            F.max_by(F.struct(*rest), F.struct("written_at", "batch_id")).alias("row")
+        )
         return newest.select(*(F.col(c) if c in self.keys else F.col(f"row.{c}") for c in like.columns))
 
-    def insert_absent(self, rows: DataFrame, batch_id: int, like: DataFrame | None = None) -> DataFrame:
-        """Append rows whose key earlier batches have not stored; give them back.
+    def insert_absent(self, rows: DataFrame, batch_id: int, writer: str = BATCH_JOB) -> DataFrame:
+        """Append rows whose key is not stored yet; give back what this batch added.
 
         The stored keys are read for the days of this batch only. The two border
-        days are one aggregated row, the only thing that reaches the driver.
+        days are one aggregated row, the only thing that reaches the driver. What
+        an earlier try of this very batch left is not taken as stored.
         """
-        shape = rows if like is None else like
         once = first_per_key(rows, self.keys)
-        days = once.agg(F.min(F.to_date(self.day_of)).alias("low"), F.max(F.to_date(self.day_of)).alias("high")).first()
-        known = self.stored(shape).where(
-            F.col("day").between(F.lit(days["low"]), F.lit(days["high"])) & (F.col("batch_id") < batch_id)
-        )
-        self._write(once.join(known.select(*self.keys), list(self.keys), "left_anti").select(*rows.columns), batch_id)
-        return self.stored(shape).where(F.col("batch_id") == batch_id).select(*rows.columns)
+        day = F.to_date(F.col(self.day_of))
+        days = once.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+        mine = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
+        known = self.stored(rows).where(F.col("day").between(F.lit(days["low"]), F.lit(days["high"])) & ~mine)
+        added = once.join(known.select(*self.keys), list(self.keys), "left_anti").select(*rows.columns)
+        self._write(added, batch_id, writer)
+        return self.stored(rows).where(mine & (F.col("batch_id") == batch_id)).select(*rows.columns)
 
 
 def _ddl(df: DataFrame) -> str:
@@ -106,11 +119,11 @@ class AlertStore:
     def documents(self) -> BatchTable:
         return BatchTable(self.spark, f"{self.root}/alert_logs", ("alert_id",), "window_end", "json")
 
-    def save(self, anomalies: DataFrame, batch_id: int, source: str = "stream") -> None:
+    def save(self, anomalies: DataFrame, batch_id: int, writer: str = BATCH_JOB, source: str = "stream") -> None:
         """Counts always; alerts and their documents only with a severity."""
-        self.counts.upsert(count_rows(anomalies), batch_id)
-        added = self.alerts.insert_absent(alert_rows(anomalies, source), batch_id)
-        self.documents.upsert(alert_documents(added), batch_id)
+        self.counts.upsert(count_rows(anomalies), batch_id, writer)
+        added = self.alerts.insert_absent(alert_rows(anomalies, source), batch_id, writer)
+        self.documents.upsert(alert_documents(added), batch_id, writer)
 
 
 def start_alerts(
@@ -126,10 +139,10 @@ def start_alerts(
 ) -> StreamingQuery:
     """Run the speed layer: emitted windows to counts, alerts and documents."""
 
-    def save(batch: DataFrame, batch_id: int) -> None:
+    def save(batch: DataFrame, batch_id: int, writer: str) -> None:
         anomalies = anomaly_rows(batch, key, minima, threshold).persist()
         try:
-            store.save(anomalies, batch_id, source)
+            store.save(anomalies, batch_id, writer, source)
         finally:
             anomalies.unpersist()
 
@@ -138,13 +151,17 @@ def start_alerts(
 
 def start_batches(
     rows: DataFrame,
-    save: Callable[[DataFrame, int], None],
+    save: Callable[[DataFrame, int, str], None],
     checkpoint: str,
     mode: str = "append",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """A streaming query that hands each micro-batch to ``save``."""
-    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(save)
+    """A streaming query that hands each micro-batch, its number and the query id to ``save``."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        save(batch, batch_id, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
+
+    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 

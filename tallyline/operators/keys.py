@@ -29,9 +29,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return best.select(*(F.col(c) if c in keys else F.col(f"best.{c}") for c in df.columns))
 
 
-def most_frequent(df: DataFrame, key: str, value: str, count_name: str | None = None) -> DataFrame:
-    """The value seen most often with each key; the smaller value wins a tie."""
-    pairs = df.where(F.col(key).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+def most_frequent(
+    df: DataFrame, key: str, value: str, count_name: str | None = None, weight: str | None = None
+) -> DataFrame:
+    """The value seen most often with each key; the smaller value wins a tie.
+
+    ``weight`` names a column of counts, for input that is grouped already.
+    """
+    times = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    pairs = df.where(F.col(key).isNotNull()).groupBy(key, value).agg(times.alias("n"))
     best = pairs.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("less"), F.col(value))).alias("best"))
     count = [] if count_name is None else [(-F.col("best.less")).alias(count_name)]
     return best.select(key, F.col(f"best.{value}").alias(value), *count)

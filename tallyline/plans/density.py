@@ -18,9 +18,16 @@ METRICS = ["offender_count", "victim_minor_count"]
 
 
 def block_areas(incidents: DataFrame) -> DataFrame:
-    """The area seen most often in each block."""
-    placed = incidents.select(text_key(F.col("block")).alias("block_key"), area_code(F.col("district")).alias("district"))
-    return most_frequent(placed, "block_key", "district")
+    """The area seen most often in each block.
+
+    Raw spellings are counted first, and the texts are cleaned per spelling, not
+    per incident.
+    """
+    spelled = incidents.groupBy("block", "district").agg(F.count(F.lit(1)).alias("times"))
+    placed = spelled.select(
+        text_key(F.col("block")).alias("block_key"), area_code(F.col("district")).alias("district"), "times"
+    )
+    return most_frequent(placed, "block_key", "district", weight="times")
 
 
 def offender_blocks(registry: DataFrame) -> DataFrame:

@@ -68,17 +68,25 @@ class RunStore:
         staged = {table: self.read(table, staged=True).where(F.col("run_id") == run_id) for table in names}
         return {table: self._replace(rows, table, run_id, staged=False) for table, rows in staged.items()}
 
+    def export(self, table: str, run_id: str, fmt: str, **options: str) -> None:
+        """Append a published run of a table to any other Spark sink, such as ``jdbc``."""
+        rows = self.read(table).where(F.col("run_id") == run_id)
+        rows.write.format(fmt).options(**options).mode("append").save()
+
     def mark(self, run_id: str, job_name: str, status: str, message: str = "") -> None:
         """Append one state of a run."""
         if status not in (RUNNING, COMPLETED, FAILED):
             raise ValueError(f"unknown status: {status}")
         text = message[:MESSAGE_LIMIT] if status == FAILED else message
-        row = self.spark.createDataFrame([(run_id, job_name, status, text)], "run_id string, job_name string, status string, message string")
-        stamped = row.select(
-            "run_id", "job_name", "status", F.lit(0 if status == RUNNING else 1).alias("seq"),
-            F.current_timestamp().alias("at"), "message",
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(run_id).alias("run_id"),
+            F.lit(job_name).alias("job_name"),
+            F.lit(status).alias("status"),
+            F.lit(0 if status == RUNNING else 1).alias("seq"),
+            F.current_timestamp().alias("at"),
+            F.lit(text).alias("message"),
         )
-        stamped.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
+        row.write.mode("append").parquet(f"{self.root}/ledger")
 
     def ledger(self) -> DataFrame:
         """Every state ever appended."""

@@ -9,15 +9,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# What a large cluster job starts from. The first shuffle width is generous and AQE
+# merges small partitions to the advised size; skewed joins are split; keyed stream
+# state lives outside the heap.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
 
-def build_session(app: str = "tallyline", master: str | None = None, **conf: str) -> SparkSession:
-    """Create (or get) a session with the settings the operators rely on."""
+
+def build_session(
+    app: str = "tallyline", master: str | None = None, cluster: bool = False, **conf: str
+) -> SparkSession:
+    """Create (or get) a session with the settings the operators rely on.
+
+    ``cluster`` adds :data:`CLUSTER_CONF`; keyword settings write ``__`` for a dot.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.sql.session.timeZone", "UTC")
-    for name, value in conf.items():
-        builder = builder.config(name.replace("__", "."), value)
+    given = {name.replace("__", "."): value for name, value in conf.items()}
+    for name, value in {**(CLUSTER_CONF if cluster else {}), **given}.items():
+        builder = builder.config(name, value)
     return pin_utc(builder.getOrCreate())
 
 

@@ -140,11 +140,7 @@ def start_alerts(
     """Run the speed layer: emitted windows to counts, alerts and documents."""
 
     def save(batch: DataFrame, batch_id: int, writer: str) -> None:
-        anomalies = anomaly_rows(batch, key, minima, threshold).persist()
-        try:
-            store.save(anomalies, batch_id, writer, source)
-        finally:
-            anomalies.unpersist()
+        store.save(anomaly_rows(batch, key, minima, threshold), batch_id, writer, source)
 
     return start_batches(emits, save, checkpoint, mode, trigger)
 
@@ -156,10 +152,20 @@ def start_batches(
     mode: str = "append",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """A streaming query that hands each micro-batch, its number and the query id to ``save``."""
+    """A streaming query that hands each micro-batch, its number and the query id to ``save``.
+
+    The micro-batch is first written beside the checkpoint, in one of two slots that
+    take turns, and ``save`` gets it as read back by the session that defined the
+    stream. A stateful stream runs without adaptive execution; what ``save`` does is
+    a plain batch job again, and reads the result of the state step, not the step.
+    """
+    spark, schema = rows.sparkSession, rows.schema
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        save(batch, batch_id, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
+        slot = f"{checkpoint.rstrip('/')}-batches/slot-{batch_id % 2}"
+        batch.write.mode("overwrite").parquet(slot)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        save(spark.read.schema(schema).parquet(slot), batch_id, query_id)
 
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

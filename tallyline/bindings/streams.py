@@ -173,14 +173,14 @@ def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws("_", "event_type", F.date_format("ts", "yyyyMMdd'T'HH")).alias("alert_id"),
         F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("window_end"),
         F.concat(F.lit("batch_"), F.col("batch").cast("string")).alias("source"),
-        "batch",
+        F.col("batch").alias("third"),
     )
     kept = to_parquet(made, scratch_path(spark, "made"))
     target = sinks.BatchTable(spark, scratch_path(spark, "alerts"), ("alert_id",), "window_end")
     for batch in (0, 1, 1, 2):
-        part = kept.where(F.col("batch") == batch)
+        part = kept.where(F.col("third") == batch)
         target.insert_absent(part.unionAll(part), batch)
-    return target.stored(kept).select("alert_id", "source", "batch")
+    return target.stored(kept).select("alert_id", "source", F.col("third").alias("batch"))
 
 
 @query(

@@ -11,7 +11,6 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +22,7 @@ from tallyline.plans.density import sex_offender_density
 from tallyline.plans.incidents import violence_stats
 from tallyline.plans.outcomes import arrest_rates
 from tallyline.plans.trends import crime_trends
+from tallyline.session import path_exists
 from tallyline.sources.cleaning import CLEANERS
 
 # States of a run, and the length kept of a failure message.
@@ -94,12 +94,9 @@ class RunStore:
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def ledger_state(ledger: DataFrame) -> DataFrame:

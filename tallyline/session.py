@@ -68,6 +68,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder of that name, on whatever file system it names?"""
+    context = spark.sparkContext
+    there = context._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(context._jsc.hadoopConfiguration()).exists(there)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: evaluated once, survives the loss of executors."""
     shared_dir(df.sparkSession)

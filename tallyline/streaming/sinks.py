@@ -1,7 +1,7 @@
 """Idempotent sinks for micro-batches, on plain file tables.
 
-A table is a folder partitioned by day, writer and batch. The writer is the id of
-the streaming query, which lives in its checkpoint. A micro-batch only ever writes
+A table is a folder partitioned by day and batch. A batch is named by the id of the
+streaming query, which lives in its checkpoint, and by its number. A micro-batch only ever writes
 its own partitions, by overwrite, so a replay of it writes the same files again,
 a query begun afresh does not touch what another one wrote, and nothing that is
 already there is rewritten.
@@ -12,21 +12,24 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.keys import first_per_key
+from tallyline.session import path_exists
 from tallyline.streaming.alerts import alert_documents, alert_rows, anomaly_rows, count_rows
 
 BATCH_JOB = "batch-job"
-TAGS = "written_at timestamp, day date, writer string, batch_id long"
+TAGS = "written_at timestamp, writer string, batch_id long, day date, batch string"
 
 
 @dataclass(frozen=True)
 class BatchTable:
-    """A file table written batch by batch; ``day_of`` names a timestamp column."""
+    """A file table written batch by batch; ``day_of`` names a timestamp column.
+
+    The names in :data:`TAGS` belong to the table; rows must not use them.
+    """
 
     spark: SparkSession
     path: str
@@ -35,12 +38,16 @@ class BatchTable:
     fmt: str = "parquet"
 
     def _write(self, rows: DataFrame, batch_id: int, writer: str) -> None:
+        taken = sorted(set(rows.columns) & {tag.split()[0] for tag in TAGS.split(", ")})
+        if taken:
+            raise ValueError(f"column names kept for the table's own use: {taken}")
         tagged = rows.withColumns(
             {
                 "written_at": F.current_timestamp(),
-                "day": F.to_date(F.col(self.day_of)),
                 "writer": F.lit(writer),
                 "batch_id": F.lit(batch_id).cast("long"),
+                "day": F.to_date(F.col(self.day_of)),
+                "batch": F.lit(f"{writer}-{batch_id}"),
             }
         )
         # Few files per day: Spark gathers the rows of a day, and AQE splits a large day.
@@ -48,7 +55,7 @@ class BatchTable:
         (
             gathered.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "writer", "batch_id")
+            .partitionBy("day", "batch")
             .format(self.fmt)
             .save(self.path)
         )
@@ -56,12 +63,9 @@ class BatchTable:
     def stored(self, like: DataFrame) -> DataFrame:
         """All rows ever written, with their tags; empty before the first."""
         schema = f"{_ddl(like)}, {TAGS}"
-        try:
+        if path_exists(self.spark, self.path):
             return self.spark.read.schema(schema).format(self.fmt).load(self.path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        return self.spark.createDataFrame([], schema)
 
     def upsert(self, rows: DataFrame, batch_id: int, writer: str = BATCH_JOB) -> None:
         """Last write wins: the batch is appended, :meth:`latest` picks the winner."""
@@ -91,7 +95,7 @@ class BatchTable:
         known = self.stored(rows).where(F.col("day").between(F.lit(days["low"]), F.lit(days["high"])) & ~mine)
         added = once.join(known.select(*self.keys), list(self.keys), "left_anti").select(*rows.columns)
         self._write(added, batch_id, writer)
-        return self.stored(rows).where(mine & (F.col("batch_id") == batch_id)).select(*rows.columns)
+        return self.stored(rows).where(F.col("batch") == f"{writer}-{batch_id}").select(*rows.columns)
 
 
 def _ddl(df: DataFrame) -> str:

@@ -74,16 +74,19 @@ RATE_ROWS = f"""
 """
 
 
+def tally(spark: SparkSession, folder: str) -> DataFrame:
+    return outcome_plan.case_tally(incidents(spark, folder), outcomes(spark, folder))
+
+
 @query("rate_by_group", f"WITH {RATES} SELECT * FROM detail")
 def rate_by_group(spark: SparkSession, folder: str) -> DataFrame:
-    tally = outcome_plan.case_tally(incidents(spark, folder), outcomes(spark, folder))
-    return rounded(rates.rate_detail(tally, outcome_plan.GROUPS, outcome_plan.KIND), "arrest_rate")
+    return rounded(rates.rate_detail(tally(spark, folder), outcome_plan.GROUPS, outcome_plan.KIND), "arrest_rate")
 
 
 @query("rate_topk", f"WITH {RATES} SELECT * FROM tops")
 def rate_topk(spark: SparkSession, folder: str) -> DataFrame:
-    tally = outcome_plan.case_tally(incidents(spark, folder), outcomes(spark, folder))
-    return rounded(rates.best_rates(rates.rate_of(tally, "primary_type"), "primary_type", 10), "arrest_rate")
+    best = rates.best_rates(rates.rate_of(tally(spark, folder), "primary_type"), "primary_type", 10)
+    return rounded(best, "arrest_rate")
 
 
 @query(
@@ -97,7 +100,7 @@ def rows_with_match(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("outcome_rates", RATE_ROWS)
 def outcome_rates(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(outcome_plan.arrest_rates(incidents(spark, folder), outcomes(spark, folder)), "arrest_rate")
+    return rounded(outcome_plan.arrest_rates(tally(spark, folder)), "arrest_rate")
 
 
 def _stats_sql(month: str, district: str, community: str, grouping: str) -> str:
@@ -188,7 +191,7 @@ METRICS = f"""
         round(violence_rate, 6) AS violence_rate, round(arrest_rate, 6) AS arrest_rate FROM metrics""",
 )
 def metric_by_key(spark: SparkSession, folder: str) -> DataFrame:
-    cases = correlations.area_cases(incidents(spark, folder), outcomes(spark, folder))
+    cases = rates.rate_of(tally(spark, folder), "district")
     return rounded(correlations.area_metrics(cases, victims(spark, folder)), "violence_rate", "arrest_rate")
 
 
@@ -227,9 +230,7 @@ CORRELATIONS = f"""
 
 @query("metric_correlation", CORRELATIONS)
 def metric_correlation(spark: SparkSession, folder: str) -> DataFrame:
-    found = correlations.correlations(
-        incidents(spark, folder), outcomes(spark, folder), victims(spark, folder), density_rows(spark, folder)
-    )
+    found = correlations.correlations(tally(spark, folder), victims(spark, folder), density_rows(spark, folder))
     return rounded(found, "x_value", "y_value", "correlation_value")
 
 

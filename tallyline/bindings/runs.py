@@ -28,7 +28,7 @@ def _result(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
     if name == "crime_trends":
         return crime_trends(cases)
     if name == "arrest_rates":
-        return outcome_plan.arrest_rates(cases, outcomes(spark, folder))
+        return outcome_plan.arrest_rates(outcome_plan.case_tally(cases, outcomes(spark, folder)))
     if name == "violence_stats":
         return incident_plan.violence_stats(victims(spark, folder), VICTIM_KEYWORD)
     if name == "sex_offender_density":
@@ -36,7 +36,8 @@ def _result(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
     if name == "hotspots":
         lines = table(spark, folder, "lineitem")
         return clusters.hotspots(clusters.valid_points(lines, F.col("l_discount"), F.col("l_tax")))
-    return correlations.correlations(cases, outcomes(spark, folder), victims(spark, folder), density_rows(spark, folder))
+    tally = outcome_plan.case_tally(cases, outcomes(spark, folder))
+    return correlations.correlations(tally, victims(spark, folder), density_rows(spark, folder))
 
 
 @lru_cache(maxsize=None)

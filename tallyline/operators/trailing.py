@@ -125,7 +125,8 @@ def _entry_table(rows: pd.DataFrame, chunk: int, slide: int) -> pd.DataFrame:
 
 
 def _emitting_rows(rows: pd.DataFrame, chunk: int, slide: int) -> pd.DataFrame:
-    """Rows that emit, given the earliest second at which each chunk may."""
+    """Rows that emit. The first row of a chunk lies a second before it and only
+    tells the earliest second at which the chunk may emit."""
     at = _Sorted(rows, chunk, slide)
     wait = rows["earliest"].to_numpy()[at.head] - rows["chunk"].to_numpy()[at.head] * chunk
     row = np.searchsorted(at.axis, at.base[at.head] + wait)
@@ -143,7 +144,7 @@ def trailing_emits(seconds: DataFrame, size: int, slide: int, chunk: int = CHUNK
 
     1. Each chunk alone works out where it would stop for each way to enter it.
     2. Per key, the chunks are walked in order: one lookup per chunk.
-    3. Each chunk, now with its true entry, lists its emits.
+    3. Each chunk, led by a row with its true entry, lists its emits.
 
     Steps 1 and 3 read sorted partitions batch by batch and hold one chunk (at
     most ``chunk`` rows) beyond the batch; step 2 sees at most ``slide + 1`` rows
@@ -187,7 +188,17 @@ def trailing_emits(seconds: DataFrame, size: int, slide: int, chunk: int = CHUNK
         .groupBy("key")
         .applyInPandas(walk, f"key {kind['key']}, chunk long, earliest long")
     )
-    emitted = by_chunk(counted.join(entries, ["key", "chunk"])).mapInPandas(
+    # The entry comes in as a leading row of its chunk: one shuffle, and no join.
+    leads = entries.select(
+        "key",
+        "chunk",
+        (F.col("chunk") * chunk - 1).alias("t"),
+        F.lit(0).cast(kind["first_id"]).alias("first_id"),
+        F.lit(0).cast("long").alias("event_count"),
+        "earliest",
+    )
+    led = counted.withColumn("earliest", F.lit(0).cast("long")).unionByName(leads)
+    emitted = by_chunk(led).mapInPandas(
         emits, f"key {kind['key']}, t long, first_id {kind['first_id']}, event_count long"
     )
     return emitted.select(

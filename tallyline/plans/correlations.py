@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.text import UNMATCHED
 from tallyline.operators.counting import guarded_ratio, share_of_total
-from tallyline.operators.keys import first_per_key, usable_key
+from tallyline.operators.rates import rate_of
 from tallyline.operators.stats import correlation_rows
 from tallyline.session import materialise
 
@@ -16,26 +16,11 @@ VIOLENCE_ARREST = "violence_rate_vs_arrest_rate_by_district"
 OFFENDER_CRIME = "sex_offender_density_vs_crime_rate_by_district"
 
 
-def area_cases(incidents: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Cases and cases with an outcome per area: one join, one aggregate."""
-    cases = first_per_key(usable_key(incidents.select("case_number", "district"), "case_number"), ["case_number"])
-    hits = usable_key(outcomes.select("case_number"), "case_number").distinct()
-    joined = cases.join(hits.withColumn("hit", F.lit(True)), "case_number", "left")
-    return joined.groupBy("district").agg(
-        F.count(F.lit(1)).alias("total_crimes"), F.count_if(F.col("hit")).alias("total_arrests")
-    )
-
-
 def area_metrics(cases: DataFrame, victims: DataFrame) -> DataFrame:
     """Violence and arrest rate per area, zero where a table lacks the area."""
     violence = victims.groupBy("district").agg(F.count(F.lit(1)).alias("total_violence"))
     joined = cases.join(violence, "district", "left").fillna({"total_violence": 0})
-    return joined.withColumns(
-        {
-            "violence_rate": guarded_ratio(F.col("total_violence"), F.col("total_crimes")),
-            "arrest_rate": guarded_ratio(F.col("total_arrests"), F.col("total_crimes")),
-        }
-    )
+    return joined.withColumn("violence_rate", guarded_ratio(F.col("total_violence"), F.col("total_crimes")))
 
 
 def offender_metrics(cases: DataFrame, density: DataFrame) -> DataFrame:
@@ -47,15 +32,14 @@ def offender_metrics(cases: DataFrame, density: DataFrame) -> DataFrame:
     return areas.join(shares, "district", "left").fillna({"total_crimes": 0, "crime_rate": 0.0})
 
 
-def correlations(incidents: DataFrame, outcomes: DataFrame, victims: DataFrame, density: DataFrame) -> DataFrame:
-    """Long-form rows of both correlations.
+def correlations(tally: DataFrame, victims: DataFrame, density: DataFrame) -> DataFrame:
+    """Long-form rows of both correlations, over the tally of cases and outcomes.
 
     The metrics are one row per area; they are kept, because the rows and the
     scalar beside them read the same table.
     """
-    cases = materialise(area_cases(incidents, outcomes))
-    first = materialise(area_metrics(cases, victims))
-    second = offender_metrics(cases, density)
+    first = materialise(area_metrics(rate_of(tally, "district"), victims))
+    second = offender_metrics(first, density)
     return correlation_rows(first, VIOLENCE_ARREST, "district", "violence_rate", "arrest_rate").unionByName(
         correlation_rows(second, OFFENDER_CRIME, "district", "offender_density", "crime_rate")
     )

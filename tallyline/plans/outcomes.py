@@ -27,13 +27,12 @@ def outcome_facts(outcomes: DataFrame) -> DataFrame:
 
 
 def case_tally(incidents: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """The small table from which every rate below is taken."""
+    """The small table from which all rates are taken, those of the correlations too."""
     return outcome_tally(case_facts(incidents), outcome_facts(outcomes), "case_number", GROUPS, KIND)
 
 
-def arrest_rates(incidents: DataFrame, outcomes: DataFrame, k: int = 10) -> DataFrame:
+def arrest_rates(tally: DataFrame, k: int = 10) -> DataFrame:
     """Detail rows per (type, area, class), then the k best types with ``ALL`` levels."""
-    tally = case_tally(incidents, outcomes)
     best = best_rates(rate_of(tally, "primary_type"), "primary_type", k)
     rolled = best.withColumns({"district": F.lit(ALL), "race": F.lit(ALL)})
     return rate_detail(tally, GROUPS, KIND).unionByName(rolled)

@@ -20,9 +20,9 @@ from tallyline.plans.contracts import RESULT_TABLES, columns_of, conform
 from tallyline.plans.correlations import correlations
 from tallyline.plans.density import sex_offender_density
 from tallyline.plans.incidents import violence_stats
-from tallyline.plans.outcomes import arrest_rates
+from tallyline.plans.outcomes import arrest_rates, case_tally
 from tallyline.plans.trends import crime_trends
-from tallyline.session import path_exists
+from tallyline.session import materialise, path_exists
 from tallyline.sources.cleaning import CLEANERS
 
 # States of a run, and the length kept of a failure message.
@@ -122,18 +122,20 @@ def ledger_state(ledger: DataFrame) -> DataFrame:
     )
 
 
-def analyse(clean: Mapping[str, DataFrame], k: int = 10, density: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The result tables of one run, as plans over the five clean tables."""
-    crimes, arrests, violence = clean["crimes"], clean["arrests"], clean["violence"]
-    if density is None:
-        density = sex_offender_density(clean["sex_offenders"], clean["police_stations"], crimes)
+def analyse(clean: Mapping[str, DataFrame], density: DataFrame, k: int = 10) -> dict[str, DataFrame]:
+    """The other result tables of one run, over the clean tables and the density rows.
+
+    The tally of cases and outcomes is kept: one dedupe and one join of the two
+    large tables serve the rates and the correlations.
+    """
+    crimes, violence = clean["crimes"], clean["violence"]
+    tally = materialise(case_tally(crimes, clean["arrests"]))
     return {
         "crime_trends": crime_trends(crimes),
-        "arrest_rates": arrest_rates(crimes, arrests),
+        "arrest_rates": arrest_rates(tally),
         "violence_stats": violence_stats(violence),
-        "sex_offender_density": density,
         "hotspots": hotspots(valid_points(crimes, F.col("latitude"), F.col("longitude")), k),
-        "correlations": correlations(crimes, arrests, violence, density),
+        "correlations": correlations(tally, violence, density),
     }
 
 
@@ -147,7 +149,7 @@ def run_batch(
     """Ledger row, clean, analyse, stage all, publish all, ledger row.
 
     Any failure marks the run failed, and nothing of it is published. The clean
-    incidents are read by five of the six analytics and are kept as Parquet in
+    incidents are read by four of the six analytics and are kept as Parquet in
     the store for that time; density is read back from staging for the
     correlations.
     """
@@ -162,10 +164,8 @@ def run_batch(
         density = sex_offender_density(clean["sex_offenders"], clean["police_stations"], clean["crimes"])
         store.stage(density, "sex_offender_density", run)
         staged = store.read("sex_offender_density", staged=True).where(F.col("run_id") == run)
-        results = analyse(clean, k, staged.drop("run_id"))
-        for table, result in results.items():
-            if table != "sex_offender_density":
-                store.stage(result, table, run)
+        for table, result in analyse(clean, staged.drop("run_id"), k).items():
+            store.stage(result, table, run)
         rows = store.publish(run, RESULT_TABLES)
     except Exception as problem:
         store.mark(run, job_name, FAILED, str(problem))

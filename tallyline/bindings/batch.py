@@ -123,8 +123,8 @@ STATS_TOP = (
 
 @query("incident_stats", f"SELECT * FROM ({STATS_DETAIL}) UNION ALL SELECT * FROM ({STATS_TOP})")
 def incident_stats(spark: SparkSession, folder: str) -> DataFrame:
-    stats = incident_plan.violence_stats(victims(spark, folder), VICTIM_KEYWORD)
-    return rounded(stats, "gunshot_proportion")
+    detail = incident_plan.detail_counts(victims(spark, folder), VICTIM_KEYWORD)
+    return rounded(incident_plan.violence_stats(detail), "gunshot_proportion")
 
 
 @query("incident_topk", STATS_TOP)
@@ -185,6 +185,10 @@ METRICS = f"""
 """
 
 
+def violence(spark: SparkSession, folder: str) -> DataFrame:
+    return counting.key_counts(victims(spark, folder), F.col("district"), "district", "total_violence")
+
+
 @query(
     "metric_by_key",
     f"""WITH {METRICS} SELECT district, total_crimes, total_arrests, total_violence,
@@ -192,7 +196,7 @@ METRICS = f"""
 )
 def metric_by_key(spark: SparkSession, folder: str) -> DataFrame:
     cases = rates.rate_of(tally(spark, folder), "district")
-    return rounded(correlations.area_metrics(cases, victims(spark, folder)), "violence_rate", "arrest_rate")
+    return rounded(correlations.area_metrics(cases, violence(spark, folder)), "violence_rate", "arrest_rate")
 
 
 @query(
@@ -230,7 +234,7 @@ CORRELATIONS = f"""
 
 @query("metric_correlation", CORRELATIONS)
 def metric_correlation(spark: SparkSession, folder: str) -> DataFrame:
-    found = correlations.correlations(tally(spark, folder), victims(spark, folder), density_rows(spark, folder))
+    found = correlations.correlations(tally(spark, folder), violence(spark, folder), density_rows(spark, folder))
     return rounded(found, "x_value", "y_value", "correlation_value")
 
 

@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.bindings.batch import CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, density_rows, rounded, trends_sql
+from tallyline.bindings.batch import CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, density_rows, rounded, trends_sql, violence
 from tallyline.bindings.registry import query
 from tallyline.bindings.tables import SIZE, VICTIM_KEYWORD, incidents, outcomes, stamp, table, victims
 from tallyline.operators import clusters
@@ -30,14 +30,14 @@ def _result(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
     if name == "arrest_rates":
         return outcome_plan.arrest_rates(outcome_plan.case_tally(cases, outcomes(spark, folder)))
     if name == "violence_stats":
-        return incident_plan.violence_stats(victims(spark, folder), VICTIM_KEYWORD)
+        return incident_plan.violence_stats(incident_plan.detail_counts(victims(spark, folder), VICTIM_KEYWORD))
     if name == "sex_offender_density":
         return density_rows(spark, folder)
     if name == "hotspots":
         lines = table(spark, folder, "lineitem")
         return clusters.hotspots(clusters.valid_points(lines, F.col("l_discount"), F.col("l_tax")))
     tally = outcome_plan.case_tally(cases, outcomes(spark, folder))
-    return correlations.correlations(tally, victims(spark, folder), density_rows(spark, folder))
+    return correlations.correlations(tally, violence(spark, folder), density_rows(spark, folder))
 
 
 @lru_cache(maxsize=None)

@@ -16,9 +16,8 @@ VIOLENCE_ARREST = "violence_rate_vs_arrest_rate_by_district"
 OFFENDER_CRIME = "sex_offender_density_vs_crime_rate_by_district"
 
 
-def area_metrics(cases: DataFrame, victims: DataFrame) -> DataFrame:
+def area_metrics(cases: DataFrame, violence: DataFrame) -> DataFrame:
     """Violence and arrest rate per area, zero where a table lacks the area."""
-    violence = victims.groupBy("district").agg(F.count(F.lit(1)).alias("total_violence"))
     joined = cases.join(violence, "district", "left").fillna({"total_violence": 0})
     return joined.withColumn("violence_rate", guarded_ratio(F.col("total_violence"), F.col("total_crimes")))
 
@@ -32,13 +31,14 @@ def offender_metrics(cases: DataFrame, density: DataFrame) -> DataFrame:
     return areas.join(shares, "district", "left").fillna({"total_crimes": 0, "crime_rate": 0.0})
 
 
-def correlations(tally: DataFrame, victims: DataFrame, density: DataFrame) -> DataFrame:
-    """Long-form rows of both correlations, over the tally of cases and outcomes.
+def correlations(tally: DataFrame, violence: DataFrame, density: DataFrame) -> DataFrame:
+    """Long-form rows of both correlations, over the tally of cases and outcomes and
+    the incidents per area.
 
     The metrics are one row per area; they are kept, because the rows and the
     scalar beside them read the same table.
     """
-    first = materialise(area_metrics(rate_of(tally, "district"), victims))
+    first = materialise(area_metrics(rate_of(tally, "district"), violence))
     second = offender_metrics(first, density)
     return correlation_rows(first, VIOLENCE_ARREST, "district", "violence_rate", "arrest_rate").unionByName(
         correlation_rows(second, OFFENDER_CRIME, "district", "offender_density", "crime_rate")

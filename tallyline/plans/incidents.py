@@ -57,7 +57,11 @@ def top_communities(detail: DataFrame, k: int = 20) -> DataFrame:
     return top_k(rolled, k, F.desc("total_incidents"), F.asc("community_area"))
 
 
-def violence_stats(victims: DataFrame, keyword: str = KEYWORD, k: int = 20) -> DataFrame:
+def violence_stats(detail: DataFrame, k: int = 20) -> DataFrame:
     """Detail and top communities; the second is summed from the first."""
-    detail = detail_counts(victims, keyword)
     return with_proportion(detail.unionByName(top_communities(detail, k)))
+
+
+def area_violence(detail: DataFrame) -> DataFrame:
+    """Incidents per area, summed from the detail."""
+    return detail.groupBy("district").agg(F.sum("total_incidents").alias("total_violence"))

@@ -19,7 +19,7 @@ from tallyline.operators.clusters import hotspots, valid_points
 from tallyline.plans.contracts import RESULT_TABLES, columns_of, conform
 from tallyline.plans.correlations import correlations
 from tallyline.plans.density import sex_offender_density
-from tallyline.plans.incidents import violence_stats
+from tallyline.plans.incidents import area_violence, detail_counts, violence_stats
 from tallyline.plans.outcomes import arrest_rates, case_tally
 from tallyline.plans.trends import crime_trends
 from tallyline.session import materialise, path_exists
@@ -126,16 +126,18 @@ def analyse(clean: Mapping[str, DataFrame], density: DataFrame, k: int = 10) ->
     """The other result tables of one run, over the clean tables and the density rows.
 
     The tally of cases and outcomes is kept: one dedupe and one join of the two
-    large tables serve the rates and the correlations.
+    large tables serve the rates and the correlations. So are the counts of victims,
+    which both the statistics and the correlations sum up further.
     """
-    crimes, violence = clean["crimes"], clean["violence"]
+    crimes = clean["crimes"]
     tally = materialise(case_tally(crimes, clean["arrests"]))
+    detail = materialise(detail_counts(clean["violence"]))
     return {
         "crime_trends": crime_trends(crimes),
         "arrest_rates": arrest_rates(tally),
-        "violence_stats": violence_stats(violence),
+        "violence_stats": violence_stats(detail),
         "hotspots": hotspots(valid_points(crimes, F.col("latitude"), F.col("longitude")), k),
-        "correlations": correlations(tally, violence, density),
+        "correlations": correlations(tally, area_violence(detail), density),
     }
 
 

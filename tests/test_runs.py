@@ -156,3 +156,22 @@ def test_no_unmatched_row_when_all_match(spark):
     names = spark.createDataFrame([("8", "Eighth")], "district string, district_name string")
     got = sex_offender_density(registry, names, incidents).collect()
     assert [tuple(r) for r in got] == [("008", "Eighth", 2, 1, 1)]
+
+
+def test_correlations_against_brute_force(spark, store, raw):
+    """Violence and arrest rate per area, from the raw rows."""
+    crimes = {}
+    for r in raw["crimes"].collect():
+        crimes.setdefault(r["Case Number"].strip(), []).append((r["Primary Type"], f"00{r['District'][0]}"))
+    area = {case: min(rows)[1] for case, rows in crimes.items()}
+    hit = {r["CASE NUMBER"].upper() for r in raw["arrests"].collect()}
+    victims = [f"00{r['DISTRICT']}" for r in raw["violence"].collect()]
+    expected = {}
+    for one in set(area.values()):
+        cases = [c for c in area if area[c] == one]
+        expected[one] = (victims.count(one) / len(cases), sum(c in hit for c in cases) / len(cases))
+    rows = rows_of(store, "correlations").where("x_metric = 'violence_rate'").collect()
+    got = {r["grouping_key"]: (r["x_value"], r["y_value"]) for r in rows}
+    assert got.keys() == expected.keys()
+    assert all(got[k] == pytest.approx(expected[k]) for k in got)
+    assert len({r["correlation_value"] for r in rows}) == 1 and -1 <= rows[0]["correlation_value"] <= 1

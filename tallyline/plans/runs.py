@@ -145,7 +145,7 @@ def run_batch(
     store: RunStore,
     raw: Mapping[str, DataFrame],
     run_id: str | None = None,
-    job_name: str = "crime-batch-analytics",
+    job_name: str = "batch-analytics",
     k: int = 10,
 ) -> str:
     """Ledger row, clean, analyse, stage all, publish all, ledger row.

@@ -269,7 +269,7 @@ def dedupe_key(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "rank_in_order",
     """
-    SELECT o_custkey, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS INTEGER) AS place
+    SELECT o_custkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS place
     FROM orders GROUP BY o_custkey
     """,
 )

@@ -64,7 +64,7 @@ def rank_in_order(df: DataFrame, order: Sequence[Column], name: str) -> DataFram
     starts = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
     within = F.col("spot").bitwiseAND((1 << 33) - 1)
     ranked = placed.withColumn("part", part).join(starts, "part")
-    return ranked.select(*df.columns, (F.col("start") + within + 1).cast("int").alias(name))
+    return ranked.select(*df.columns, (F.col("start") + within + 1).alias(name))
 
 
 def look_up(df: DataFrame, dimension: DataFrame, key: str, label: str, default: str) -> DataFrame:

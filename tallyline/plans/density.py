@@ -67,4 +67,4 @@ def sex_offender_density(registry: DataFrame, dimension: DataFrame, incidents: D
         F.lit(None).cast("int").alias("density_rank"),
     )
     columns = ["district", "district_name", *METRICS, "density_rank"]
-    return named.select(*columns).unionByName(lost)
+    return named.select(*columns).withColumn("density_rank", F.col("density_rank").cast("int")).unionByName(lost)

@@ -184,6 +184,16 @@ def test_emits_against_simulation(spark, seed, chunk):
     assert got == simulated_emits(rows, size, slide)
 
 
+def test_emits_of_nothing_and_of_text_ids(spark):
+    rows = [("k", 5, 1), ("k", 5, 0), (None, 6, 2), ("k", None, 3)]
+    frame = event_frame(spark, rows).withColumn("id", F.format_string("id-%d", "id"))
+    seconds = trailing.per_second(frame, "k", "t", "id")
+    assert [tuple(r) for r in trailing.trailing_emits(seconds, 300, 60).collect()] == [("k", -295, 5, "id-0", 1)]
+    assert trailing.trailing_emits(seconds.where("t < 0"), 300, 60).count() == 0
+    with pytest.raises(ValueError, match="at least one second"):
+        trailing.trailing_emits(seconds, 300, 0)
+
+
 def test_trailing_counts_do_not_depend_on_chunks(spark):
     rows = [("k", t, t) for t in range(0, 500, 3)]
     seconds = trailing.per_second(event_frame(spark, rows), "k", "t", "id")

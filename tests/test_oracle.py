@@ -51,6 +51,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     frame = contract.queries()[name](spark, FOLDER)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     result = duck.execute(contract.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     kinds = {d[0]: str(d[1]) for d in result.description}

@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from tallyline.bindings import load
 
 FOLDER = os.environ.get("TALLYLINE_TESTDATA", "/root/testdata/sf0.001")
 TABLES = (
@@ -39,8 +40,9 @@ def comparable(columns, rows):
 
 
 def test_registers_agree():
-    queries, oracle = contract.queries(), contract.oracle_sql()
-    assert set(oracle) <= set(queries)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    queries, oracle = load().QUERIES, load().ORACLE
+    assert set(queries) <= set(contract.queries()) and set(oracle) <= set(queries)
     assert set(queries) - set(oracle) == {"hotspots", "serve_hotspots", "serve_map_points"}
 
 
@@ -48,7 +50,7 @@ def test_entry(spark):
     assert contract.entry(spark).columns == ["trend_type", "trend_key", "crime_count"]
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(load().ORACLE))
 def test_query_equals_sql(spark, duck, name):
     frame = contract.queries()[name](spark, FOLDER)
     plan = frame._jdf.queryExecution().executedPlan().toString()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chunks, mixing, pieces, simhash, toxicity, warc
+from tallyline.llm import chunks, language, mixing, outliers, pieces, simhash, toxicity, vectors, warc
 from tallyline.llm.common import Stash, id_of, is_held_out, table
 from tallyline.llm.register import ORACLE, QUERIES, query
 
@@ -99,3 +99,24 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Each page as the written archives hold it."""
     manifest = warc.write_archives(table(spark, folder, "pages"))
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of each document by a model that learned from the rows not held out."""
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs)
+    made = docs.select("doc_id", is_held_out("doc_id", 4, 2).alias("held_out"), language.predicted(model).alias("p"))
+    return made.select("doc_id", "held_out", "p.lang_pred", "p.score", "p.accepted")
+
+
+@query("op4_embedding_near_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of links and component of each vector."""
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of each document."""
+    return outliers.judge(table(spark, folder, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chunks, language, mixing, outliers, pieces, simhash, toxicity, vectors, warc
+from tallyline.llm import chunks, language, mixing, outliers, pieces, simhash, toolcalls, toxicity, vectors, warc
 from tallyline.llm.common import Stash, id_of, is_held_out, table
 from tallyline.llm.register import ORACLE, QUERIES, query
 
@@ -120,3 +120,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of each document."""
     return outliers.judge(table(spark, folder, "documents"))
+
+
+@query("op2_tool_calls")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as linked, ordered and checked tool calls, a line of canonical JSON per message."""
+    messages = toolcalls.from_turns(table(spark, folder, "conversations"))
+    return toolcalls.format_chat(messages, toolcalls.tool_schemas(spark))

@@ -22,10 +22,12 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 THREADS = 2
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 LINE_WORDS = 40
 
 # Piece types and model types of the protobuf.
@@ -220,7 +222,8 @@ class Codec:
             places[gaps] = [found(words[g]) for g in gaps]
         lengths = self.lengths[places]
         ends = np.cumsum(lengths)
-        ids = self.pool[np.repeat(self.begin[places] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        shift = np.repeat((self.begin[places] - (ends - lengths)).astype(np.int32), lengths)
+        ids = self.pool[shift + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
         reach = np.r_[0, ends][np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
         bad = [[not words_bad.isdisjoint(w) for w in split] if words_bad else [False] * len(split) for words_bad in (self.unlike, self.lossy)]
         return ids, np.diff(np.r_[0, reach]), ~np.array(bad[0], bool), ~np.array(bad[1], bool)
@@ -250,18 +253,20 @@ _ENCODED = T.StructType(
 )
 
 
-SLICE_CHARS = 4_000_000
+SLICE_BYTES = 1 << 20
 
 
-def _slices(texts: list[str]) -> list[list[str]]:
-    made, size = [[]], 0
-    for text in texts:
-        if size > SLICE_CHARS:
-            made.append([])
-            size = 0
-        made[-1].append(text)
-        size += len(text)
-    return made
+def _slices(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts in lists of a bounded size (or one text)."""
+    sizes = np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at, size = 0, 0
+    for k, more in enumerate(sizes.tolist()):
+        if k > at and size + more > SLICE_BYTES:
+            yield texts.slice(at, k - at).to_pylist()
+            at, size = k, 0
+        size += more
+    if at < len(texts):
+        yield texts.slice(at).to_pylist()
 
 
 def encoder(model: bytes):
@@ -270,16 +275,14 @@ def encoder(model: bytes):
     @F.arrow_udf(_ENCODED)
     def encode(texts: pa.Array) -> pa.Array:
         codec = Codec.of(model)
-        given = texts.to_pylist()
-        present = [t for t in given if t is not None]
-        parts = [codec.encode(some) for some in _slices(present)]
+        parts = [codec.encode([t for t in some if t is not None]) for some in _slices(texts)]
         ids, counts, same, back = (np.concatenate(column) for column in zip(*parts, strict=True))
-        none = np.array([t is None for t in given], bool)
-        lengths = np.zeros(len(given), np.int64)
+        none = texts.is_null().to_numpy(zero_copy_only=False)
+        lengths = np.zeros(len(texts), np.int64)
         lengths[~none] = counts
         offsets = pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(ids), mask=pa.array(none))
-        flags = [np.zeros(len(given), bool) for _ in range(2)]
+        flags = [np.zeros(len(texts), bool) for _ in range(2)]
         for flag, values in zip(flags, (same, back), strict=True):
             flag[~none] = values
         return pa.StructArray.from_arrays(

@@ -115,3 +115,13 @@ def learnable(column: str, modulus: int, held_out: int) -> Column:
 def is_held_out(column: str, modulus: int, held_out: int) -> Column:
     """crc32 of the id as text leaves the given remainder; a row without an id does not."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == held_out, F.lit(False))
+
+
+def bounded(frame: DataFrame, rows: int, total: int, *key: str) -> DataFrame:
+    """About ``rows`` of ``total`` rows by hash of the key, never more.
+
+    Hashes are cut off before the limit, so what all tasks send is bounded too.
+    """
+    share = min(1.0, 1.2 * rows / max(total, 1))
+    lucky = F.pmod(F.xxhash64(*key), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    return frame.where(lucky).orderBy(F.xxhash64(*key), *key).limit(rows)

@@ -159,7 +159,8 @@ class Codec:
         starts = np.flatnonzero(self.begins[ids])
         if len(starts) != len(plain) or (len(starts) and starts[0]):
             raise ValueError("a word of a line has no piece of its own")
-        others = encode(odd)
+        # A marker alone ends a text; by itself the empty word has no piece, so it is taken from behind another.
+        others = [ids if w else encode(["a "])[0][len(encode(["a"])[0]) :] for w, ids in zip(odd, encode(odd), strict=True)]
         lengths = np.r_[np.diff(np.r_[starts, len(ids)]), [len(o) for o in others]].astype(np.int64)
         return np.r_[ids, np.fromiter(chain.from_iterable(others), np.int32)], lengths
 

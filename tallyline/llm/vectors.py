@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import Stash, id_key, id_of
+from tallyline.llm.common import Stash, bounded, id_key, id_of
 from tallyline.llm.components import components
 from tallyline.llm.forest import absorb
 
@@ -267,7 +267,7 @@ def fit(classes: DataFrame, total: int, limit: float = LIMIT, target: float = TA
     widths = classes.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").first()
     if widths is None or widths["width"] < 2:
         return None
-    drawn = classes.where(F.size("v") == widths["width"]).select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect()
+    drawn = bounded(classes.where(F.size("v") == widths["width"]).select("v"), sample, widths["n"], "v").collect()
     return build(unit_rows(np.array([r["v"] for r in drawn], np.float64)), total, limit, target)
 
 

@@ -32,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import NO_ID, Stash, id_key, id_of, scratch
+from tallyline.llm.common import NO_ID, Stash, bounded, id_key, id_of, scratch
 
 MIN_PAYLOAD = 100
 SKIPPABLE = 0x184D2A5D
@@ -194,7 +194,7 @@ def write_archives(
     placed = shaped.join(copies, shaped["digest"] == copies["of"], "left").select("page", "url", "html", "digest", refers)
     # Bounded in rows and in bytes of each; it only shapes the dictionary.
     sample = shaped.select("page", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html"), "digest")
-    sample = sample.orderBy(F.xxhash64("page"), "digest").limit(sample_rows).collect()
+    sample = bounded(sample, sample_rows, pages.count(), "page", "digest").collect()
     dictionary = build_dictionary(
         [record(None if r["page"] == NO_ID else r["page"], r["url"], bytes(r["html"]), r["digest"], None) for r in sample]
     )

@@ -47,6 +47,7 @@ SAMPLE_CHARS = 20_000
 WINDOWS_PER_ROW = 8
 ROUNDS = 5
 BATCH = 256
+LEAST_STEPS = 60
 THRESHOLD = 0.7
 SLICE_WORDS = 200_000
 CACHE_WORDS = 500_000
@@ -274,10 +275,13 @@ class Adam:
             self.weights[name] -= self.rate * fix * self.mean[name] / (np.sqrt(self.square[name]) + 1e-6)
 
 
-def _epoch(net: Network, adam: Adam, windows: list[list[bytes]], marks: np.ndarray, draw: np.random.Generator) -> None:
-    order = draw.permutation(len(windows))
-    for at in range(0, len(order), BATCH):
-        some = order[at : at + BATCH]
+def _round(net: Network, adam: Adam, windows: list[list[bytes]], marks: np.ndarray, draw: np.random.Generator) -> None:
+    """One pass over the windows, or as many as make ``LEAST_STEPS`` steps."""
+    batch = int(np.clip(len(windows) // LEAST_STEPS, 32, BATCH))
+    passes = max(1, -(-LEAST_STEPS * batch // len(windows)))
+    order = np.concatenate([draw.permutation(len(windows)) for _ in range(passes)])
+    for at in range(0, len(order), batch):
+        some = order[at : at + batch]
         distinct, tokens = _numbered([w for k in some for w in windows[k]])
         sizes = np.array([len(windows[k]) for k in some])
         ends = np.cumsum(sizes)
@@ -321,7 +325,7 @@ def train(texts: list[bytes | None], labels: list[int], seed: int = 11, clean_we
     use, marks = np.ones(len(windows), bool), toxic.astype(np.float32)
     for number in range(ROUNDS):
         chosen = np.flatnonzero(use)
-        _epoch(net, adam, [windows[k] for k in chosen], marks[chosen], draw)
+        _round(net, adam, [windows[k] for k in chosen], marks[chosen], draw)
         if number < ROUNDS - 1:
             logits = np.concatenate(window_logits(net, windows))
             best = np.full(len(rows), -np.inf)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions import values
 from tallyline.plans.runs import RunStore, run_batch
-from tallyline.session import build_session
+from tallyline.session import CHECKPOINT_SETTING, build_session, remove_path
 from tallyline.sources import events, records
 from tallyline.sources.schemas import RAW_SCHEMAS
 from tallyline.streaming import sinks, windows
@@ -20,10 +23,21 @@ def _options(pairs: list[str]) -> dict[str, str]:
 
 def _batch(args: argparse.Namespace) -> None:
     spark = build_session("batch-analytics", args.master, cluster=True)
-    raw = {
-        name: records.read_dataset(spark, name, getattr(args, name), args.sample_rows) for name in RAW_SCHEMAS
-    }
-    print(run_batch(RunStore(spark, args.store), raw, args.run_id, k=args.clusters))
+    work = None
+    if spark.conf.get(CHECKPOINT_SETTING, None) is None:
+        work = f"{args.work_dir or args.store + '/work'}/{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(work)
+    try:
+        raw = {
+            name: records.read_dataset(
+                spark, name, getattr(args, name), args.sample_rows, multiline=not args.single_line, fmt=args.input_format
+            )
+            for name in RAW_SCHEMAS
+        }
+        print(run_batch(RunStore(spark, args.store), raw, args.run_id, k=args.clusters))
+    finally:
+        if work:
+            remove_path(spark, work)
 
 
 def _publish(args: argparse.Namespace) -> None:
@@ -36,19 +50,35 @@ def _publish(args: argparse.Namespace) -> None:
 
 def _alerts(args: argparse.Namespace) -> None:
     spark = build_session("alert-stream", args.master, cluster=True)
-    lines = events.read_event_stream(spark, args.format, args.path, **_options(args.option))
-    good = events.accepted(events.parse_events(lines.select("value")))
-    timed = good.withColumn("moment", events.event_time(F.col("date"), args.time_basis))
+    for query in start_alert_job(spark, args):
+        query.awaitTermination()
+
+
+def start_alert_job(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    """The alert stream, the stream of refused messages, and the raw log where asked."""
+    intake = {"maxOffsetsPerTrigger": str(args.intake)} if args.format == "kafka" else {"maxFilesPerTrigger": "64"}
+    lines = events.read_event_stream(spark, args.format, args.path, args.schema, **(intake | _options(args.option)))
+    # A source that tells when a message came in (Kafka does) has it in ``timestamp``.
+    arrival = F.col("timestamp") if "timestamp" in lines.columns else None
+    parsed = events.parse_events(lines.select("value", *(["timestamp"] if arrival is not None else [])))
+    good = events.accepted(parsed)
+    timed = good.withColumn("moment", events.event_time(F.col("date"), args.time_basis, arrival))
     emits = windows.trailing_stream(timed, "district", "moment", "case_number", args.size, args.slide)
     minima = dict(zip(("LOW", "MEDIUM", "HIGH"), args.minima))
     trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
-    store = sinks.AlertStore(spark, args.store)
-    sinks.start_alerts(
-        emits, store, args.checkpoint, minima=minima, threshold=args.threshold, trigger=trigger
-    ).awaitTermination()
-
-
-def main() -> None:
+    store, beside = sinks.AlertStore(spark, args.store), args.checkpoint.rstrip("/")
+    started = [
+        sinks.start_alerts(emits, store, args.checkpoint, minima=minima, threshold=args.threshold, trigger=trigger),
+        sinks.start_quarantine(events.quarantined(parsed), f"{args.store}/quarantine", f"{beside}-quarantine", trigger),
+    ]
+    if args.raw_log:
+        log = events.raw_documents(good, arrival if arrival is not None else F.current_timestamp())
+        started.append(sinks.start_raw_log(log, f"{args.store}/raw_events", f"{beside}-raw", trigger=trigger))
+    return started
+
+
+def parser() -> argparse.ArgumentParser:
+    """The three jobs and their arguments."""
     parser = argparse.ArgumentParser(prog="tallyline", description=__doc__)
     parser.add_argument("--master", help="for a local trial; spark-submit sets it on a cluster")
     jobs = parser.add_subparsers(required=True)
@@ -60,6 +90,9 @@ def main() -> None:
     batch.add_argument("--run-id")
     batch.add_argument("--sample-rows", type=int, help="use only the first rows of each file")
     batch.add_argument("--clusters", type=int, default=10)
+    batch.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
+    batch.add_argument("--single-line", action="store_true", help="no field holds a line break: large CSV files are split")
+    batch.add_argument("--work-dir", help="shared folder for intermediate data; default: below the store")
     batch.set_defaults(job=_batch)
 
     publish = jobs.add_parser("publish", help="send incident rows as event messages")
@@ -74,7 +107,10 @@ def main() -> None:
     alerts.add_argument("--slide", type=int, default=values.SLIDE_SECONDS)
     alerts.add_argument("--threshold", type=int, default=values.THRESHOLD)
     alerts.add_argument("--minima", type=int, nargs=3, default=list(values.SEVERITY_MINIMA.values()))
-    alerts.add_argument("--time-basis", choices=("event", "arrival"), default="arrival")
+    alerts.add_argument("--time-basis", choices=("event", "arrival"), default="event")
+    alerts.add_argument("--intake", type=int, default=1_000_000, help="most messages of a Kafka micro-batch")
+    alerts.add_argument("--schema", help="columns of a file source, such as 'value string, timestamp timestamp'")
+    alerts.add_argument("--raw-log", action="store_true", help="keep every accepted event, by day of intake")
     alerts.add_argument("--every", help="trigger interval, such as '10 seconds'; default: what is there, then end")
     alerts.set_defaults(job=_alerts)
 
@@ -83,7 +119,11 @@ def main() -> None:
         job.add_argument("--path")
         job.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="source or sink option")
 
-    args = parser.parse_args()
+    return parser
+
+
+def main() -> None:
+    args = parser().parse_args()
     args.job(args)
 
 

@@ -9,13 +9,14 @@ from tallyline.bindings.registry import query
 from tallyline.bindings.scalars import HOPS
 from tallyline.bindings.tables import (
     BLOCKS, DIMENSION, INCIDENTS, OUTCOMES, REGISTRY, SIZE, SLIDE, VICTIM_KEYWORD, VICTIMS, block_incidents, dimension,
-    event_incidents, incidents, outcomes, registry, stamp, table, victims,
+    event_incidents, incidents, order_moments, outcomes, registry, stamp, table, victims,
 )
 from tallyline.operators import clusters, counting, hops, keys, rates, trailing
 from tallyline.operators.stats import correlation_rows
 from tallyline.plans import correlations, density, outcomes as outcome_plan
 from tallyline.plans import incidents as incident_plan
 from tallyline.plans.trends import crime_trends
+from tallyline.session import materialise
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -36,7 +37,7 @@ def trends_sql(source: str, moment: str) -> str:
 
 @query("trend_counts", trends_sql("orders", "o_orderdate"))
 def trend_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return crime_trends(incidents(spark, folder))
+    return crime_trends(order_moments(spark, folder))
 
 
 @query("trend_counts_events", trends_sql("events", "ts"))
@@ -168,6 +169,11 @@ def density_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def offender_areas(spark: SparkSession, folder: str) -> DataFrame:
+    """Offenders per area, unranked."""
+    return density.area_counts(registry(spark, folder), block_incidents(spark, folder))
+
+
 @query("derived_key_counts", f"WITH {DENSITY} SELECT * FROM density")
 def derived_key_counts(spark: SparkSession, folder: str) -> DataFrame:
     return density_rows(spark, folder)
@@ -234,7 +240,7 @@ CORRELATIONS = f"""
 
 @query("metric_correlation", CORRELATIONS)
 def metric_correlation(spark: SparkSession, folder: str) -> DataFrame:
-    found = correlations.correlations(tally(spark, folder), violence(spark, folder), density_rows(spark, folder))
+    found = correlations.correlations(tally(spark, folder), violence(spark, folder), offender_areas(spark, folder))
     return rounded(found, "x_value", "y_value", "correlation_value")
 
 
@@ -287,6 +293,39 @@ def hotspots(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.hotspots(_points(spark, folder))
 
 
+@query(
+    "hotspots_check",
+    """
+    SELECT least(10, (SELECT count(*) FROM (SELECT DISTINCT l_discount, l_tax FROM lineitem WHERE l_discount <> 0 AND l_tax <> 0)))
+               AS clusters,
+           count(*) AS members, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS off_center
+    FROM lineitem WHERE l_discount <> 0 AND l_tax <> 0
+    """,
+)
+def hotspots_check(spark: SparkSession, folder: str) -> DataFrame:
+    """The fitted result itself: how many clusters and members, how many members lie
+    nearer to another center, and how many centers are not the mean of their members."""
+    points = _points(spark, folder)
+    found = materialise(clusters.hotspots(points))
+    centers = found.select("cluster_id", "centroid_latitude", "centroid_longitude")
+    places = points.groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("n"))
+    placed = clusters.nearest_center(places, centers, k=10)
+    weigh = lambda c: F.sum(F.col(c) * F.col("n")) / F.sum("n")
+    nearest = placed.groupBy("cluster_id").agg(
+        F.sum("n").alias("nearest"), weigh("latitude").alias("mid_latitude"), weigh("longitude").alias("mid_longitude")
+    )
+    far = (F.abs(F.col("mid_latitude") - F.col("centroid_latitude")) > 1e-4) | (
+        F.abs(F.col("mid_longitude") - F.col("centroid_longitude")) > 1e-4
+    )
+    compared = found.join(nearest, "cluster_id", "left")
+    return compared.agg(
+        F.count(F.lit(1)).alias("clusters"),
+        F.sum("crime_count").alias("members"),
+        (F.sum(F.abs(F.col("crime_count") - F.coalesce("nearest", F.lit(0)))) / 2).cast("long").alias("misplaced"),
+        F.count_if(far).alias("off_center"),
+    )
+
+
 CELLS = """
     SELECT CAST(round(l_discount * 100) AS INTEGER) // 3 * 10 + CAST(round(l_tax * 100) AS INTEGER) // 3 AS cluster_id,
            round(avg(l_discount), 6) AS cx, round(avg(l_tax), 6) AS cy
@@ -294,6 +333,14 @@ CELLS = """
 """
 
 
+def cell_centers(points: DataFrame) -> DataFrame:
+    """Means of coarse cells as centers, with their members: the same on every run."""
+    cell = F.floor(F.round(F.col("latitude") * 100) / 3) * 10 + F.floor(F.round(F.col("longitude") * 100) / 3)
+    return points.groupBy(cell.cast("int").alias("cluster_id")).agg(
+        F.round(F.avg("latitude"), 6).alias("cx"), F.round(F.avg("longitude"), 6).alias("cy"), F.count(F.lit(1)).alias("members")
+    )
+
+
 @query(
     "nearest_center",
     f"""
@@ -307,10 +354,7 @@ CELLS = """
 def nearest_center(spark: SparkSession, folder: str) -> DataFrame:
     """Centers are the means of coarse cells, so they come from the table too."""
     points = _points(spark, folder)
-    cell = F.floor(F.round(F.col("latitude") * 100) / 3) * 10 + F.floor(F.round(F.col("longitude") * 100) / 3)
-    centers = points.groupBy(cell.cast("int").alias("cluster_id")).agg(
-        F.round(F.avg("latitude"), 6).alias("cx"), F.round(F.avg("longitude"), 6).alias("cy")
-    )
+    centers = cell_centers(points).drop("members")
     placed = clusters.nearest_center(points, centers, k=16)
     return placed.groupBy("latitude", "longitude", "cluster_id").agg(F.count(F.lit(1)).alias("crime_count"))
 

@@ -7,9 +7,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.bindings.batch import CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, density_rows, rounded, trends_sql, violence
+from tallyline.bindings.batch import CELLS, CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, cell_centers, density_rows, offender_areas, rounded, trends_sql, violence
 from tallyline.bindings.registry import query
-from tallyline.bindings.tables import SIZE, VICTIM_KEYWORD, incidents, outcomes, stamp, table, victims
+from tallyline.bindings.tables import SIZE, VICTIM_KEYWORD, incidents, order_moments, outcomes, stamp, table, victims
 from tallyline.operators import clusters
 from tallyline.plans import contracts, correlations, incidents as incident_plan, outcomes as outcome_plan
 from tallyline.plans.runs import COMPLETED, FAILED, RUNNING, RunStore, ledger_state, row_counts
@@ -22,11 +22,10 @@ JOB = "tables"
 
 def _result(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
     """A result table; the older run saw only the finished orders."""
-    cases = incidents(spark, folder)
-    if run == OLD:
-        cases = cases.where(F.col("status") == "F")
+    seen = (lambda rows: rows.where(F.col("status") == "F")) if run == OLD else (lambda rows: rows)
     if name == "crime_trends":
-        return crime_trends(cases)
+        return crime_trends(seen(order_moments(spark, folder)))
+    cases = seen(incidents(spark, folder))
     if name == "arrest_rates":
         return outcome_plan.arrest_rates(outcome_plan.case_tally(cases, outcomes(spark, folder)))
     if name == "violence_stats":
@@ -34,12 +33,15 @@ def _result(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
     if name == "sex_offender_density":
         return density_rows(spark, folder)
     if name == "hotspots":
+        # Not the fit, which no SQL can repeat: centers that are the same on every run.
         lines = table(spark, folder, "lineitem")
-        return clusters.hotspots(clusters.valid_points(lines, F.col("l_discount"), F.col("l_tax")))
+        centers = cell_centers(clusters.valid_points(lines, F.col("l_discount"), F.col("l_tax")))
+        return centers.toDF("cluster_id", "centroid_latitude", "centroid_longitude", "crime_count")
     tally = outcome_plan.case_tally(cases, outcomes(spark, folder))
-    return correlations.correlations(tally, violence(spark, folder), density_rows(spark, folder))
+    return correlations.correlations(tally, violence(spark, folder), offender_areas(spark, folder))
 
 
+# Kept per application and folder: the given tables do not change while a session runs.
 @lru_cache(maxsize=None)
 def _store(application: str, folder: str) -> RunStore:
     """A store with two completed runs, a failed and an open one; tables come on demand."""
@@ -67,7 +69,7 @@ def published(spark: SparkSession, folder: str, name: str) -> DataFrame:
     application = spark.sparkContext.applicationId
     _publish(application, folder, name)
     store = _store(application, folder)
-    return reads.of_latest_run(store.read(name), ledger_state(store.ledger()))
+    return reads.of_latest_run(store.read(name), ledger_state(store.ledger())).drop(contracts.CREATED)
 
 
 @query(
@@ -84,7 +86,7 @@ def staged_publish(spark: SparkSession, folder: str) -> DataFrame:
         store.stage(result, "crime_trends", run)
         store.publish(run, ["crime_trends"])
         store.publish(run, ["crime_trends"])
-    return store.read("crime_trends")
+    return store.read("crime_trends").drop(contracts.CREATED)
 
 
 @query(
@@ -94,7 +96,7 @@ def staged_publish(spark: SparkSession, folder: str) -> DataFrame:
     UNION ALL SELECT 'arrest_rates', count(*) FROM ({RATE_ROWS})
     UNION ALL SELECT 'violence_stats', count(*) FROM (SELECT * FROM ({STATS_DETAIL}) UNION ALL SELECT * FROM ({STATS_TOP}))
     UNION ALL SELECT 'sex_offender_density', count(*) FROM (WITH {DENSITY} SELECT * FROM density)
-    UNION ALL SELECT 'hotspots', least(10, count(*)) FROM (SELECT DISTINCT l_discount, l_tax FROM lineitem WHERE l_discount <> 0 AND l_tax <> 0)
+    UNION ALL SELECT 'hotspots', count(*) FROM ({CELLS})
     UNION ALL SELECT 'correlations', count(*) FROM ({CORRELATIONS})
     """,
 )

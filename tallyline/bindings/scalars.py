@@ -55,7 +55,8 @@ def parse_time(spark: SparkSession, folder: str) -> DataFrame:
     raw = F.lit(None).cast("string")
     for i, spelling in enumerate(spellings):
         raw = F.when(key % 8 == i, F.concat(F.lit(" "), F.date_format(moment, spelling), F.lit(" "))).otherwise(raw)
-    raw = F.when(key % 8 == 5, F.lit("garbage")).when(key % 8 == 6, F.lit("")).otherwise(raw)
+    bare = F.date_format(moment, "HH:mm")  # a time of day alone is no time
+    raw = F.when(key % 8 == 5, F.lit("garbage")).when(key % 8 == 6, F.when(key % 16 == 6, F.lit("")).otherwise(bare)).otherwise(raw)
     return table(spark, folder, "orders").select("o_orderkey", stamp(values.parse_time(raw)).alias("parsed"))
 
 
@@ -92,7 +93,8 @@ def lenient_bool(spark: SparkSession, folder: str) -> DataFrame:
 def safe_number(spark: SparkSession, folder: str) -> DataFrame:
     key, price = F.col("o_orderkey") % 5, F.col("o_totalprice").cast("string")
     raw = F.when(key == 0, price).when(key == 1, F.concat(F.lit(" "), price, F.lit(" ")))
-    raw = raw.when(key == 2, F.lit("")).when(key == 3, F.lit("abc"))
+    raw = raw.when(key == 2, F.lit("")).when(key == 3, F.when(F.col("o_orderkey") % 2 == 0, F.lit("abc")).otherwise(F.lit("NaN")))
+    raw = raw.when((key == 4) & (F.col("o_orderkey") % 2 == 0), F.lit("-Infinity"))
     return table(spark, folder, "orders").select(
         "o_orderkey", values.safe_number(raw).alias("number"), values.whole_number(raw).alias("whole")
     )
@@ -181,9 +183,16 @@ def severity_band(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "stream_event_time",
     """
-    SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time FROM events
+    SELECT CAST(event_id AS VARCHAR) AS event_id,
+           strftime(CASE WHEN event_id % 7 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END, '%Y-%m-%d %H:%M:%S') AS event_time
+    FROM events
     """,
 )
 def stream_event_time(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = parse_events(event_lines(spark, folder), EVENT_FIELDS)
-    return parsed.select("event_id", stamp(event_time(F.col("date"))).alias("event_time"))
+    """Every seventh date cannot be read; the arrival, a day later, stands in."""
+    later = F.col("ts").cast("timestamp") + F.expr("INTERVAL 1 DAY")
+    parsed = parse_events(event_lines(spark, folder, more={"arrived": later}), EVENT_FIELDS)
+    unread = F.col("event_id").cast("long") % 7 == 0
+    odd = F.when(F.col("event_id").cast("long") % 2 == 0, F.lit("10:30")).otherwise(F.lit("some day"))
+    date = F.when(unread, odd).otherwise(F.col("date"))
+    return parsed.select("event_id", stamp(event_time(date, "event", F.col("arrived"))).alias("event_time"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.bindings.batch import CORRELATIONS, DENSITY, RATE_ROWS, STATS_DETAIL, STATS_TOP, rounded, trends_sql
+from tallyline.bindings.batch import CELLS, CORRELATIONS, DENSITY, RATE_ROWS, STATS_DETAIL, STATS_TOP, rounded, trends_sql
 from tallyline.bindings.registry import query
 from tallyline.bindings.runs import ORDER_RUNS, order_ledger, published
 from tallyline.bindings.tables import stamp
@@ -123,11 +123,17 @@ def serve_correlations(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(page, "x_value", "y_value", "correlation_value")
 
 
-@query("serve_hotspots")
+HOTSPOTS = CELLS.replace("AS cy", "AS cy, count(*) AS crime_count")
+
+
+@query(
+    "serve_hotspots",
+    f"SELECT cluster_id, cx AS centroid_latitude, cy AS centroid_longitude, crime_count FROM ({HOTSPOTS}) ORDER BY cluster_id",
+)
 def serve_hotspots(spark: SparkSession, folder: str) -> DataFrame:
     return reads.ordered_hotspots(published(spark, folder, "hotspots"))
 
 
-@query("serve_map_points")
+@query("serve_map_points", f"SELECT cx AS lat, cy AS lon, crime_count FROM ({HOTSPOTS})")
 def serve_map_points(spark: SparkSession, folder: str) -> DataFrame:
     return reads.map_points(published(spark, folder, "hotspots"))

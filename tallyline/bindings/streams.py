@@ -20,6 +20,9 @@ from tallyline.sources.records import to_parquet
 from tallyline.streaming import alerts, sinks, windows
 
 
+WRITER = "tables"
+
+
 def emitted(spark: SparkSession, folder: str) -> DataFrame:
     """Throttled trailing windows of the events, one key per event type."""
     seconds = trailing.per_second(table(spark, folder, "events"), "event_type", "ts", "event_id")
@@ -70,6 +73,7 @@ def alert_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(alerts.alert_rows(anomalies(spark, folder)))
 
 
+# Kept per application and folder: the given tables do not change while a session runs.
 @lru_cache(maxsize=None)
 def _live(application: str, folder: str) -> sinks.AlertStore:
     """All anomalies saved in one batch, then once more: a replay changes nothing."""
@@ -77,7 +81,7 @@ def _live(application: str, folder: str) -> sinks.AlertStore:
     store = sinks.AlertStore(spark, scratch_path(spark, "live"))
     rows = to_parquet(anomalies(spark, folder), scratch_path(spark, "anomalies"))
     for _ in range(2):
-        store.save(rows, 0)
+        store.save(rows, 0, WRITER)
     return store
 
 
@@ -117,7 +121,7 @@ COUNTS = f"""
 
 @query("serve_live_counts", f"SELECT * FROM ({COUNTS}) ORDER BY window_end DESC, district, window_start LIMIT 100")
 def serve_live_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(reads.live_counts(live(spark, folder).counts.latest(_like_counts(spark))))
+    return _shown(reads.live_counts(live(spark, folder).counts.newest(_like_counts(spark), 100)))
 
 
 def _thirds(rows: DataFrame, ident: str, top: DataFrame) -> DataFrame:
@@ -152,7 +156,7 @@ def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     target = sinks.BatchTable(spark, scratch_path(spark, "upsert"), ("district", "window_start", "window_end"), "window_end")
     kept = to_parquet(shaped, scratch_path(spark, "counts"))
     for batch in (0, 1, 1, 2, 2):
-        target.upsert(kept.where(F.col("batch") == batch).drop("batch"), batch)
+        target.upsert(kept.where(F.col("batch") == batch).drop("batch"), batch, WRITER)
     return _shown(target.latest(_like_counts(spark)))
 
 
@@ -179,7 +183,7 @@ def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     target = sinks.BatchTable(spark, scratch_path(spark, "alerts"), ("alert_id",), "window_end")
     for batch in (0, 1, 1, 2):
         part = kept.where(F.col("third") == batch)
-        target.insert_absent(part.unionAll(part), batch)
+        target.insert_absent(part.unionAll(part), batch, WRITER)
     return target.stored(kept).select("alert_id", "source", F.col("third").alias("batch"))
 
 
@@ -225,11 +229,30 @@ def timed(accepted: DataFrame) -> DataFrame:
     )
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events as a stream of JSON lines from files."""
+FEEDS, FEED_ROWS = 8, 100_000
+
+
+def _topic(spark: SparkSession, folder: str, with_arrival: bool = False) -> str:
+    """The events as files of JSON lines in time order, each a slice of time written after
+    the one before. Eight files at least, more where a file would pass ``FEED_ROWS`` rows."""
     path = scratch_path(spark, "topic")
-    events.publish(event_lines(spark, folder), "text", path)
-    lines = events.read_event_stream(spark, "text", path, maxFilesPerTrigger="64")
+    rows = table(spark, folder, "events")
+    moment = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = rows.agg(F.min(moment).alias("low"), F.max(moment).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    feeds = max(FEEDS, -(-span["n"] // FEED_ROWS))
+    number = F.floor((moment - F.lit(span["low"])) * F.lit(feeds) / F.lit(span["high"] - span["low"] + 1))
+    shown = ["value"] + (["arrived"] if with_arrival else [])
+    lines = event_lines(spark, folder, more={"feed": number, "arrived": F.col("ts").cast("timestamp")})
+    kept = to_parquet(lines, scratch_path(spark, "feeds"))
+    for feed in range(feeds):
+        slice_ = kept.where(F.col("feed") == feed).select(*shown).repartition(1)
+        slice_.write.mode("append").format("json" if with_arrival else "text").save(path)
+    return path
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream of JSON lines, one file and slice of time per micro-batch."""
+    lines = events.read_event_stream(spark, "text", _topic(spark, folder), maxFilesPerTrigger="1")
     return timed(events.accepted(events.parse_events(lines, EVENT_FIELDS)))
 
 
@@ -261,6 +284,23 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(store.alerts.latest(_like_alerts(spark)))
 
 
+@query("stream_arrival", _alerts_sql())
+def stream_arrival(spark: SparkSession, folder: str) -> DataFrame:
+    """The speed layer by arrival time: each message carries when it came in, as a Kafka
+    source tells it, and its own date says something else."""
+    lines = events.read_event_stream(
+        spark, "json", _topic(spark, folder, with_arrival=True), "value string, arrived timestamp", maxFilesPerTrigger="1"
+    )
+    parsed = events.accepted(events.parse_events(lines, EVENT_FIELDS))
+    moment = events.event_time(F.lit("2001-01-01 00:00:00"), "arrival", F.col("arrived"))
+    placed = parsed.withColumns({"moment": moment, "event_id": F.col("event_id").cast("long")})
+    emits = windows.trailing_stream(placed, "event_type", "moment", "event_id", SIZE, SLIDE)
+    store = sinks.AlertStore(spark, scratch_path(spark, "arrival"))
+    running = sinks.start_alerts(emits, store, scratch_path(spark, "checkpoint"), minima=MINIMA, threshold=THRESHOLD)
+    running.awaitTermination()
+    return _shown(store.alerts.latest(_like_alerts(spark)))
+
+
 @query("stream_counts", COUNTS)
 def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The live counts the same stream writes: one per emitted window."""

@@ -39,6 +39,14 @@ def incidents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders' times alone, for what asks nothing about areas."""
+    moment = F.col("o_orderdate").cast("timestamp")
+    return table(spark, folder, "orders").select(
+        moment.alias("event_timestamp"), F.year(moment).alias("year"), F.col("o_orderstatus").alias("status")
+    )
+
+
 INCIDENTS = """
     SELECT CAST(o_orderkey AS VARCHAR) AS case_number, o_orderpriority AS primary_type,
            lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS district, o_orderdate AS event_timestamp,
@@ -141,14 +149,16 @@ REGISTRY = """
 
 def dimension(spark: SparkSession, folder: str) -> DataFrame:
     """Nations as the area dimension; the last five have no name there."""
-    return table(spark, folder, "nation").where(F.col("n_nationkey") < 20).select(
-        F.col("n_nationkey").cast("string").alias("district"), F.col("n_name").alias("district_name")
+    name = F.when(F.col("n_nationkey") < 20, F.col("n_name"))
+    return table(spark, folder, "nation").select(
+        F.col("n_nationkey").cast("string").alias("district"), name.alias("district_name")
     )
 
 
 DIMENSION = """
-    SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS district, n_name AS district_name
-    FROM nation WHERE n_nationkey < 20
+    SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS district,
+           CASE WHEN n_nationkey < 20 THEN n_name END AS district_name
+    FROM nation
 """
 
 # Stream settings of the fixture.
@@ -161,8 +171,11 @@ EVENT_FIELDS = {
 }
 
 
-def event_lines(spark: SparkSession, folder: str, broken: bool = False) -> DataFrame:
-    """Events as JSON lines; with ``broken`` a fixed share of them is damaged."""
+def event_lines(
+    spark: SparkSession, folder: str, broken: bool = False, more: dict[str, Column] | None = None
+) -> DataFrame:
+    """Events as JSON lines; with ``broken`` a fixed share of them is damaged. ``more``
+    names columns to stand beside the line."""
     ident = F.col("event_id")
     half = ident % 50
     fields = {
@@ -181,7 +194,8 @@ def event_lines(spark: SparkSession, folder: str, broken: bool = False) -> DataF
         fields["latitude"] = F.when(half == 3, F.lit("north")).otherwise(fields["latitude"])
     whole = F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())))
     value = F.when(half == 0, F.substring(whole, 1, 20)).otherwise(whole) if broken else whole
-    return table(spark, folder, "events").select(value.alias("value"))
+    beside = [column.alias(name) for name, column in (more or {}).items()]
+    return table(spark, folder, "events").select(value.alias("value"), *beside)
 
 
 def emits_sql(source: str = "events") -> str:

@@ -31,13 +31,15 @@ def parse_time(value: Column) -> Column:
     """Timestamp from any of the accepted spellings, else NULL.
 
     The spelling is told by its shape first, so that no parser is tried on text
-    that it must reject: a failed parse costs an exception per row.
+    that it must reject: a failed parse costs an exception per row. A text without
+    a date is no time: a bare time of day would be read as today's.
     """
     text = strip(value)
     us_style = F.when(
         F.upper(text).endswith("M"), F.try_to_timestamp(text, F.lit(US_12_HOUR))
     ).otherwise(F.try_to_timestamp(text, F.lit(US_24_HOUR)))
-    return F.when(text.contains("/"), us_style).otherwise(text.try_cast("timestamp"))
+    dated = F.when(text.rlike(r"^\d{4}-"), text.try_cast("timestamp"))
+    return F.when(text.contains("/"), us_style).otherwise(dated)
 
 
 def lenient_bool(value: Column) -> Column:
@@ -51,9 +53,15 @@ def strict_bool(value: Column) -> Column:
     return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
 
 
+def finite(value: Column) -> Column:
+    """Is a double neither NaN nor infinite?"""
+    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+
+
 def number(value: Column) -> Column:
-    """Double or NULL."""
-    return strip(value).try_cast("double")
+    """Finite double or NULL."""
+    read = strip(value).try_cast("double")
+    return F.when(finite(read), read)
 
 
 def safe_number(value: Column, default: float = 0.0) -> Column:

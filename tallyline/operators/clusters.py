@@ -7,15 +7,16 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.functions.values import finite
 from tallyline.session import materialise
 
 HOTSPOT_SCHEMA = "cluster_id int, centroid_latitude double, centroid_longitude double, crime_count long"
 
 
 def valid_points(df: DataFrame, x: Column, y: Column, names: tuple[str, str] = ("latitude", "longitude")) -> DataFrame:
-    """Points with both coordinates present and neither zero."""
+    """Points with both coordinates present and finite, and neither zero."""
     points = df.select(x.cast("double").alias(names[0]), y.cast("double").alias(names[1]))
-    return points.where((F.col(names[0]) != 0.0) & (F.col(names[1]) != 0.0))
+    return points.where((F.col(names[0]) != 0.0) & (F.col(names[1]) != 0.0) & finite(F.col(names[0])) & finite(F.col(names[1])))
 
 
 def hotspots(points: DataFrame, k: int = 10, seed: int = 42) -> DataFrame:
@@ -62,7 +63,7 @@ def nearest_center(points: DataFrame, centers: DataFrame, k: int, name: str = "c
     x, y = points.columns[:2]
     cid, cx, cy = centers.columns
     center = F.struct(F.col(cid).alias("id"), F.col(cx).alias("x"), F.col(cy).alias("y"))
-    packed = centers.agg(F.sort_array(F.collect_list(center)).alias("c")).select(
+    packed = centers.limit(k + 1).agg(F.sort_array(F.collect_list(center)).alias("c")).select(
         F.when(F.size("c") <= k, F.col("c")).otherwise(F.raise_error(F.lit(f"more than {k} centers"))).alias("c")
     )
 

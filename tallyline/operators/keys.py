@@ -54,17 +54,22 @@ def rank_in_order(df: DataFrame, order: Sequence[Column], name: str) -> DataFram
     The rows are range-sorted by Spark and kept (reliable checkpoint, so that the
     places cannot change between the two reads); the place is the number of rows
     in earlier partitions plus the place inside the partition. Only one row per
-    partition goes through the running total.
+    partition goes through the running total, and the totals come back as one
+    array, so the sorted rows are not shuffled again.
     """
     spot = F.monotonically_increasing_id()
     placed = materialise(df.orderBy(*order).withColumn("spot", spot))
     part = F.shiftright(F.col("spot"), 33)
     sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size"))
+    # Empty partitions get an entry too, so that a partition's number is its index.
+    parts = df.sparkSession.range(placed._jdf.rdd().getNumPartitions()).select(F.col("id").alias("part"))
+    every = parts.join(sizes, "part", "left")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
+    starts = every.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
+    listed = starts.agg(F.sort_array(F.collect_list(F.struct("part", "start")))["start"].alias("starts"))
     within = F.col("spot").bitwiseAND((1 << 33) - 1)
-    ranked = placed.withColumn("part", part).join(starts, "part")
-    return ranked.select(*df.columns, (F.col("start") + within + 1).alias(name))
+    start = F.get(listed.scalar(), part.cast("int"))
+    return placed.select(*df.columns, (start + within + 1).alias(name))
 
 
 def look_up(df: DataFrame, dimension: DataFrame, key: str, label: str, default: str) -> DataFrame:
@@ -77,4 +82,4 @@ def look_up(df: DataFrame, dimension: DataFrame, key: str, label: str, default:
 
 def rows_with_match(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Existence test: rows whose key occurs in ``other``."""
-    return df.join(other.select(key).distinct(), key, "left_semi")
+    return df.join(other.select(key), key, "left_semi")

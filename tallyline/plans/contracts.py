@@ -31,6 +31,10 @@ RESULT_TABLES = {
 }
 
 
+# Every table also tells when its rows were staged.
+CREATED = "created_at"
+
+
 def columns_of(table: str) -> list[tuple[str, str]]:
     """(name, type) pairs of a result table without its run id."""
     if table not in RESULT_TABLES:
@@ -39,6 +43,7 @@ def columns_of(table: str) -> list[tuple[str, str]]:
 
 
 def conform(df: DataFrame, table: str, run_id: str | None = None) -> DataFrame:
-    """Contract columns in contract order and type, tagged with the run."""
+    """Contract columns in contract order and type, tagged with the run and the time."""
     run = F.col("run_id") if run_id is None else F.lit(run_id).alias("run_id")
-    return df.select(run, *(F.col(n).cast(t).alias(n) for n, t in columns_of(table)))
+    created = F.col(CREATED) if CREATED in df.columns else F.current_timestamp().alias(CREATED)
+    return df.select(run, *(F.col(n).cast(t).alias(n) for n, t in columns_of(table)), created)

@@ -32,8 +32,9 @@ def offender_metrics(cases: DataFrame, density: DataFrame) -> DataFrame:
 
 
 def correlations(tally: DataFrame, violence: DataFrame, density: DataFrame) -> DataFrame:
-    """Long-form rows of both correlations, over the tally of cases and outcomes and
-    the incidents per area.
+    """Long-form rows of both correlations, over the tally of cases and outcomes, the
+    incidents per area, and the offenders per area (ranked or not: neither rank nor
+    name is read).
 
     The metrics are one row per area; they are kept, because the rows and the
     scalar beside them read the same table.

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tallyline.functions.text import MISSING_BLOCK, UNMATCHED, area_code, text_key
 from tallyline.operators.counting import positive_total
 from tallyline.operators.keys import first_per_key, look_up, most_frequent, rank_in_order
-from tallyline.session import materialise
 
 # Labels shown for missing names.
 NAME_UNAVAILABLE = "District name unavailable"
@@ -50,11 +49,12 @@ def area_counts(registry: DataFrame, incidents: DataFrame) -> DataFrame:
 def sex_offender_density(registry: DataFrame, dimension: DataFrame, incidents: DataFrame) -> DataFrame:
     """Ranked areas with their names, and one unranked row for the unmatched.
 
-    The counts, one row per area, are kept once and read for both parts.
+    All counts are ranked at once, the unmatched last, so that they are kept once;
+    the rank of the unmatched is not shown.
     """
-    counts = materialise(area_counts(registry, incidents))
-    found = counts.where(F.col("district").isNotNull())
-    ranked = rank_in_order(found, [F.desc("offender_count"), F.asc("district")], "density_rank")
+    order = [F.col("district").isNull().asc(), F.desc("offender_count"), F.asc("district")]
+    counts = rank_in_order(area_counts(registry, incidents), order, "density_rank")
+    ranked = counts.where(F.col("district").isNotNull())
 
     names = dimension.select(area_code(F.col("district")).alias("district"), "district_name")
     names = first_per_key(names.where(F.col("district").rlike("^[0-9]{3}$")), ["district"])

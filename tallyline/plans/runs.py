@@ -16,18 +16,17 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.values import new_run_id
 from tallyline.operators.clusters import hotspots, valid_points
-from tallyline.plans.contracts import RESULT_TABLES, columns_of, conform
+from tallyline.plans.contracts import CREATED, RESULT_TABLES, columns_of, conform
 from tallyline.plans.correlations import correlations
 from tallyline.plans.density import sex_offender_density
 from tallyline.plans.incidents import area_violence, detail_counts, violence_stats
 from tallyline.plans.outcomes import arrest_rates, case_tally
 from tallyline.plans.trends import crime_trends
-from tallyline.session import materialise, path_exists
+from tallyline.session import materialise, path_exists, remove_path
 from tallyline.sources.cleaning import CLEANERS
 
-# States of a run, and the length kept of a failure message.
+# States of a run.
 RUNNING, COMPLETED, FAILED = "running", "completed", "failed"
-MESSAGE_LIMIT = 2000
 
 LEDGER_SCHEMA = "run_id string, job_name string, status string, seq int, at timestamp, message string"
 
@@ -57,7 +56,7 @@ class RunStore:
 
     def read(self, table: str, staged: bool = False) -> DataFrame:
         """All runs of a table; empty with the right columns before the first write."""
-        schema = ", ".join(f"{n} {t}" for n, t in columns_of(table)) + ", run_id string"
+        schema = ", ".join(f"{n} {t}" for n, t in columns_of(table)) + f", {CREATED} timestamp, run_id string"
         return conform(_read_or_empty(self.spark, self._path(table, staged), schema), table)
 
     def publish(self, run_id: str, tables: Iterable[str]) -> dict[str, int]:
@@ -65,6 +64,8 @@ class RunStore:
         names = list(tables)
         for table in names:
             columns_of(table)
+            if not path_exists(self.spark, f"{self._path(table, staged=True)}/run_id={run_id}"):
+                raise ValueError(f"nothing is staged of {table} for run {run_id}")
         staged = {table: self.read(table, staged=True).where(F.col("run_id") == run_id) for table in names}
         return {table: self._replace(rows, table, run_id, staged=False) for table, rows in staged.items()}
 
@@ -77,14 +78,13 @@ class RunStore:
         """Append one state of a run."""
         if status not in (RUNNING, COMPLETED, FAILED):
             raise ValueError(f"unknown status: {status}")
-        text = message[:MESSAGE_LIMIT] if status == FAILED else message
         row = self.spark.range(1, numPartitions=1).select(
             F.lit(run_id).alias("run_id"),
             F.lit(job_name).alias("job_name"),
             F.lit(status).alias("status"),
             F.lit(0 if status == RUNNING else 1).alias("seq"),
             F.current_timestamp().alias("at"),
-            F.lit(text).alias("message"),
+            F.lit(message).alias("message"),
         )
         row.write.mode("append").parquet(f"{self.root}/ledger")
 
@@ -153,13 +153,17 @@ def run_batch(
     Any failure marks the run failed, and nothing of it is published. The clean
     incidents are read by four of the six analytics and are kept as Parquet in
     the store for that time; density is read back from staging for the
-    correlations.
+    correlations. Both go at the end, whatever it is. An id names one attempt: an
+    id that has a state already is refused, so that no reader meets a completed
+    run whose tables are being replaced.
     """
     run = run_id or new_run_id()
-    store.mark(run, job_name, RUNNING, "Batch analytics started")
+    if not store.ledger().where(F.col("run_id") == run).isEmpty():
+        raise ValueError(f"run id is used already: {run}")
+    store.mark(run, job_name, RUNNING, "run begun")
+    kept = f"{store.root}/clean/crimes/run_id={run}"
     try:
         clean = {name: CLEANERS[name](raw[name]) for name in CLEANERS}
-        kept = f"{store.root}/clean/crimes/run_id={run}"
         clean["crimes"].write.mode("overwrite").parquet(kept)
         clean["crimes"] = store.spark.read.parquet(kept)
 
@@ -172,8 +176,12 @@ def run_batch(
     except Exception as problem:
         store.mark(run, job_name, FAILED, str(problem))
         raise
+    finally:
+        remove_path(store.spark, kept)
+        for table in RESULT_TABLES:
+            remove_path(store.spark, f"{store._path(table, staged=True)}/run_id={run}")
     listed = ", ".join(f"{table}={count}" for table, count in rows.items())
-    store.mark(run, job_name, COMPLETED, f"Batch analytics completed successfully. Published rows: {listed}")
+    store.mark(run, job_name, COMPLETED, f"published {listed}")
     return run
 
 

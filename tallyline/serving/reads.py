@@ -42,7 +42,11 @@ def live_alerts(alerts: DataFrame, n: int = 100) -> DataFrame:
 
 
 def live_counts(counts: DataFrame, n: int = 100) -> DataFrame:
-    """The newest window counts."""
+    """The newest window counts.
+
+    ``counts`` may be the newest days' rows only (``BatchTable.newest``): the order
+    begins with the end of the window, which names the day.
+    """
     newest = top_k(counts, n, F.desc("window_end"), F.asc("district"), F.asc("window_start"))
     return newest.select("district", "window_start", "window_end", "event_count", "updated_at")
 

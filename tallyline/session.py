@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+LOCAL_MASTER = re.compile(r"local(\[[^\]]*\])?")
 
 # What a large cluster job starts from. The first shuffle width is generous and AQE
 # merges small partitions to the advised size; skewed joins are split; keyed stream
@@ -53,12 +55,16 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, a laptop) a local folder is made, once per application.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and
+    the driver is all there is (tests, a laptop) a local folder is made, once per
+    application; on a cluster that is refused, as each executor would write to its
+    own disk.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not named and not LOCAL_MASTER.fullmatch(context.master):
+            raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyline-"))
     return named or context.getCheckpointDir()
 
@@ -75,6 +81,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return there.getFileSystem(context._jsc.hadoopConfiguration()).exists(there)
 
 
+def folder_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows the prefix in the names right below a folder; none where it is not there."""
+    if not path_exists(spark, path):
+        return []
+    context = spark.sparkContext
+    there = context._jvm.org.apache.hadoop.fs.Path(path)
+    found = there.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(there)
+    names = (entry.getPath().getName() for entry in found)
+    return [name[len(prefix) :] for name in names if name.startswith(prefix)]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of this library's own making, if it is there."""
+    context = spark.sparkContext
+    there = context._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(context._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: evaluated once, survives the loss of executors."""
     shared_dir(df.sparkSession)

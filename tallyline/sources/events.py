@@ -126,13 +126,20 @@ def quarantined(parsed: DataFrame, value: str = "value") -> DataFrame:
     return parsed.where(F.col(REJECT).isNotNull()).select(value, REJECT)
 
 
-def event_time(date: Column, basis: str = "event") -> Column:
-    """Event time with arrival time as the fall-back, or arrival time always."""
-    if basis == "arrival":
-        return F.current_timestamp()
-    if basis != "event":
+def event_time(date: Column, basis: str = "event", arrival: Column | None = None) -> Column:
+    """Event time with arrival time as the fall-back, or arrival time always.
+
+    ``arrival`` is when each message came in, as its source tells it (Kafka's
+    ``timestamp``). Without it the arrival of a message is not known: the moment of
+    processing is one for a whole micro-batch and would pile its events up in one
+    second, so it only stands in for an event time that cannot be read.
+    """
+    if basis not in ("event", "arrival"):
         raise ValueError(f"unknown time basis: {basis}")
-    return F.coalesce(values.parse_time(date), F.current_timestamp())
+    read = values.parse_time(date)
+    if arrival is None:
+        return F.coalesce(read, F.current_timestamp())
+    return F.coalesce(arrival, read) if basis == "arrival" else F.coalesce(read, arrival)
 
 
 def raw_documents(events: DataFrame, ingested_at: Column, case: str = "case_number", date: str = "date") -> DataFrame:

@@ -48,14 +48,22 @@ def read_dataset(
     sample_rows: int | None = None,
     sample_order: list[Column] | None = None,
     multiline: bool = True,
+    fmt: str = "csv",
 ) -> DataFrame:
-    """Raw rows of one of the five record files, optionally a first-n sample."""
+    """Raw rows of one of the five record files, optionally a first-n sample.
+
+    ``fmt`` is ``csv`` or ``parquet`` (a file once made by :func:`to_parquet`). A
+    sample is ordered by all columns unless an order is given, so that it repeats.
+    """
     if dataset not in RAW_SCHEMAS:
         raise ValueError(f"unknown dataset: {dataset}")
-    raw = scan_csv(spark, path, RAW_SCHEMAS[dataset], multiline)
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unknown format: {fmt}")
+    schema = RAW_SCHEMAS[dataset]
+    raw = scan_csv(spark, path, schema, multiline) if fmt == "csv" else spark.read.schema(schema).parquet(path)
     if sample_rows is None:
         return raw
-    order = sample_order or [raw[raw.columns[0]]]
+    order = sample_order or [raw[f"`{c}`"] for c in raw.columns]
     return first_n(raw, sample_rows, order)
 
 

@@ -4,23 +4,26 @@ A table is a folder partitioned by day and batch. A batch is named by the id of
 streaming query, which lives in its checkpoint, and by its number. A micro-batch only ever writes
 its own partitions, by overwrite, so a replay of it writes the same files again,
 a query begun afresh does not touch what another one wrote, and nothing that is
-already there is rewritten.
+already there is rewritten. A micro-batch lists and reads the folders of its own
+days only, whatever the history. :meth:`BatchTable.fold` puts a closed day into one
+folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.keys import first_per_key
-from tallyline.session import path_exists
+from tallyline.session import folder_names, path_exists, remove_path
 from tallyline.streaming.alerts import alert_documents, alert_rows, anomaly_rows, count_rows
 
-BATCH_JOB = "batch-job"
 TAGS = "written_at timestamp, writer string, batch_id long, day date, batch string"
 
 
@@ -60,42 +63,95 @@ class BatchTable:
             .save(self.path)
         )
 
-    def stored(self, like: DataFrame) -> DataFrame:
-        """All rows ever written, with their tags; empty before the first."""
-        schema = f"{_ddl(like)}, {TAGS}"
-        if path_exists(self.spark, self.path):
-            return self.spark.read.schema(schema).format(self.fmt).load(self.path)
-        return self.spark.createDataFrame([], schema)
+    def stored(self, like: DataFrame, days: Sequence[date | None] | None = None) -> DataFrame:
+        """Rows with their tags, all ever written or those of some days; empty before the first.
 
-    def upsert(self, rows: DataFrame, batch_id: int, writer: str = BATCH_JOB) -> None:
+        With ``days`` no other day's folder is listed.
+        """
+        schema = f"{_ddl(like)}, {TAGS}"
+        if days is None:
+            paths = [self.path] if path_exists(self.spark, self.path) else []
+        else:
+            folders = [self._folder(day) for day in days]
+            paths = [p for p in folders if path_exists(self.spark, p)]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path).format(self.fmt).load(paths)
+
+    def _folder(self, day: date | None) -> str:
+        return f"{self.path}/day={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
+
+    def days(self) -> list[date]:
+        """The days there are, newest first: one listing of the table's folder, not of what is below."""
+        return sorted((date.fromisoformat(name) for name in folder_names(self.spark, self.path, "day=") if name[:1].isdigit()), reverse=True)
+
+    def newest(self, like: DataFrame, n: int) -> DataFrame:
+        """:meth:`latest` over as many of the newest days as hold ``n`` rows, for pages
+        whose order begins with the day's column. Days are counted one after the other,
+        newest first, so a page costs the same however long the history is."""
+        chosen: list[date] = []
+        held = 0
+        for day in self.days():
+            chosen.append(day)
+            held += self.latest(like, [day]).count()
+            if held >= n:
+                break
+        return self.latest(like, chosen)
+
+    def fold(self, like: DataFrame, day: date) -> None:
+        """Put a closed day's last row per key and writer into one folder, then drop the others.
+
+        The rows keep their tags, so they win and lose against later ones as before.
+        A reader that meets both meets the same rows twice.
+        """
+        rows = self.stored(like, [day])
+        best = rows.groupBy(*self.keys, "writer").agg(F.max_by(F.struct(*rows.columns), _order()).alias("row")).select("row.*")
+        others = folder_names(self.spark, self._folder(day), "batch=")
+        target = f"folded-{uuid.uuid4().hex}"
+        path = f"{self._folder(day)}/batch={target}"
+        best.drop("day", "batch").write.format(self.fmt).save(path)
+        for name in others:
+            remove_path(self.spark, f"{self._folder(day)}/batch={name}")
+
+    def upsert(self, rows: DataFrame, batch_id: int, writer: str) -> None:
         """Last write wins: the batch is appended, :meth:`latest` picks the winner."""
         self._write(rows, batch_id, writer)
 
-    def latest(self, like: DataFrame) -> DataFrame:
-        """The row written last, per key. Filters on ``day`` prune; the choice is an
-        aggregate with a map-side part, not a window over each key."""
-        rows = self.stored(like)
+    def latest(self, like: DataFrame, days: Sequence[date | None] | None = None) -> DataFrame:
+        """The row written last, per key, of all days or some. Filters on ``day`` prune;
+        the choice is an aggregate with a map-side part, not a window over each key.
+
+        Within one query the number of the batch decides, whatever the clocks of its
+        drivers said; between queries the one that wrote last.
+        """
+        rows = self.stored(like, days)
         rest = [c for c in like.columns if c not in self.keys]
-        newest = rows.groupBy("day", *self.keys).agg(
-            F.max_by(F.struct(*rest), F.struct("written_at", "batch_id")).alias("row")
+        last = rows.groupBy("day", *self.keys, "writer").agg(
+            F.max_by(F.struct(*rest), _order()).alias("row"), F.max("written_at").alias("written_at")
         )
+        newest = last.groupBy("day", *self.keys).agg(F.max_by("row", F.struct("written_at", "writer")).alias("row"))
         return newest.select(*(F.col(c) if c in self.keys else F.col(f"row.{c}") for c in like.columns))
 
-    def insert_absent(self, rows: DataFrame, batch_id: int, writer: str = BATCH_JOB) -> DataFrame:
+    def insert_absent(self, rows: DataFrame, batch_id: int, writer: str) -> DataFrame:
         """Append rows whose key is not stored yet; give back what this batch added.
 
-        The stored keys are read for the days of this batch only. The two border
-        days are one aggregated row, the only thing that reaches the driver. What
-        an earlier try of this very batch left is not taken as stored.
+        The stored keys are read for the days of this batch only; its days are all
+        that reaches the driver. What an earlier try of this very batch left is not
+        taken as stored.
         """
         once = first_per_key(rows, self.keys)
         day = F.to_date(F.col(self.day_of))
-        days = once.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+        days = [row["d"] for row in once.select(day.alias("d")).distinct().collect()]
         mine = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
-        known = self.stored(rows).where(F.col("day").between(F.lit(days["low"]), F.lit(days["high"])) & ~mine)
+        known = self.stored(rows, days).where(~mine)
         added = once.join(known.select(*self.keys), list(self.keys), "left_anti").select(*rows.columns)
         self._write(added, batch_id, writer)
-        return self.stored(rows).where(F.col("batch") == f"{writer}-{batch_id}").select(*rows.columns)
+        return self.stored(rows, days).where(F.col("batch") == f"{writer}-{batch_id}").select(*rows.columns)
+
+
+def _order() -> Column:
+    """What makes a later row of one writer."""
+    return F.struct("batch_id", "written_at")
 
 
 def _ddl(df: DataFrame) -> str:
@@ -123,7 +179,7 @@ class AlertStore:
     def documents(self) -> BatchTable:
         return BatchTable(self.spark, f"{self.root}/alert_logs", ("alert_id",), "window_end", "json")
 
-    def save(self, anomalies: DataFrame, batch_id: int, writer: str = BATCH_JOB, source: str = "stream") -> None:
+    def save(self, anomalies: DataFrame, batch_id: int, writer: str, source: str = "stream") -> None:
         """Counts always; alerts and their documents only with a severity."""
         self.counts.upsert(count_rows(anomalies), batch_id, writer)
         added = self.alerts.insert_absent(alert_rows(anomalies, source), batch_id, writer)

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # The state functions travel with the job, so workers need no copy of the package.
@@ -20,7 +21,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def hop_stream(events: DataFrame, key: str, time: str, size: int, slide: int, late: str = "10 minutes") -> DataFrame:
     """Event-time windows ``[start, start + size)`` every ``slide`` seconds.
 
-    Events later than the watermark are dropped by Spark. Counts are combined on
+    Events later than the watermark are dropped by Spark; :func:`late_rows` tells how
+    many that were. Counts are combined on
     the map side before the shuffle, so a busy key sends one row per window and
     task.
     """
@@ -31,6 +33,16 @@ def hop_stream(events: DataFrame, key: str, time: str, size: int, slide: int, la
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a query dropped as later than its watermark, over the progress it still holds.
+
+    Rows are counted as the state step sees them: after the map side has combined
+    the events of a window.
+    """
+    steps = (step for progress in query.recentProgress for step in progress["stateOperators"])
+    return sum(int(step["numRowsDroppedByWatermark"]) for step in steps)
+
+
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge the events of each Arrow batch that share a key and a second."""
     for batch in batches:

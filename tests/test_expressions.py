@@ -30,7 +30,7 @@ def test_parse_time(spark):
     ]
     got = apply(spark, lambda v: F.unix_seconds(values.parse_time(v)), same)
     assert got == [int(datetime(2024, 1, 2, 15, 4, 5, tzinfo=timezone.utc).timestamp())] * len(same)
-    assert apply(spark, values.parse_time, ["garbage", "", None, "13/45/2024 99:00:00", "13/45/2024 01:00:00 PM"]) == [None] * 5
+    assert apply(spark, values.parse_time, ["garbage", "", None, "13/45/2024 99:00:00", "13/45/2024 01:00:00 PM", "10:30", "T10:30:00"]) == [None] * 7
 
 
 def test_booleans(spark):
@@ -40,7 +40,7 @@ def test_booleans(spark):
 
 
 def test_numbers(spark):
-    assert apply(spark, lambda v: values.safe_number(v, -1.0), ["1.5", " 2 ", "", "abc", None]) == [1.5, 2.0, -1.0, -1.0, -1.0]
+    assert apply(spark, lambda v: values.safe_number(v, -1.0), ["1.5", " 2 ", "", "abc", None, "NaN", "Infinity", "-inf"]) == [1.5, 2.0] + [-1.0] * 6
     assert apply(spark, values.number, ["1.5", "", "abc", None]) == [1.5, None, None, None]
     assert apply(spark, values.whole_number, ["12", "12.7", "-3.9", "x", None, "99999999999"]) == [12, 12, -3, None, None, None]
 

@@ -77,6 +77,7 @@ def test_run_publishes_every_table(spark, store):
     assert all(f"{table}={n}" in state["message"] for table, n in counts.items())
     for table in contracts.RESULT_TABLES:
         expected = [("run_id", "string")] + [(n, {"long": "bigint"}.get(t, t)) for n, t in contracts.columns_of(table)]
+        expected.append((contracts.CREATED, "timestamp"))
         assert store.read(table).dtypes == expected
 
 
@@ -100,9 +101,14 @@ def test_invariants(store, raw):
 
 
 def test_publish_twice_changes_nothing(store):
+    run = "batch_20240101_000000"
     before = sorted(map(tuple, store.read("crime_trends").collect()))
-    assert store.publish("batch_20240101_000000", ["crime_trends"]) == {"crime_trends": len(before)}
-    assert sorted(map(tuple, store.read("crime_trends").collect())) == before
+    with pytest.raises(ValueError, match="nothing is staged"):
+        store.publish(run, ["crime_trends"])
+    store.stage(store.spark.createDataFrame(before, store.read("crime_trends").schema), "crime_trends", run)
+    for _ in range(2):
+        assert store.publish(run, ["crime_trends"]) == {"crime_trends": len(before)}
+        assert sorted(map(tuple, store.read("crime_trends").collect())) == before
 
 
 def test_empty_result_replaces_earlier_rows(spark, store):
@@ -119,7 +125,7 @@ def test_failed_run_is_marked_and_not_published(spark, raw, tmp_path):
     with pytest.raises(Exception):
         runs.run_batch(store, broken, "batch_1", k=2)
     state = runs.ledger_state(store.ledger()).first()
-    assert state["status"] == "failed" and len(state["message"]) <= 2000 and state["last_successful_run"] is None
+    assert state["status"] == "failed" and "boom" * 900 in state["message"] and state["last_successful_run"] is None
     assert all(store.read(t).isEmpty() for t in contracts.RESULT_TABLES)
     assert reads.latest_run(runs.ledger_state(store.ledger())).isEmpty()
     assert reads.of_latest_run(store.read("crime_trends"), runs.ledger_state(store.ledger())).isEmpty()
@@ -175,3 +181,47 @@ def test_correlations_against_brute_force(spark, store, raw):
     assert got.keys() == expected.keys()
     assert all(got[k] == pytest.approx(expected[k]) for k in got)
     assert len({r["correlation_value"] for r in rows}) == 1 and -1 <= rows[0]["correlation_value"] <= 1
+
+
+def leftovers(folder):
+    return [p.name for kind in ("clean", "staging") for p in (folder / kind).rglob("run_id=*")]
+
+
+def test_nothing_is_left_of_intermediate_tables(spark, raw, tmp_path):
+    store = runs.RunStore(spark, str(tmp_path))
+    runs.run_batch(store, raw, "batch_1", k=2)
+    assert leftovers(tmp_path) == []
+    broken = dict(raw, violence=raw["violence"].withColumn("DISTRICT", F.raise_error(F.lit("boom")).cast("string")))
+    with pytest.raises(Exception, match="boom"):
+        runs.run_batch(store, broken, "batch_2", k=2)
+    assert leftovers(tmp_path) == []
+    with pytest.raises(ValueError, match="used already"):
+        runs.run_batch(store, raw, "batch_1", k=2)
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from tallyline import session
+
+    def fake(master, named=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(fake(master))
+        assert session.shared_dir(fake(master, "/shared")) == "/shared"
+
+
+def test_batch_job_reads_parquet_and_cleans_up(spark, raw, tmp_path):
+    from tallyline import __main__ as jobs
+
+    given = ["--master", "local[2]", "batch", "--store", str(tmp_path / "store"), "--run-id", "r1", "--input-format", "parquet", "--clusters", "2"]
+    for name, frame in raw.items():
+        records.to_parquet(frame, str(tmp_path / name))
+        given += [f"--{name}", str(tmp_path / name)]
+    args = jobs.parser().parse_args(given)
+    args.job(args)
+    state = runs.ledger_state(runs.RunStore(spark, str(tmp_path / "store")).ledger()).first()
+    assert state["status"] == "completed" and not list((tmp_path / "store").glob("work/*"))

@@ -117,6 +117,11 @@ def test_event_time_falls_back_to_arrival(spark):
     assert got[0]["t"].year == 2024 and got[1]["t"] == got[1]["now"]
     with pytest.raises(ValueError):
         events.event_time(F.col("date"), "ingest")
+    arrived = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    for basis, years in (("event", [2024, 2030]), ("arrival", [2030, 2030])):
+        assert [r["t"].year for r in frame.select(events.event_time(F.col("date"), basis, arrived).alias("t")).collect()] == years
+    # Without a time from the source, the time of processing is not taken for the arrival.
+    assert frame.select(events.event_time(F.col("date"), "arrival").alias("t")).first()["t"].year == 2024
 
 
 def test_retention(spark):

@@ -191,9 +191,9 @@ def test_upsert_last_write_wins(spark, tmp_path):
 
     shape = like(spark, rows(("a", 1)))
     assert table.latest(shape).count() == 0
-    table.upsert(rows(("a", 1), ("b", 1)), 0)
-    table.upsert(rows(("a", 2)), 1)
-    table.upsert(rows(("a", 2)), 1)
+    table.upsert(rows(("a", 1), ("b", 1)), 0, "q")
+    table.upsert(rows(("a", 2)), 1, "q")
+    table.upsert(rows(("a", 2)), 1, "q")
     assert sorted((r["k"], r["n"]) for r in table.latest(shape).collect()) == [("a", 2), ("b", 1)]
     table.upsert(rows(("b", 9)), 0, writer="another query")
     assert sorted((r["k"], r["n"]) for r in table.latest(shape).collect()) == [("a", 2), ("b", 9)]
@@ -208,10 +208,10 @@ def test_insert_absent_repeats_cleanly(spark, tmp_path):
 
     first = rows(("a", 1), ("a", 1), ("b", 1))
     for _ in range(2):
-        assert table.insert_absent(first, 0).count() == 2
+        assert table.insert_absent(first, 0, "q").count() == 2
     for _ in range(2):
-        assert [r["k"] for r in table.insert_absent(rows(("a", 7), ("c", 7)), 1).collect()] == ["c"]
-    assert table.insert_absent(first.where("k = 'z'"), 2).count() == 0
+        assert [r["k"] for r in table.insert_absent(rows(("a", 7), ("c", 7)), 1, "q").collect()] == ["c"]
+    assert table.insert_absent(first.where("k = 'z'"), 2, "q").count() == 0
     assert sorted((r["k"], r["n"]) for r in table.stored(first).collect()) == [("a", 1), ("b", 1), ("c", 7)]
 
 
@@ -220,3 +220,88 @@ def test_summary(spark):
     rows = spark.createDataFrame([("007", 0, 1, 9, 4, "HIGH"), ("007", 0, 2, 1, 4, None)],
                                  "district string, window_start long, window_end long, event_count long, threshold_value long, severity string")
     assert tuple(alerts.stream_summary(parsed, rows).first()) == (2, 1, 2, 1)
+
+
+def dated_rows(spark, *rows):
+    frame = spark.createDataFrame(rows, "k string, n int, day_number int")
+    return frame.select("k", "n", F.timestamp_seconds(F.col("day_number") * 86400).alias("at"))
+
+
+def test_batches_touch_their_own_days(spark, tmp_path, monkeypatch):
+    """The folders looked at do not grow with older days, and pages stop at the newest that fill them."""
+    table = sinks.BatchTable(spark, str(tmp_path / "t"), ("k",), "at")
+    for day in range(6):
+        table.upsert(dated_rows(spark, (f"a{day}", 1, day), (f"b{day}", 1, day)), day, "q")
+    seen = []
+    real = sinks.path_exists
+    monkeypatch.setattr(sinks, "path_exists", lambda session, path: seen.append(path) or real(session, path))
+    added = table.insert_absent(dated_rows(spark, ("a5", 9, 5), ("c5", 9, 5)), 9, "q")
+    assert [r["k"] for r in added.collect()] == ["c5"]
+    assert {path.rsplit("/", 1)[1] for path in seen} == {"day=1970-01-06"}
+    shape = like(spark, dated_rows(spark, ("x", 1, 0)))
+    page = table.newest(shape, 4)
+    assert sorted(r["k"] for r in page.collect()) == ["a4", "a5", "b4", "b5", "c5"]
+    files = set(page.inputFiles())
+    assert files and all("day=1970-01-05" in f or "day=1970-01-06" in f for f in files)
+
+
+def test_fold_keeps_the_winners(spark, tmp_path):
+    table = sinks.BatchTable(spark, str(tmp_path / "t"), ("k",), "at")
+    for batch, n in enumerate((1, 2, 3)):
+        table.upsert(dated_rows(spark, ("a", n, 0), (f"b{n}", n, 0)), batch, "q")
+    shape = like(spark, dated_rows(spark, ("x", 1, 0)))
+    before = sorted(map(tuple, table.latest(shape).collect()))
+    table.fold(shape, table.days()[0])
+    assert sorted(map(tuple, table.latest(shape).collect())) == before and len(before) == 4
+    assert len(list((tmp_path / "t" / "day=1970-01-01").glob("batch=*"))) == 1
+    table.upsert(dated_rows(spark, ("a", 9, 0)), 3, "q")
+    assert {r["k"]: r["n"] for r in table.latest(shape).collect()}["a"] == 9
+
+
+def test_older_clock_does_not_win_within_a_query(spark, tmp_path):
+    table = sinks.BatchTable(spark, str(tmp_path / "t"), ("k",), "at")
+    shape = like(spark, dated_rows(spark, ("x", 1, 0)))
+    table.upsert(dated_rows(spark, ("a", 2, 0)), 1, "q")
+    table.upsert(dated_rows(spark, ("a", 1, 0)), 0, "q")
+    assert [r["n"] for r in table.latest(shape).collect()] == [2]
+
+
+def backlog(folder, count=500, arrival=False):
+    """One event of one area per second, written at once."""
+    folder.mkdir()
+    rows = [line(i, 1704067200 + i, "7") for i in range(count)] + ["not json", '{"case_number": "1"}']
+    if arrival:
+        stamps = [datetime.fromtimestamp(1704067200 + i, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.000Z") for i in range(len(rows))]
+        rows = [json.dumps({"value": v, "timestamp": t}) for v, t in zip(rows, stamps, strict=True)]
+    (folder / "part-0.txt").write_text("\n".join(rows) + "\n")
+
+
+@pytest.mark.parametrize("arrival", [False, True])
+def test_alert_job_over_a_backlog(spark, tmp_path, arrival):
+    """The job as it is started: the alerts of the batch twin, refused messages and raw log kept."""
+    from tallyline import __main__ as jobs
+
+    backlog(tmp_path / "topic", arrival=arrival)
+    given = ["alerts", "--store", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "cp"), "--path", str(tmp_path / "topic"), "--raw-log"]
+    given += ["--format", "json", "--schema", "value string, timestamp timestamp", "--time-basis", "arrival"] if arrival else ["--format", "text"]
+    for query in jobs.start_alert_job(spark, jobs.parser().parse_args(given)):
+        query.awaitTermination()
+    store = sinks.AlertStore(spark, str(tmp_path / "out"))
+    twin = spark.createDataFrame([(i, 1704067200 + i, "007") for i in range(500)], "ident long, t long, district string")
+    seconds = trailing.per_second(twin.withColumn("moment", F.timestamp_seconds("t")), "district", "moment", "ident")
+    expected = alerts.alert_rows(alerts.anomaly_rows(trailing.trailing_emits(seconds, 300, 60), "key"))
+    shown = ["alert_id", "event_count", "severity"]
+    got = store.alerts.latest(shape_alerts(spark)).select(*shown).collect()
+    assert len(got) == 8 and sorted(map(tuple, got)) == sorted(map(tuple, expected.select(*shown).collect()))
+    assert sorted(r["reject_reason"] for r in spark.read.json(str(tmp_path / "out" / "quarantine")).collect()) == ["missing_date", "not_json"]
+    assert spark.read.parquet(str(tmp_path / "out" / "raw_events")).count() == 500
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    base = 1704067200
+    write_topic(tmp_path / "topic", [(0, base, "7"), (1, base + 9000, "7"), (2, base + 9001, "7"), (3, base, "7")], 0, 1)
+    counts = windows.hop_stream(stream(spark, tmp_path / "topic"), "district", "moment", SIZE, SIZE, "10 seconds")
+    target = sinks.BatchTable(spark, str(tmp_path / "hops"), ("district", "window_start", "window_end"), "window_start")
+    query = sinks.start_batches(counts, target.upsert, str(tmp_path / "cp"), "update")
+    query.awaitTermination()
+    assert windows.late_rows(query) == 1

@@ -22,6 +22,7 @@ HEADLINE = [
     "trend_counts", "trend_counts_events", "outcome_rates", "incident_stats", "derived_key_counts", "metric_correlation",
     "hotspots", "nearest_center", "dedupe_key", "mode_per_group", "hop_counts", "trailing_count", "trailing_emits",
     "alert_rows", "clean_incidents", "stream_parse", "run_ledger_state", "staged_publish",
+    "stream_alerts", "csv_scan", "batch_run", "serve_live_counts", "run_row_counts",
 ]
 
 

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.bindings.batch import CELLS, CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, cell_centers, density_rows, offender_areas, rounded, trends_sql, violence
 from tallyline.bindings.registry import query
-from tallyline.bindings.tables import SIZE, VICTIM_KEYWORD, incidents, order_moments, outcomes, stamp, table, victims
+from tallyline.bindings.tables import BLOCKS, VICTIM_KEYWORD, dimension, incidents, order_moments, outcomes, registry, stamp, table, victims
 from tallyline.operators import clusters
 from tallyline.plans import contracts, correlations, incidents as incident_plan, outcomes as outcome_plan
-from tallyline.plans.runs import COMPLETED, FAILED, RUNNING, RunStore, ledger_state, row_counts
+from tallyline.plans.runs import COMPLETED, FAILED, RUNNING, RunStore, ledger_state, row_counts, run_batch
 from tallyline.plans.trends import crime_trends
 from tallyline.serving import reads
 from tallyline.session import scratch_path
+from tallyline.sources import records
+from tallyline.sources.schemas import RAW_SCHEMAS
 
 OLD, NEW, BROKEN, OPEN = (f"batch_2024010{day}_000000" for day in (1, 2, 3, 4))
 JOB = "tables"
@@ -148,3 +150,87 @@ ORDER_RUNS = f"""
 def run_ledger_state(spark: SparkSession, folder: str) -> DataFrame:
     states = ledger_state(order_ledger(spark, folder))
     return states.withColumns({c: stamp(c) for c in ("started_at", "finished_at", "last_successful_run")})
+
+
+RUN_BLOCKS = """
+    SELECT 'SUPP ' || CAST(o_custkey % 100 + 1 AS VARCHAR) AS block_key,
+           lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS district
+    FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
+
+def raw_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The five raw record sets, written as CSV from the tables and read as the job reads them."""
+    text = lambda column: column.cast("string")
+    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    placed = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+    key = F.col("o_orderkey")
+    cells = {
+        "crimes": placed.select(
+            text(key).alias("ID"),
+            text(key).alias("Case Number"),
+            stamp(F.col("o_orderdate").cast("timestamp")).alias("Date"),
+            F.concat(F.lit(" supp  "), text(F.col("o_custkey") % 100 + 1)).alias("Block"),
+            F.col("o_orderpriority").alias("Primary Type"),
+            text(F.col("c_nationkey")).alias("District"),
+            text(41 + (key % 7) / 10).alias("Latitude"),
+            text(-87 - (key % 5) / 10).alias("Longitude"),
+        ),
+        "arrests": outcomes(spark, folder).select(F.col("case_number").alias("CASE NUMBER"), F.col("race").alias("RACE")),
+        "violence": victims(spark, folder).select(
+            text(F.col("l_orderkey")).alias("CASE_NUMBER"),
+            stamp("event_timestamp").alias("DATE"),
+            F.col("month").alias("MONTH"),
+            F.col("district").alias("DISTRICT"),
+            F.col("community_area").alias("COMMUNITY_AREA"),
+            F.replace("incident_primary", F.lit(VICTIM_KEYWORD), F.lit("HOMICIDE")).alias("INCIDENT_PRIMARY"),
+            F.replace("victimization_primary", F.lit(VICTIM_KEYWORD), F.lit("HOMICIDE")).alias("VICTIMIZATION_PRIMARY"),
+            F.col("gunshot_injury_i").alias("GUNSHOT_INJURY_I"),
+        ),
+        "sex_offenders": registry(spark, folder).select(F.col("block").alias("BLOCK"), F.col("victim_minor").alias("VICTIM MINOR")),
+        "police_stations": dimension(spark, folder).select(
+            F.col("district").alias("DISTRICT"), F.col("district_name").alias("DISTRICT NAME")
+        ),
+    }
+    raw = {}
+    for name, rows in cells.items():
+        path = scratch_path(spark, f"raw-{name}")
+        shaped = [rows[f"`{f}`"] if f in rows.columns else F.lit(None).cast("string").alias(f) for f in RAW_SCHEMAS[name].names]
+        records.write_csv(rows.select(*shaped), path)
+        raw[name] = records.read_dataset(spark, name, path)
+    return raw
+
+
+# What is summed up of each table, besides its rows.
+RUN_TOTALS = {
+    "crime_trends": "crime_count", "arrest_rates": "total_arrests", "violence_stats": "total_incidents",
+    "sex_offender_density": "offender_count", "hotspots": "crime_count", "correlations": None,
+}
+
+RUN_DENSITY = DENSITY.replace(BLOCKS, RUN_BLOCKS)
+
+
+@query(
+    "batch_run",
+    f"""
+    SELECT 'crime_trends' AS table_name, count(*) AS row_count, CAST(sum(crime_count) AS BIGINT) AS total
+    FROM ({trends_sql("orders", "o_orderdate")})
+    UNION ALL SELECT 'arrest_rates', count(*), CAST(sum(total_arrests) AS BIGINT) FROM ({RATE_ROWS})
+    UNION ALL SELECT 'violence_stats', count(*), CAST(sum(total_incidents) AS BIGINT)
+              FROM (SELECT * FROM ({STATS_DETAIL}) UNION ALL SELECT * FROM ({STATS_TOP}))
+    UNION ALL SELECT 'sex_offender_density', count(*), CAST(sum(offender_count) AS BIGINT)
+              FROM (WITH {RUN_DENSITY} SELECT * FROM density)
+    UNION ALL SELECT 'hotspots', least(10, count(DISTINCT (o_orderkey % 7, o_orderkey % 5))), count(*) FROM orders
+    UNION ALL SELECT 'correlations', count(*), count(*) FROM ({CORRELATIONS.replace(BLOCKS, RUN_BLOCKS)})
+    """,
+)
+def batch_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole run: five raw CSV sets, cleaned, analysed, staged, published; its tables summed up."""
+    store = RunStore(spark, scratch_path(spark, "batch-run"))
+    run = run_batch(store, raw_files(spark, folder), NEW)
+    sums = []
+    for name, column in RUN_TOTALS.items():
+        total = F.count(F.lit(1)) if column is None else F.sum(column)
+        rows = store.read(name).where(F.col("run_id") == run)
+        sums.append(rows.agg(F.count(F.lit(1)).alias("row_count"), total.alias("total")).select(F.lit(name).alias("table_name"), "row_count", "total"))
+    return reduce(DataFrame.unionByName, sums)

@@ -125,7 +125,8 @@ def plan(
     # The piece comes from the leading hex digits, so pieces are stretches of the order.
     digits = F.conv(F.substring("turn", 1, 8), 16, 10).cast("long")
     cut = rows.withColumn("piece", F.floor(digits * F.lit(pieces) / F.lit(2**32)).cast("long"))
-    sums = cut.groupBy("source", "piece").agg(F.sum("size").alias("words"))
+    # Stored, so that each piece is summed up before a source's pieces meet in one task.
+    sums = stash.put(cut.groupBy("source", "piece").agg(F.sum("size").alias("words")), "sums")
     earlier = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         F.col("source").alias("of"), F.col("piece").alias("at"), F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ def plain(text):
     words = re.findall(WORD, text)
     lines = [x for x in text.split("\n") if re.search(WORD, x)]
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    often = {w for w in windows if windows.count(w) > 1} if len(windows) < 400 else {w for w, n in __import__("collections").Counter(windows).items() if n > 1}
+    often = {w for w, n in Counter(windows).items() if n > 1}
     hit = {i + k for i, w in enumerate(windows) if w in often for k in range(3)}
     return (
         len(words),

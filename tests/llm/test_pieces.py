@@ -76,15 +76,19 @@ def test_unigram_model(dummy, squeeze):
 
 
 def test_unlike_words_are_told(model):
+    """Where the backend's ids differ, the ids are sentencepiece's and the text is marked."""
     codec = pieces.Codec(model)
-    codec.backend = lambda texts: [[ids[0]] * len(ids) if ids else [] for ids in codec.reference.encode(texts)]
-    codec._word_ids = lambda encode, plain, odd: pieces.Codec._word_ids(codec, codec.reference.encode, plain, odd)
-    ids, counts, same, _ = codec.encode(["fine words"])
-    assert same.all()
-    again = pieces.Codec(model)
-    again._learn(["abc"])
-    again.unlike.add("abc")
-    assert again.encode(["abc def", "def"])[2].tolist() == [False, True]
+    real = codec.backend
+
+    def wrong(texts):
+        made = real(texts)
+        return [[ids[0], *reversed(ids[1:])] if "grotesquely" in text else ids for text, ids in zip(texts, made, strict=True)]
+
+    codec.backend = wrong
+    texts = ["grotesquely", "plain words"]
+    ids, counts, same, _ = codec.encode(texts)
+    assert same.tolist() == [False, True]
+    assert ids.tolist() == [i for t in texts for i in codec.reference.encode(t)] and counts.sum() == len(ids)
 
 
 def test_column(spark, model):

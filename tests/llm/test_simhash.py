@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import xxhash
@@ -13,7 +14,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 def plain_fingerprint(text):
     """The contract's words, one bit at a time."""
     text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text) if w]
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     if not words:
         return 0
     shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]

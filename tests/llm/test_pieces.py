@@ -82,7 +82,7 @@ def test_unlike_words_are_told(model):
 
     def wrong(texts):
         made = real(texts)
-        return [[ids[0], *reversed(ids[1:])] if "grotesquely" in text else ids for text, ids in zip(texts, made, strict=True)]
+        return [[ids[0], ids[2], *ids[2:]] if "grotesquely" in text else ids for text, ids in zip(texts, made, strict=True)]
 
     codec.backend = wrong
     texts = ["grotesquely", "plain words"]

@@ -24,7 +24,7 @@ identifier links with nothing; equal rows stay rows; an empty table gives no row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import Stash
@@ -191,9 +191,7 @@ def format_chat(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     ``messages`` has the columns of :data:`MESSAGE`, ``schemas`` those of :data:`SCHEMA`.
     """
     stash = Stash(messages.sparkSession)
-    columns = [c.split()[0] for c in MESSAGE.split(", ")]
-    names = ["conv_id", "position", "kind", "role", "call_id", "tool", "arguments", "needs", "content"]
-    assert columns == names
+    names = [c.split()[0] for c in MESSAGE.split(", ")]
     rows = stash.put(
         messages.select(*names).withColumns(
             {
@@ -204,14 +202,17 @@ def format_chat(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         ),
         "messages",
     )
-    first = Window.partitionBy("c", "call_id").orderBy("position", "arguments", "row")
-    calls = rows.where("kind = 'call' AND call_id IS NOT NULL").withColumn("place", F.row_number().over(first))
-    calls = stash.put(calls.withColumn("leads", F.col("place") == 1), "calls")
+    asking = rows.where("kind = 'call' AND call_id IS NOT NULL")
+    # An aggregate, not a window: an identifier that very many calls share is one row per task.
+    best = asking.groupBy("c", "call_id").agg(F.min(F.struct("position", "arguments", "row")).alias("b"))
+    best = stash.put(best.select("c", "call_id", F.col("b.row").alias("lead")), "leads")
+    calls = stash.put(asking.join(best, ["c", "call_id"]).withColumn("leads", F.col("row") == F.col("lead")), "calls")
     leads = calls.where("leads").select("c", "call_id", "position", "needs")
     answers = rows.where("kind = 'result' AND call_id IS NOT NULL")
-    answered = answers.groupBy("c", "call_id").agg(F.max("position").alias("answered"), F.min("row").alias("any_row"))
-    first_answer = answers.groupBy("c", "call_id").agg(F.min(F.struct("position", "row")).alias("f"))
-    answered = stash.put(answered.join(first_answer, ["c", "call_id"]).select("c", "call_id", "answered", F.col("f.row").alias("first_row")), "answered")
+    answered = answers.groupBy("c", "call_id").agg(
+        F.max("position").alias("answered"), F.min(F.struct("position", "row")).alias("f")
+    )
+    answered = stash.put(answered.select("c", "call_id", "answered", F.col("f.row").alias("first_row")), "answered")
     ordered = order_calls(leads.join(answered.drop("first_row"), ["c", "call_id"], "left"), stash)
 
     no_text = F.array().cast("array<string>")

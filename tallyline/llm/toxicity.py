@@ -402,9 +402,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:
         share = min(1.0, 1.2 * (rows // 2) / max(sizes.get(kind, 0), 1))
         lucky = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
         kinds.append((F.col("toxic") == kind) & lucky)
-    sample = known.where(kinds[0] | kinds[1])
-    # Texts of the sample, at most SAMPLE_CHARS each for training only.
-    joined = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(sample, "doc_id")
+    sample = known.where(kinds[0] | kinds[1]).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(2 * rows)
+    # Texts of the sample, at most SAMPLE_CHARS each for training only. The sample has 2 * rows rows of two
+    # numbers at most, so it is broadcast and no text is shuffled.
+    joined = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(sample), "doc_id")
     drawn = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "toxic").limit(rows).collect()
     drawn = [r for r in drawn if r["text"] is not None]
     marks = [r["toxic"] for r in drawn]

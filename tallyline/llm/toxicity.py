@@ -50,7 +50,7 @@ BATCH = 256
 LEAST_STEPS = 60
 THRESHOLD = 0.7
 SLICE_WORDS = 200_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -366,18 +366,24 @@ def scores(net: Network, texts: list[bytes | None], vocabulary: Vocabulary | Non
     made = np.zeros(len(texts))
     if not net.usable:
         return made
-    words = [words_of(t) for t in texts]
     vocabulary = vocabulary or Vocabulary(net)
-    at = 0
-    while at < len(words):
-        end, size = at, 0
-        while end < len(words) and (end == at or size + len(words[end]) <= SLICE_WORDS):
-            size += len(words[end])
-            end += 1
-        for k, logits in enumerate(window_logits(net, words[at:end], vocabulary), at):
+    held: list[list[bytes]] = []
+    at = size = 0
+
+    def settle() -> None:
+        for k, logits in enumerate(window_logits(net, held, vocabulary), at):
             if len(logits):
                 made[k] = sigmoid(net.curve[:3] @ figures(logits) + net.curve[3])
-        at = end
+
+    for number, text in enumerate(texts):
+        words = words_of(text)
+        if held and size + len(words) > SLICE_WORDS:
+            settle()
+            held, at, size = [], number, 0
+        held.append(words)
+        size += len(words)
+    if held:
+        settle()
     return made
 
 

@@ -45,8 +45,8 @@ EPOCHS = 3
 BATCH = 32
 RATE = 0.1
 PRECISION = 0.995
-CACHE_WORDS = 500_000
-SLICE_WORDS = 400_000
+CACHE_WORDS = 250_000
+SLICE_WORDS = 200_000
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -200,22 +200,25 @@ def predict(model: Model | None, texts: list[str | None], shares: Shares | None
     if model is None:
         return langs, scores, accepted
     shares = shares or Shares(model)
-    readable = [k for k, t in enumerate(texts) if t and _LETTER.search(t)]
-    slices, size = [[]], 0
-    for k in readable:
-        words = words_of(texts[k])
-        if size > SLICE_WORDS:
-            slices.append([])
-            size = 0
-        slices[-1].append((k, words))
-        size += len(words)
-    for some in slices:
-        if some:
-            chances = softmax(raw_logits(model, [w for _, w in some], shares) / model.temperature)
-            for (k, _), row in zip(some, chances, strict=True):
-                best = int(row.argmax())
-                langs[k], scores[k] = model.languages[best], float(row[best])
-                accepted[k] = row[best] >= model.least
+    held: list[tuple[int, list[bytes]]] = []
+    size = 0
+
+    def settle() -> None:
+        chances = softmax(raw_logits(model, [w for _, w in held], shares) / model.temperature)
+        for (k, _), row in zip(held, chances, strict=True):
+            best = int(row.argmax())
+            langs[k], scores[k] = model.languages[best], float(row[best])
+            accepted[k] = row[best] >= model.least
+
+    for k, text in enumerate(texts):
+        if text and _LETTER.search(text):
+            held.append((k, words_of(text)))
+            size += len(held[-1][1])
+            if size > SLICE_WORDS:
+                settle()
+                held, size = [], 0
+    if held:
+        settle()
     return langs, scores, accepted
 
 

@@ -77,6 +77,11 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return shifted / shifted.sum(axis=-1, keepdims=True)
 
 
+def has_letter(text: str) -> bool:
+    """Is there a letter? The pattern also finds numerals such as ½, which are none."""
+    return any(found.group().isalpha() for found in _LETTER.finditer(text))
+
+
 def words_of(text: str) -> list[bytes]:
     return text.lower().encode().split()
 
@@ -211,7 +216,7 @@ def predict(model: Model | None, texts: list[str | None], shares: Shares | None
             accepted[k] = row[best] >= model.least
 
     for k, text in enumerate(texts):
-        if text and _LETTER.search(text):
+        if text and has_letter(text):
             held.append((k, words_of(text)))
             size += len(held[-1][1])
             if size > SLICE_WORDS:

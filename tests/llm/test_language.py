@@ -27,7 +27,7 @@ def test_learns_and_rejects():
     langs, scores, accepted = language.predict(model, [t for _, t, _ in some[300:]])
     right = np.array([a == y for a, (*_, y) in zip(langs, some[300:], strict=True)])
     assert right.mean() > 0.97 and right[accepted].mean() >= right.mean() and ((0 <= scores) & (scores <= 1)).all()
-    odd = [None, "", " \n", "123 !?", "_-", "x" * 200_000, text(draw, "bb", 60_000)]
+    odd = [None, "", " \n", "123 !? ½ ²", "_-", "x" * 200_000, text(draw, "bb", 60_000)]
     langs, scores, accepted = language.predict(model, odd)
     assert langs[:5] == ["und"] * 5 and scores[:5].tolist() == [0] * 5 and not accepted[:5].any()
     assert langs[5] in PARTS and langs[6] == "bb"

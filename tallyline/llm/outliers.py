@@ -199,20 +199,22 @@ def _bin(column: str) -> Column:
 def _nearest(measured: DataFrame, share: float, stash: Stash) -> DataFrame:
     """The share of each group's points with the smallest distance, whole bins."""
     binned = measured.withColumn("bin", _bin("d2"))
-    counts = binned.groupBy("gid", "start", "bin").agg(F.count("*").alias("n"))
+    # Stored, so that each bin is summed up before a group's bins meet in one task.
+    counts = stash.put(binned.groupBy("gid", "start", "bin").agg(F.count("*").alias("n")), "bins")
     rising = Window.partitionBy("gid", "start").orderBy("bin")
     whole = Window.partitionBy("gid", "start")
     reached = counts.withColumns({"sofar": F.sum("n").over(rising), "all": F.sum("n").over(whole)})
     edge = reached.where(F.col("sofar") >= F.ceil(F.col("all") * share)).groupBy("gid", "start").agg(F.min("bin").alias("edge"))
     edge = stash.put(edge, "edge")
+    stash.drop(counts)
     return binned.join(edge, ["gid", "start"]).where("bin <= edge")
 
 
-def _median_start(points: DataFrame) -> DataFrame:
+def _median_start(points: DataFrame, stash: Stash) -> DataFrame:
     """Moments as if of a normal cloud at the medians, with spreads from the middle half."""
     width = 0.002
     long = points.select("gid", F.posexplode(F.array(*XS)).alias("dim", "x")).withColumn("b", F.floor(F.col("x") / width))
-    counts = long.groupBy("gid", "dim", "b").agg(F.count("*").alias("n"))
+    counts = stash.put(long.groupBy("gid", "dim", "b").agg(F.count("*").alias("n")), "bins")
     rising, whole = Window.partitionBy("gid", "dim").orderBy("b"), Window.partitionBy("gid", "dim")
     reached = counts.withColumns({"sofar": F.sum("n").over(rising), "all": F.sum("n").over(whole)})
     quarter = lambda q: F.min(F.when(F.col("sofar") >= F.col("all") * q, (F.col("b") + 0.5) * width))
@@ -236,7 +238,7 @@ def _median_start(points: DataFrame) -> DataFrame:
 def estimates(points: DataFrame, stash: Stash, share: float = SHARE, steps: int = STEPS) -> DataFrame:
     """Stored location and factor per ``gid``, from ``(gid, x0..)``."""
     whole = _moments(points.withColumn("start", F.lit(1)))
-    fitted = stash.put(_factored(_median_start(points), 1.0).unionByName(_factored(whole, 1.0)), "start")
+    fitted = stash.put(_factored(_median_start(points, stash), 1.0).unionByName(_factored(whole, 1.0)), "start")
     both = points.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     for _ in range(steps):
         near = _nearest(_distances(both, fitted, ["gid", "start"]), share, stash)

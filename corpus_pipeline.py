@@ -35,8 +35,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document."""
-    made = docs.select("doc_id", "lang", "source", pieces.encoded("text", pieces.read_model(spark)).alias("llm_e"))
-    return made.select("doc_id", "lang", "source", "llm_e.ids", "llm_e.parity", "llm_e.round_trip")
+    return pieces.encoded(docs, pieces.read_model(spark), ["doc_id", "lang", "source"])
 
 
 STAGES = [

@@ -19,7 +19,6 @@ no shuffle; other columns, ids and repeats do not matter.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import re
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2
@@ -86,6 +85,7 @@ def build(model: bytes) -> Tokenizer:
             unk_token=proto.pieces[unknown].piece,
             fuse_unk=True,
             byte_fallback=byte_fallback,
+            cache_capacity=0,  # lines of distinct words never come again
         )
     else:
         raise ValueError("only unigram and BPE models are supported")
@@ -111,8 +111,6 @@ def build(model: bytes) -> Tokenizer:
 class Codec:
     """Encoder and decoder of one model, with the sentencepiece library beside it."""
 
-    _made: dict[str, Codec] = {}
-
     def __init__(self, model: bytes, threads: int = THREADS):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
@@ -137,13 +135,6 @@ class Codec:
         self.begins = np.array([p.piece.startswith(MARK) for p in self.proto.pieces])
         self._forget()
 
-    @classmethod
-    def of(cls, model: bytes) -> Codec:
-        key = hashlib.sha256(model).hexdigest()
-        if key not in cls._made:
-            cls._made[key] = cls(model)
-        return cls._made[key]
-
     def backend(self, texts: list[str]) -> list[list[int]]:
         """Ids by the tokenizers library, with its threads."""
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -245,63 +236,67 @@ class Codec:
         return made[1:] if self.dummy and made[:1] == " " else made
 
 
-_ENCODED = T.StructType(
-    [
-        T.StructField("ids", T.ArrayType(T.IntegerType())),
-        T.StructField("parity", T.BooleanType()),
-        T.StructField("round_trip", T.BooleanType()),
-    ]
-)
-
-
 SLICE_BYTES = 1 << 20
 
 
-def _slices(texts: pa.Array) -> Iterator[list[str | None]]:
-    """The texts in lists of a bounded size (or one text)."""
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and length of stretches of texts of a bounded size (or of one text)."""
     sizes = np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     at, size = 0, 0
     for k, more in enumerate(sizes.tolist()):
         if k > at and size + more > SLICE_BYTES:
-            yield texts.slice(at, k - at).to_pylist()
+            yield at, k - at
             at, size = k, 0
         size += more
     if at < len(texts):
-        yield texts.slice(at).to_pylist()
+        yield at, len(texts) - at
 
 
-def encoder(model: bytes):
-    """Arrow UDF: text to ``(ids, parity, round_trip)``."""
+_MADE = T.StructType(
+    [
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("parity", T.BooleanType()),
+        T.StructField("round_trip", T.BooleanType()),
+    ]
+)
 
-    @F.arrow_udf(_ENCODED)
-    def encode(texts: pa.Array) -> pa.Array:
-        codec = Codec.of(model)
-        parts = [codec.encode([t for t in some if t is not None]) for some in _slices(texts)]
-        ids, counts, same, back = (np.concatenate(column) for column in zip(*parts, strict=True))
-        none = texts.is_null().to_numpy(zero_copy_only=False)
-        lengths = np.zeros(len(texts), np.int64)
+
+def _encoder(model: bytes, text: str, keep: list[str]):
+    def made(codec: Codec, texts: pa.Array) -> list[pa.Array]:
+        given = texts.to_pylist()
+        none = np.array([t is None for t in given], bool)
+        ids, counts, same, back = codec.encode([t for t in given if t is not None])
+        lengths = np.zeros(len(given), np.int64)
         lengths[~none] = counts
         offsets = pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.array(ids), mask=pa.array(none))
-        flags = [np.zeros(len(texts), bool) for _ in range(2)]
+        flags = [np.zeros(len(given), bool) for _ in range(2)]
         for flag, values in zip(flags, (same, back), strict=True):
             flag[~none] = values
-        return pa.StructArray.from_arrays(
-            [lists, *(pa.array(flag, mask=none) for flag in flags)], names=["ids", "parity", "round_trip"]
-        )
+        lists = pa.ListArray.from_arrays(offsets, pa.array(ids), mask=pa.array(none))
+        return [lists, *(pa.array(flag, mask=none) for flag in flags)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The codec and its words live as long as the task; what comes out is as small as a slice.
+        codec = Codec(model)
+        for batch in batches:
+            texts = batch.column(text)
+            for at, size in _slices(texts):
+                kept = [batch.column(c).slice(at, size) for c in keep]
+                yield pa.RecordBatch.from_arrays([*kept, *made(codec, texts.slice(at, size))], names=[*keep, *_MADE.names])
 
-    return encode
+    return run
 
 
 def decoder(model: bytes):
     """Arrow UDF: ids to text, by the tokenizers library's decoder."""
 
     @F.arrow_udf(T.StringType())
-    def decode(ids: pa.Array) -> pa.Array:
-        codec = Codec.of(model)
-        given = ids.to_pylist()
-        texts = codec.tokenizer.decode_batch([i or [] for i in given], skip_special_tokens=False)
-        return pa.array([None if i is None else t for i, t in zip(given, texts, strict=True)], pa.string())
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenizer = build(model)
+        for ids in batches:
+            given = ids.to_pylist()
+            texts = tokenizer.decode_batch([i or [] for i in given], skip_special_tokens=False)
+            yield pa.array([None if i is None else t for i, t in zip(given, texts, strict=True)], pa.string())
 
     return decode
 
@@ -312,6 +307,11 @@ def read_model(spark: SparkSession, path: str = MODEL_PATH) -> bytes:
         return file.read()
 
 
-def encoded(text: Column | str, model: bytes) -> Column:
-    """Struct of ids, parity and round_trip for a text column."""
-    return encoder(model)(text)
+def encoded(docs: DataFrame, model: bytes, keep: list[str], text: str = "text") -> DataFrame:
+    """The ``keep`` columns, then ``ids``, ``parity`` and ``round_trip`` of the text; a row per row."""
+    taken = set(keep) & set(_MADE.names)
+    if taken:
+        raise ValueError(f"column names kept for the result: {sorted(taken)}")
+    given = docs.select(*keep, F.col(text).alias("llm_text"))
+    shape = T.StructType([*docs.select(*keep).schema.fields, *_MADE.fields])
+    return given.mapInArrow(_encoder(model, "llm_text", keep), shape)

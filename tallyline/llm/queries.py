@@ -68,9 +68,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_sentencepiece")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of each document, and whether they are sentencepiece's and decode to the text."""
-    docs = table(spark, folder, "documents")
-    made = docs.select("doc_id", pieces.encoded("text", pieces.read_model(spark)).alias("e"))
-    return made.select("doc_id", F.col("e.ids").alias("ids"), F.array_size("e.ids").cast("long").alias("n_ids"), "e.parity", "e.round_trip")
+    made = pieces.encoded(table(spark, folder, "documents"), pieces.read_model(spark), ["doc_id"])
+    return made.select("doc_id", "ids", F.array_size("ids").cast("long").alias("n_ids"), "parity", "round_trip")
 
 
 @query("op7_toxicity")

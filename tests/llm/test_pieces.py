@@ -93,8 +93,10 @@ def test_unlike_words_are_told(model):
 
 def test_column(spark, model):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(98, None), (None, "same"), (None, "same")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("clash"))
-    made = docs.select("doc_id", "text", pieces.encoded("text", model).alias("e")).select("doc_id", "text", "e.*")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("clash")).withColumn("llm_text", F.lit(1))
+    made = pieces.encoded(docs, model, ["doc_id", "text"])
+    with pytest.raises(ValueError, match="ids"):
+        pieces.encoded(docs, model, ["doc_id", "ids"])
     made = made.withColumn("decoded", pieces.decoder(model)("ids"))
     reference = sentencepiece.SentencePieceProcessor(model_proto=model)
     got = made.collect()
@@ -105,4 +107,4 @@ def test_column(spark, model):
         else:
             assert r["ids"] == reference.encode(r["text"]) and r["parity"] and r["round_trip"]
             assert r["decoded"] == r["text"].replace("▁", " ")
-    assert docs.limit(0).select(pieces.encoded("text", model)).count() == 0
+    assert pieces.encoded(docs.limit(0), model, ["doc_id"]).count() == 0

@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network, trained and run in numpy.
 
-A text is cut into windows of 32 words that overlap by four, to its end. A word comes
-in as a word (a hashed embedding) and as characters (the mean of hashed character
+A text is cut into windows of 32 words that overlap by half, to its end, so a span of up
+to 17 words lies whole in one of them wherever it starts. A word comes in as a word (a hashed embedding) and as characters (the mean of hashed character
 n-gram embeddings). A gated recurrent unit reads the window each way, attention pools
 its states, and a linear layer gives the window's logit. Three figures of a text's
 windows (the highest logit, the mean and the sum of their probabilities) go into a
@@ -36,7 +36,7 @@ from tallyline.llm.common import learnable
 from tallyline.llm.subwords import bags
 
 WINDOW = 32
-STRIDE = 28
+STRIDE = WINDOW // 2
 BUCKETS = 1 << 14
 ORDERS = (3, 5)
 EMBED = 8

@@ -92,3 +92,25 @@ def test_held_out_rows_are_not_learned_from(spark):
 
     asked = [r["doc_id"] for r in docs.where(tox.learnable("doc_id", 3, 1)).collect()]
     assert asked == [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+
+
+def test_a_span_at_any_offset_lies_whole_in_a_window():
+    for span in (5, 12, 16, 17):
+        for at in range(200):
+            starts = tox.windows_of(200 + span)
+            assert any(s <= at and at + span <= s + tox.WINDOW for s in starts), (span, at)
+
+
+def test_planted_span_scores_near_its_best_window():
+    draw = random.Random(8)
+    rows = texts(draw, 500)
+    net = tox.train([t for t, _ in rows], [y for _, y in rows])
+    clean = next(t for t, y in rows if not y and len(t.split()) > 100).split()[:100]
+    span = [w.encode() for w in BAD * 6][:16]
+    for at in range(len(clean) - len(span)):
+        words = clean[:at] + span + clean[at:]
+        (found,) = tox.window_logits(net, [words])
+        every = [words[s : s + tox.WINDOW] for s in range(len(words) - tox.WINDOW + 1)]
+        best = max(x.max() for x in tox.window_logits(net, every))
+        plain = tox.window_logits(net, [clean])[0].max()
+        assert found.max() - plain >= 0.7 * (best - plain), at

@@ -13,8 +13,9 @@ The nearest rows are found from counts of distances in fixed fine bins, so a ste
 aggregates with a map-side part over a narrow stored table, whatever the size of a
 group, and gives the same result on every run. A variance floor per component keeps
 groups usable in which most rows share a value. Languages' sources with fewer than
-``LEAST_ROWS`` rows are pooled by language, then all together; a pool that is still smaller
-rejects nothing.
+``LEAST_ROWS`` rows are pooled by language. Where that pool is smaller too, its rows go by
+the estimate of their whole language, and where the language has fewer rows, by that of
+all rows, whatever their number. Every row is judged.
 
 Defined results: NULL text has no words and fails the base rules, as empty text does;
 NULL language or source is a group of its own; equal rows count each; rows without an id
@@ -133,22 +134,25 @@ def consistency(share: float) -> float:
 
 
 def _pooled(stats: DataFrame, least: int) -> DataFrame:
-    """``(g_lang, g_source, gid, rows)``: the estimate that each language and source goes by."""
+    """``(g_lang, g_source, gid, fits)``: the estimate that each language and source goes by, and those it is part of."""
     sizes = stats.groupBy("lang", "source").agg(F.count("*").alias("n"))
     small = F.when(F.col("n") < least, F.col("n")).otherwise(0)
     by_lang = F.sum(small).over(Window.partitionBy("lang"))
-    leveled = sizes.withColumn("rest", by_lang)
-    level = F.when(F.col("n") >= least, 0).when(F.col("rest") >= least, 1).otherwise(2)
+    leveled = sizes.withColumns({"rest": by_lang, "every": F.sum("n").over(Window.partitionBy("lang"))})
+    level = F.when(F.col("n") >= least, 0).when(F.col("rest") >= least, 1).when(F.col("every") >= least, 2).otherwise(3)
     leveled = leveled.withColumn("level", level)
     label = F.struct(
         "level",
-        F.when(F.col("level") < 2, F.col("lang")).alias("l"),
+        F.when(F.col("level") < 3, F.col("lang")).alias("l"),
         F.when(F.col("level") < 1, F.col("source")).alias("s"),
     )
     leveled = leveled.withColumn("label", label)
     named = leveled.withColumn("gid", F.dense_rank().over(Window.orderBy("label")).cast("long"))
-    rows = F.sum("n").over(Window.partitionBy("gid"))
-    return named.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "gid", rows.alias("rows"))
+    own = F.when(F.col("level") < 2, F.col("gid"))
+    whole_lang = F.max(F.when(F.col("level") == 2, F.col("gid"))).over(Window.partitionBy("lang"))
+    all_rows = F.max(F.when(F.col("level") == 3, F.col("gid"))).over(Window.partitionBy())
+    fits = F.array_compact(F.array(own, whole_lang, all_rows))
+    return named.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "gid", fits.alias("fits"))
 
 
 def _factored(moments: DataFrame, scale: float) -> DataFrame:
@@ -288,9 +292,9 @@ def judge(
     groups = stash.put(_pooled(vectors, least_rows), "pools")
     same = F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
     points = stash.put(vectors.join(groups, same).drop("g_lang", "g_source"), "points")
-    fitted = estimates(points.select("gid", *XS), stash)
+    fitted = estimates(points.select(F.explode("fits").alias("gid"), *XS), stash)
     judged = _distances(points, fitted, ["gid"])
-    fine = (F.col("d2") <= chi2_quantile(cutoff, P // 2)) | (F.col("rows") < least_rows)
+    fine = F.col("d2") <= chi2_quantile(cutoff, P // 2)
     shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     good = judged.select("id", *shown, fine.alias("kept"), F.col("d2").alias("distance2"))
     bad = stats.where("base_failed").select("id", *shown, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance2"))

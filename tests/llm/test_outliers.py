@@ -151,3 +151,31 @@ def test_edges(spark):
     got = outliers.judge(docs).collect()
     assert len(got) == 4 and sum(r["doc_id"] is None for r in got) == 1
     assert outliers.judge(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def spaced(draw, count, letters="abcdefgh"):
+    return [" ".join("".join(draw.choice(letters) for _ in range(draw.randint(2, 7))) for _ in range(draw.randint(60, 300))) for _ in range(count)]
+
+
+def junk_of(texts):
+    return [" ".join(w + "###" for w in t.split()) for t in texts]
+
+
+def test_rare_groups_are_judged_by_the_rest(spark):
+    draw = random.Random(4)
+    rows = [(t, "en", "s") for t in spaced(draw, 200)] + [(t, "fr", "s") for t in spaced(draw, 200)]
+    fine = [(t, lang, source) for lang, source in (("en", "rare"), ("xx", "s"), (None, "s")) for t in spaced(draw, 10)]
+    bad = [(t, lang, source) for lang, source in (("en", "rare"), ("xx", "s"), (None, None)) for t in junk_of(spaced(draw, 10))]
+    docs = spark.createDataFrame([(i, *r, 0) for i, r in enumerate(rows + fine + bad)], DOCS)
+    got = {r["doc_id"]: r["kept"] for r in outliers.judge(docs).collect()}
+    edge = len(rows + fine)
+    assert len(got) == edge + len(bad)
+    assert all(got[i] for i in range(edge)) and not any(got[i] for i in range(edge, len(got)))
+
+
+def test_small_tables_are_judged(spark):
+    draw = random.Random(5)
+    clean = spaced(draw, 40)
+    docs = spark.createDataFrame([(i, t, "en", f"s{i % 3}", 0) for i, t in enumerate(clean + junk_of(clean[:5]))], DOCS)
+    got = {r["doc_id"]: r["kept"] for r in outliers.judge(docs).collect()}
+    assert [i for i in range(45) if not got[i]] == list(range(40, 45))

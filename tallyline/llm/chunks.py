@@ -7,9 +7,12 @@ white space is cut too. Boundaries depend on these bytes only, so after an inser
 the chunks fall back into step. Chunks are told apart by their 64-bit digest.
 
 A chunk repeats if a document with a smaller id has it. Consecutive repeating chunks
-are a run, and a run of ``min_words`` words or more is cut from the text. The first
-document keeps its copy, so a surviving copy of every cut chunk exists. Shorter runs
-are common phrases and stay.
+are a run, and a run of ``min_words`` words or more is cut from the text. A stretch of
+more than ``LONG_BYTES`` bytes without white space counts as a word for each ``WORD_BYTES``
+of them, so that text without white space is cut as text with it is. The first document
+keeps its copy, so a surviving copy of every cut chunk exists. Shorter runs are common
+phrases and stay. A text that an earlier document has as a whole goes whatever its
+length; its digest, by a seed of its own, stands behind those of its chunks.
 
 Digests are combined per task before the shuffle, digests found in one document only
 are dropped before the join, and a digest that very many documents have is one row per
@@ -37,6 +40,8 @@ from tallyline.llm.common import Stash, fresh, id_key, text_key
 WINDOW = 16
 MIN_BYTES = 12
 MIN_WORDS = 25
+LONG_BYTES = 30
+WORD_BYTES = 6
 WORD_MASK = 0x6000
 ANY_MASK = 0xFE00
 
@@ -98,6 +103,8 @@ def _digests(texts: pa.Array) -> pa.Array:
             for end in cuts(data):
                 values.append(digest(data[last:end]))
                 last = end
+            if last:
+                values.append(digest(data, 1))
         offsets.append(len(values))
     return pa.ListArray.from_arrays(
         pa.array(offsets, pa.int32()), pa.array(np.array(values, np.uint64).view(np.int64))
@@ -105,7 +112,7 @@ def _digests(texts: pa.Array) -> pa.Array:
 
 
 def digests(text: Column | str) -> Column:
-    """Digest of each chunk, in order."""
+    """Digest of each chunk, in order, and last the digest of a text that has any as a whole."""
     return _digests(text)
 
 
@@ -120,13 +127,20 @@ def _runs(repeated: list[int]) -> list[tuple[int, int]]:
     return found
 
 
+def amount(text: bytes) -> int:
+    """Words, a long stretch without white space as many as its bytes would make."""
+    return sum(1 if len(w) <= LONG_BYTES else len(w) // WORD_BYTES for w in text.split())
+
+
 def repeated_spans(text: bytes, repeated: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Byte spans to cut: runs of repeating chunks with enough words."""
+    """Byte spans to cut: a text that repeats as a whole, else runs of repeating chunks with enough words."""
     ends = cuts(text)
+    if len(repeated) > len(ends):
+        return [(0, len(text))]
     spans = []
-    for first, last in _runs(sorted(repeated)):
+    for first, last in _runs(sorted(n for n in repeated if n < len(ends))):
         start, end = (ends[first - 1] if first else 0), ends[last]
-        if len(text[start:end].split()) >= min_words:
+        if amount(text[start:end]) >= min_words:
             spans.append((start, end))
     return spans
 

@@ -111,3 +111,23 @@ def test_edges(spark):
     assert len(six) < 0.2 * len(copy * 150)
     empty = chunks.cut_repeats(spark.createDataFrame([], DOCS))
     assert empty.count() == 0 and empty.columns == ["doc_id", "text", "source", "n_chars"]
+
+
+def test_text_without_white_space(spark):
+    draw = random.Random(6)
+    unspaced = lambda count: "".join(chr(draw.randint(0x4E00, 0x9FA5)) for _ in range(count))
+    passage, code = unspaced(1000), "".join(draw.choice("abcdefghij0123456789+/") for _ in range(1500))
+    short = "Thank you."
+    rows = [(1, passage), (2, unspaced(60) + passage + unspaced(60)), (3, passage), (4, code), (5, code), (6, unspaced(300)), (7, short), (8, short), (9, short + " " + words(draw, 12))]
+    docs = spark.createDataFrame([(i, t, "s", 0) for i, t in rows], DOCS)
+    found = {r["doc_id"]: r for r in chunks.cut_repeats(docs, detail=True).collect()}
+    whole = dict(rows)
+    assert all(found[i]["text"] == whole[i] for i in (1, 4, 6, 7, 9))
+    assert [found[i]["text"] for i in (3, 5, 8)] == ["", "", ""]
+    left = found[2]["text"]
+    assert left.startswith(whole[2][:60]) and left.endswith(whole[2][-60:]) and len(left) < 120 + 500
+    assert found[8]["removed_words"] == 2
+
+
+def test_short_words_count_one_each():
+    assert chunks.amount(b" ".join([b"w" * 30] * 24)) == 24 and chunks.amount(b"x" * 150) == 25 and chunks.amount(b" \n") == 0

@@ -162,6 +162,14 @@ def plan(
     )
 
 
+def by_position(read: DataFrame) -> DataFrame:
+    """The rows of a stored :func:`plan`, range-sorted by the positions of their readings; those never read come last.
+
+    The key ends with the row's own, so the many rows without a position are spread over tasks too.
+    """
+    return read.orderBy(F.col("first_position").asc_nulls_last(), F.col("second_position").asc_nulls_last(), "id", "th")
+
+
 def in_order(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str = "source", with_position: bool = False
 ) -> DataFrame:

@@ -60,9 +60,10 @@ FROM placed
 
 @query("op10_curriculum_mix", MIX_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
-    """Size, source and words taken of each document."""
-    read = mixing.plan(table(spark, folder, "documents"), Stash(spark))
-    return read.select(id_of("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    """Size, source and words taken of each document, in the order of training."""
+    stash = Stash(spark)
+    read = stash.put(mixing.plan(table(spark, folder, "documents"), stash), "readings")
+    return mixing.by_position(read).select(id_of("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 @query("op5_sentencepiece")

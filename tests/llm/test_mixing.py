@@ -97,3 +97,17 @@ def test_edges(spark):
     blank = spark.createDataFrame([(1, None, "s", 0), (2, " ", None, 0)], DOCS)
     assert [r["taken"] for r in mixing.plan(blank, Stash(spark)).collect()] == [0, 0]
     assert mixing.in_order(blank).count() == 0
+
+
+def test_the_query_sorts_by_position(spark, tmp_path):
+    from tallyline.llm.queries import QUERIES
+
+    draw = random.Random(4)
+    docs = spark.createDataFrame(corpus(draw, ["a"] * 5 + ["b", "c"], 300), DOCS)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    place = {r["id"]: (r["first_position"], r["second_position"]) for r in mixing.plan(docs, Stash(spark)).collect()}
+    late = lambda p: (p is None, p or 0.0)
+    got = [tuple(map(late, place[r["doc_id"]])) for r in QUERIES["op10_curriculum_mix"](spark, str(tmp_path)).collect()]
+    assert len(got) == 300 and got == sorted(got) and len(set(got)) > 200
+    plan = QUERIES["op10_curriculum_mix"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "first_position" in plan and "second_position" in plan

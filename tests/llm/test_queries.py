@@ -1,4 +1,4 @@
-"""The registered queries: all ten and the pipeline, and those with SQL against DuckDB."""
+"""The registered queries: all thirteen and the pipeline, and those with SQL against DuckDB."""
 
 import os
 
@@ -14,9 +14,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert set(ORACLE) == {"op8_warc", "op10_curriculum_mix"} <= set(contract.oracle_sql())
+    assert set(ORACLE) == {"op8_warc", "op10_curriculum_mix", "op11_importance_resampling", "op13_lexical_search"} <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -38,6 +38,7 @@ def test_query_equals_sql(spark, name):
         ("op3_language_id", ["doc_id", "held_out", "lang_pred", "score"]),
         ("op4_embedding_near_dedup", ["vec_id", "n_links", "component_id", "kept"]),
         ("op7_toxicity", ["doc_id", "held_out", "score", "predicted"]),
+        ("op12_bpe_forced_boundaries", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
         ("op9_simhash_near_dedup", ["doc_id", "fingerprint", "component_id"]),
     ],
 )

@@ -22,9 +22,11 @@ tokens joined by blanks.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tallyline.llm.rawtext import slices
+from tallyline.llm.rawtext import slices, sums
 
 MODEL_NAME = "word_bpe_49k.json"
-MEMO_BYTES = 48 << 20
-ENTRY_BYTES = 600  # what a memo entry takes besides its characters, about
+MEMO_BYTES = 96 << 20
+ENTRY_BYTES = 200  # what a memo entry takes besides its characters, about
+BREAK = "\n"  # no character of the byte alphabet
+LINE_FRAGMENTS = 256
 # White space by which Python splits a text and the tokenizers library does not.
 ODD_SPACES = re.compile("[\x1c-\x1f]")
 LOCAL_STEPS = ("NFC", "Lowercase", "Replace")
@@ -63,6 +67,14 @@ def neighbours(tokens: list[str], suffix: str | None) -> np.ndarray:
     return table
 
 
+def gathered(pool: np.ndarray, lengths: np.ndarray, order: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of a pool in the given order, and how much each owner of ``counts`` of them has."""
+    part = lengths[order]
+    ends = np.cumsum(part)
+    begins = np.cumsum(lengths) - lengths
+    return pool[np.repeat(begins[order] - (ends - part), part) + np.arange(int(part.sum()))], sums(part, counts)
+
+
 class ForcedBoundaryEncoder:
     """Encoder and decoder of one tokenizer file."""
 
@@ -78,9 +90,12 @@ class ForcedBoundaryEncoder:
             raise ValueError("only BPE over a byte alphabet is supported")
         if any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] for a in spec["added_tokens"]):
             raise ValueError("only plain special tokens are supported")
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         bare = spec | {"truncation": None, "padding": None}
         self.library = Tokenizer.from_str(json.dumps(bare))
-        core = bare | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
+        # Fragments stand in lines, a break after each, as a call per fragment costs more than its work.
+        lines = {"type": "Split", "pattern": {"String": BREAK}, "behavior": "Removed", "invert": False}
+        core = bare | {"normalizer": None, "pre_tokenizer": lines, "post_processor": None, "added_tokens": []}
         self.last = Tokenizer.from_str(json.dumps(core))
         self.inner = Tokenizer.from_str(json.dumps(core | {"model": model | {"end_of_word_suffix": None}}))
         self.joined = neighbours(list(model["vocab"]), model.get("end_of_word_suffix"))
@@ -88,41 +103,63 @@ class ForcedBoundaryEncoder:
         found = "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.special_at = re.compile(f"({found})") if found else None
         self.local = _is_local(spec)
+        self.plain_words = _plain_words(spec) if self.local else None
+        known = model["vocab"] | self.special
+        self.id_text = list(map(str, range(max(known.values(), default=0) + 1)))
+        self.token_text = list(map(self.library.id_to_token, range(len(self.id_text))))
         self.forget()
 
     def forget(self) -> None:
-        self.ids_of: dict[str, str] = {}
-        self.text_of: dict[str, str] = {}
-        self.fragment_ids: dict[tuple[str, bool], list[int]] = {}
-        self.used, self.hollow = 0, False
-
-    def fragments(self, words: list[str]) -> list[list[tuple[str, bool]]]:
-        """Each word cut at all certain cuts; only its last fragment is marked as such."""
-        text = "\n".join(words)
+        self.index: dict[str, int] = {}
+        self.pool, self.begin, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.used = 0
+
+    def cuts(self, words: list[str]) -> dict[int, list[int]]:
+        """The certain cuts inside words: of each word that has any, by its place."""
+        text = BREAK.join(words)
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         known = np.minimum(codes, len(self.joined) - 1)
-        cuts = (np.flatnonzero(~self.joined[known[:-1], known[1:]]) + 1).tolist() if len(codes) else []
-        made: list[list[tuple[str, bool]]] = []
-        parts: list[tuple[str, bool]] = []
-        at = 0
-        for cut in [*cuts, len(text)]:
-            piece = text[at:cut]
-            at = cut
-            if piece == "\n":
-                made.append(parts)
-                parts = []
-            elif piece:
-                parts.append((piece, cut == len(text) or text[cut] == "\n"))
-        return [*made, parts] if words else []
-
-    def _encode_fragments(self, fragments: set[tuple[str, bool]]) -> None:
-        missing = [f for f in fragments if f not in self.fragment_ids]
-        for tokenizer, last in ((self.last, True), (self.inner, False)):
-            some = [f for f in missing if f[1] is last]
+        breaks = codes == ord(BREAK)
+        places = np.flatnonzero(~self.joined[known[:-1], known[1:]] & ~breaks[:-1] & ~breaks[1:]) + 1
+        begins = np.r_[0, np.flatnonzero(breaks) + 1]
+        owners = np.searchsorted(begins, places, side="right") - 1
+        found, firsts = np.unique(owners, return_index=True)
+        parts = np.split(places - begins[owners], firsts[1:])
+        return {word: at.tolist() for word, at in zip(found.tolist(), parts, strict=False)}
+
+    def _encode(self, fragments: list[str], last: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all fragments, each encoded by itself, one after the other; and how many each has."""
+        lines = [fragments[at : at + LINE_FRAGMENTS] for at in range(0, len(fragments), LINE_FRAGMENTS)]
+        tokenizer = self.last if last else self.inner
+        codes = tokenizer.encode_batch([BREAK.join(line) for line in lines], add_special_tokens=False)
+        ids = [np.array(code.ids, np.int32) for code in codes]
+        lengths = [np.bincount(np.array(code.word_ids, np.int64), minlength=len(line)) for line, code in zip(lines, codes, strict=True)]
+        return np.concatenate([np.zeros(0, np.int32), *ids]), np.concatenate([np.zeros(0, np.int64), *lengths])
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, those of their fragments put together; and how many each has."""
+        cuts = self.cuts(words)
+        if not cuts:
+            return self._encode(words, last=True)
+        inner: dict[str, int] = {}
+        final = dict.fromkeys(w for k, w in enumerate(words) if k not in cuts)
+        pieces = {k: [words[k][x:y] for x, y in zip([0, *at], [*at, None], strict=True)] for k, at in cuts.items()}
+        final |= dict.fromkeys(some[-1] for some in pieces.values())
+        final = {p: k for k, p in enumerate(final)}
+        for some in pieces.values():
+            for p in some[:-1]:
+                inner.setdefault(p, len(final) + len(inner))
+        order: list[int] = []
+        counts = np.ones(len(words), np.int64)
+        for k, word in enumerate(words):
+            some = pieces.get(k)
             if some:
-                codes = tokenizer.encode_batch_fast([t for t, _ in some], add_special_tokens=False)
-                self.fragment_ids.update(zip(some, (c.ids for c in codes), strict=True))
-        self.used += sum(4 * len(t) + ENTRY_BYTES // 2 for t, _ in missing)
+                order += [inner[p] for p in some[:-1]]
+                counts[k] = len(some)
+            order.append(final[some[-1] if some else word])
+        parts = [self._encode(list(final), last=True), self._encode(list(inner), last=False)]
+        pool, lengths = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
+        return gathered(pool, lengths, np.array(order, np.int64), counts)
 
     def _words(self, run: str) -> list[str | int]:
         """Words of a run in the byte alphabet; special tokens as their ids."""
@@ -132,56 +169,82 @@ class ForcedBoundaryEncoder:
             if part in self.special:
                 made.append(self.special[part])
             elif part:
-                part = normaliser.normalize_str(part) if normaliser else part
-                made += [w for w, _ in splitter.pre_tokenize_str(part)] if splitter else [part]
+                made += [w for w, _ in splitter.pre_tokenize_str(normaliser.normalize_str(part) if normaliser else part)]
         return made
 
-    def _learn(self, runs: list[str]) -> None:
-        """Ids and decoded text of runs that the memo lacks."""
-        words = [self._words(run) for run in runs]
-        plain = list(dict.fromkeys(w for some in words for w in some if isinstance(w, str)))
-        cut = dict(zip(plain, self.fragments(plain), strict=True))
-        self._encode_fragments({f for some in cut.values() for f in some})
-        for run, some in zip(runs, words, strict=True):
-            ids: list[int] = []
-            for word in some:
-                if isinstance(word, int):
-                    ids.append(word)
-                else:
-                    for fragment in cut[word]:
-                        ids += self.fragment_ids[fragment]
-            self.hollow |= not ids
-            self.ids_of[run] = " ".join(map(str, ids))
-            if self.library.decoder is None:
-                self.text_of[run] = " ".join(map(self.library.id_to_token, ids))
-        self.used += sum(16 * len(run) + ENTRY_BYTES for run in runs)
-
-    def encode(self, texts: list[str]) -> list[str]:
-        """Decimal ids of each text, joined by blanks."""
-        return [ids for ids, _ in self._both(texts)]
-
-    def decode(self, ids: str) -> str:
-        """The text of some ids, as the library's ``decode(ids, skip_special_tokens=False)``."""
-        return self.library.decode([int(i) for i in ids.split()], skip_special_tokens=False)
-
-    def both(self, texts: list[str]) -> Iterator[tuple[str, str]]:
-        """Ids of each text and what they decode to."""
-        for ids, text in self._both(texts):
-            yield ids, self.decode(ids) if text is None else text
+    def _words_of_runs(self, runs: list[str]) -> list[list[str | int]]:
+        """Words of each run. Runs of printable ASCII take a short way; the others go to the library in lines."""
+        if not self.local:
+            return [self._words(run) for run in runs]
+        made: list[list[str | int]] = [[]] * len(runs)
+        others: list[int] = []
+        for k, run in enumerate(runs):
+            if self.special_at and "<" in run and self.special_at.search(run):
+                made[k] = self._words(run)
+            elif self.plain_words and run.isascii() and run.isprintable():
+                made[k] = self.plain_words(run.lower())
+            else:
+                others.append(k)
+        splitter, normaliser = self.library.pre_tokenizer, self.library.normalizer
+        for at in range(0, len(others), LINE_FRAGMENTS):
+            some = others[at : at + LINE_FRAGMENTS]
+            line = " ".join(runs[k] for k in some)
+            line = normaliser.normalize_str(line) if normaliser else line
+            ends = np.cumsum([len(part) + 1 for part in line.split(" ")])
+            found = splitter.pre_tokenize_str(line)
+            if len(ends) != len(some):  # a run with white space of another kind
+                for k in some:
+                    made[k] = self._words(runs[k])
+                continue
+            owners = np.searchsorted(ends, [place[0] for _, place in found], side="right").tolist()
+            for k in some:
+                made[k] = []
+            for owner, (word, _) in zip(owners, found, strict=True):
+                made[some[owner]].append(word)
+        return made
 
-    def _both(self, texts: list[str]) -> Iterator[tuple[str, str | None]]:
+    def _learn(self, runs: list[str]) -> None:
+        """Put the ids of runs that the memo lacks into the pool."""
+        words = self._words_of_runs(runs)
+        flat = list(chain.from_iterable(words))
+        number = {w: k for k, w in enumerate(dict.fromkeys(w for w in flat if w.__class__ is str))}
+        pool, lengths = self.encode_words(list(number))
+        special = {i: len(number) + k for k, i in enumerate(self.special.values())}
+        pool = np.r_[pool, np.array(list(special), np.int32)]
+        lengths = np.r_[lengths, np.ones(len(special), np.int64)]
+        order = np.fromiter(map((number | special).__getitem__, flat), np.int64, len(flat))
+        ids, sizes = gathered(pool, lengths, order, np.fromiter(map(len, words), np.int64, len(words)))
+        self.index.update(zip(runs, range(len(self.lengths), len(self.lengths) + len(runs)), strict=True))
+        self.begin = np.r_[self.begin, len(self.pool) + np.cumsum(sizes) - sizes]
+        self.lengths = np.r_[self.lengths, sizes]
+        self.pool = np.r_[self.pool, ids]
+        self.used += ENTRY_BYTES * len(runs) + 4 * len(ids) + sum(map(len, runs))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
         if self.used > MEMO_BYTES:
             self.forget()
         split = [self._runs(t) for t in texts]
-        missing = set().union(*split).difference(self.ids_of)
+        missing = set().union(*split).difference(self.index)
         if missing:
             self._learn(list(missing))
-        for runs in split:
-            ids = map(self.ids_of.__getitem__, runs)
-            text = map(self.text_of.__getitem__, runs) if self.library.decoder is None else None
-            if self.hollow:  # runs without tokens leave no blanks
-                ids, text = filter(None, ids), text and filter(None, text)
-            yield " ".join(ids), None if text is None else " ".join(text)
+        runs = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        part = self.lengths[runs]
+        ends = np.cumsum(part)
+        ids = self.pool[np.repeat(self.begin[runs] - (ends - part), part) + np.arange(int(part.sum()))]
+        reach = np.r_[0, np.cumsum(sums(part, counts))].tolist()
+        return [ids[x:y].tolist() for x, y in zip(reach, reach[1:], strict=False)]
+
+    def ids_text(self, ids: list[int]) -> str:
+        """Decimal ids, joined by blanks."""
+        return " ".join(map(self.id_text.__getitem__, ids))
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of some ids, as the library's ``decode(ids, skip_special_tokens=False)``."""
+        if self.library.decoder is None:  # the library then joins the tokens by blanks
+            return " ".join(map(self.token_text.__getitem__, ids))
+        return self.library.decode(ids, skip_special_tokens=False)
 
     def _runs(self, text: str) -> list[str]:
         if not self.local:
@@ -207,6 +270,14 @@ def _is_local(spec: dict) -> bool:
     return drops and plain and all(not s.get("add_prefix_space") and not s.get("use_regex", True) for s in splits[1:] if s["type"] == "ByteLevel")
 
 
+def _plain_words(spec: dict):
+    """The split of the file's pattern for lower-case printable ASCII, where letters and digits are a-z and 0-9."""
+    first = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])[0]
+    pattern = first["pattern"]["Regex"].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
+    lowers = any(s["type"] == "Lowercase" for s in (spec.get("normalizer") or {}).get("normalizers", []))
+    return re.compile(pattern, re.ASCII).findall if lowers and "\\p" not in pattern and "(" not in pattern else None
+
+
 _MADE = {
     "n_tokens": T.LongType(),
     "ids_sha256": T.StringType(),
@@ -223,16 +294,17 @@ def _digest(text: str) -> str:
 
 def _columns(encoder: ForcedBoundaryEncoder, texts: pa.Array, names: tuple[str, ...]) -> list[pa.Array]:
     made: dict[str, list] = {name: [] for name in names}
-    for ids, text in encoder.both([t or "" for t in texts.to_pylist()]):
+    for ids in encoder.encode([t or "" for t in texts.to_pylist()]):
         for name, values in made.items():
             if name == "n_tokens":
-                values.append(ids.count(" ") + 1 if ids else 0)
+                values.append(len(ids))
             elif name == "ids":
-                values.append(np.array(ids.split(), np.int32))
-            elif name == "decoded":
-                values.append(text)
+                values.append(ids)
+            elif name == "ids_sha256":
+                values.append(_digest(encoder.ids_text(ids)))
             else:
-                values.append(_digest(ids if name == "ids_sha256" else text))
+                text = encoder.decode(ids)
+                values.append(text if name == "decoded" else _digest(text))
     kinds = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
     return [pa.array(values, kinds.get(name, pa.string())) for name, values in made.items()]
 

@@ -22,6 +22,7 @@ to; NULL url is written as an empty target; an empty table writes nothing.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
@@ -67,27 +68,40 @@ def record(page_id: int | None, url: str | None, html: bytes, digest: str, refer
 
 
 def parse(data: bytes) -> dict:
-    """Fields of one record; ``payload`` is None for a revisit."""
+    """Fields of one record; ``payload`` is None for a revisit, whose size and digest are those its head names.
+
+    A response whose payload has another size or digest than its head says is refused.
+    """
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     if lines[0] != "WARC/1.1":
         raise ValueError("not a WARC record")
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
-    block = rest[: int(fields["Content-Length"])]
+    length = int(fields["Content-Length"])
+    block, end = rest[:length], rest[length:]
     http, _, payload = block.partition(b"\r\n\r\n")
     size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
+    digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
+    if len(block) != length or end != b"\r\n\r\n":
+        raise ValueError(f"the block of {fields['WARC-Record-ID']} has another length than its head says")
 
     def page(field: str) -> int | None:
         name = fields.get(field, "<urn:page:none>")[len("<urn:page:") : -1]
         return None if name == "none" else int(name)
 
     revisit = fields["WARC-Type"] == "revisit"
+    if not revisit:
+        # What is reported is measured on the payload that was read.
+        measured = len(payload), hashlib.sha256(payload).hexdigest()
+        if measured != (size, digest):
+            raise ValueError(f"the payload of {fields['WARC-Record-ID']} is not the one that was written")
+        size, digest = measured
     return {
         "page_id": page("WARC-Record-ID"),
         "url": fields["WARC-Target-URI"],
         "record_type": fields["WARC-Type"],
         "payload_bytes": size,
-        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha256:"),
+        "payload_digest": digest,
         "refers_to": page("WARC-Refers-To") if revisit else None,
         "payload": None if revisit else payload,
     }
@@ -258,6 +272,11 @@ def _reader(with_payload: bool):
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
-    """The records of the archives that a manifest lists, an archive per task where there are enough."""
-    spread = manifest.select("path").repartition("path")
+    """The records of the archives that a manifest lists, an archive per task.
+
+    There are as many ranges of paths as archives, so no two share a task and nothing
+    merges the tasks, however few bytes the paths themselves have.
+    """
+    archives = max(manifest.count(), 1)
+    spread = manifest.select("path").repartitionByRange(archives, "path")
     return spread.mapInArrow(_reader(with_payload), _RECORD + ", payload binary" * with_payload)

@@ -2,6 +2,7 @@ import hashlib
 import random
 import struct
 
+import pytest
 import zstandard
 from pyarrow import fs
 from pyspark.sql import functions as F
@@ -81,3 +82,24 @@ def test_edges(spark):
     assert empty.count() == 0 and warc.read_archives(empty).count() == 0
     one = warc.write_archives(spark.createDataFrame([(1, None, None)], PAGES))
     assert warc.read_archives(one).first()["payload_bytes"] == 0
+
+
+def test_one_reader_task_per_archive(spark):
+    frame = spark.createDataFrame(pages(random.Random(3)), PAGES).repartition(5)
+    manifest = warc.write_archives(frame, archive_bytes=3000)
+    files = manifest.count()
+    read = warc.read_archives(manifest)
+    assert files > 6 and read.rdd.getNumPartitions() == files
+    tasks = read.groupBy(F.spark_partition_id().alias("task")).count().count()
+    assert tasks >= files - 1  # the ranges come from a sample; a task may be left without an archive
+
+
+def test_damaged_payload_fails():
+    html = b"<p>" + b"text " * 50
+    whole = warc.record(1, "u", html, hashlib.sha256(html).hexdigest(), None)
+    assert warc.parse(whole)["payload"] == html
+    for damaged in (whole.replace(b"text text", b"test text", 1), whole[:-9] + b"\r\n\r\n", whole.replace(b"text ", b"", 1)):
+        with pytest.raises(ValueError):
+            warc.parse(damaged)
+    revisit = warc.parse(warc.record(2, "u", html, "d" * 64, 1))
+    assert revisit["payload"] is None and revisit["payload_bytes"] == len(html) and revisit["refers_to"] == 1

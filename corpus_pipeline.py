@@ -6,21 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import chunks, mixing, pieces, simhash, toxicity
-from tallyline.llm.common import scratch, table
+from tallyline.llm.common import scratch, small_batches, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity network rejects go."""
+    small_batches(spark)
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut, and the length is counted anew."""
+    small_batches(spark)
     cut = chunks.cut_repeats(docs)
     if "n_chars" not in docs.columns:
         return cut
@@ -30,11 +33,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents once per reading, in training order."""
+    small_batches(spark)
     return mixing.in_order(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document."""
+    small_batches(spark)
     return pieces.encoded(docs, pieces.read_model(spark), ["doc_id", "lang", "source"])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,25 @@ NO_ID = 2**63 - 1
 _SCRATCH: dict[str, str] = {}
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Let Arrow batches to Python workers have at most so many bytes (or one row), where the session allows more.
+
+    Batches are made in each running task on both sides, several copies of them, so with
+    long texts their size decides the memory that an executor needs.
+    """
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", spark.conf.get(BATCH_SETTING, "-1").strip().lower()).groups()
+    if not 0 < int(number) * _UNITS.get(unit, 1 << 40) <= most:
+        spark.conf.set(BATCH_SETTING, str(most))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables."""
+    """One of the given tables, to be read by operators that hand texts to Python in small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tallyline.llm.rawtext import slices, sums
+from tallyline.llm.rawtext import slices, sums, tidied
 
 MODEL_NAME = "word_bpe_49k.json"
 MEMO_BYTES = 96 << 20
@@ -318,7 +318,7 @@ def encoded(docs: DataFrame, model: str, keep: list[str], outputs: tuple[str, ..
     if taken:
         raise ValueError(f"column names kept for the result: {sorted(taken)}")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ForcedBoundaryEncoder(model)
         for batch in batches:
             texts = batch.column("llm_text")
@@ -327,6 +327,9 @@ def encoded(docs: DataFrame, model: str, keep: list[str], outputs: tuple[str, ..
                 made = _columns(encoder, texts.slice(at, size), outputs)
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=[*keep, *outputs])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from tidied(encode(batches))
+
     given = docs.select(*keep, F.col(text).alias("llm_text"))
     shape = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, _MADE[n]) for n in outputs)])
     return given.mapInArrow(run, shape)

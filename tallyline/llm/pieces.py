@@ -34,10 +34,13 @@ from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
+from tallyline.llm.rawtext import tidied
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 THREADS = 2
 CACHE_WORDS = 250_000
+CACHE_CHARS = 8 << 20
 LINE_WORDS = 40
 
 # Piece types and model types of the protobuf.
@@ -162,6 +165,7 @@ class Codec:
         mine, my_lengths = self._word_ids(self.backend, plain, odd)
         ids, lengths = self._word_ids(lambda t: self.reference.encode(t, num_threads=self.threads), plain, odd)
         base, words = len(self.lengths), plain + odd
+        self.held += sum(map(len, words))
         self.index.update(zip(words, range(base, base + len(words)), strict=True))
         begins = np.cumsum(lengths) - lengths
         text = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -181,6 +185,7 @@ class Codec:
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.held = 0
         self.unlike: set[str] = set()
         self.lossy: set[str] = set()
         self.pool = np.zeros(0, np.int32)
@@ -204,7 +209,7 @@ class Codec:
         split = [self._split(t) if t else [] for t in texts]
         counts = np.array([len(w) for w in split], np.int64)
         words = list(chain.from_iterable(split))
-        if len(self.index) > CACHE_WORDS:
+        if len(self.index) > CACHE_WORDS or self.held > CACHE_CHARS:
             self._forget()
         found = self.index.get
         places = np.array([found(w, -1) for w in words], np.int64)
@@ -275,7 +280,7 @@ def _encoder(model: bytes, text: str, keep: list[str]):
         lists = pa.ListArray.from_arrays(offsets, pa.array(ids), mask=pa.array(none))
         return [lists, *(pa.array(flag, mask=none) for flag in flags)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The codec and its words live as long as the task; what comes out is as small as a slice.
         codec = Codec(model)
         for batch in batches:
@@ -284,6 +289,9 @@ def _encoder(model: bytes, text: str, keep: list[str]):
                 kept = [batch.column(c).slice(at, size) for c in keep]
                 yield pa.RecordBatch.from_arrays([*kept, *made(codec, texts.slice(at, size))], names=[*keep, *_MADE.names])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from tidied(slices(batches))
+
     return run
 
 

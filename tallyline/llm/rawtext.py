@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,23 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         yield at, len(texts) - at
 
 
+def tidied(made: Iterator) -> Iterator:
+    """What a task makes; at its end what its worker does not need any more goes back to the system.
+
+    Workers are kept for later tasks and stages, and so would be the memory that the C
+    heap and Arrow hold in reserve.
+    """
+    try:
+        yield from made
+    finally:
+        del made
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sum of each stretch of the values; the stretches lie one after the other."""
     running = np.r_[0, np.cumsum(values)]

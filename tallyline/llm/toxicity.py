@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.common import learnable
+from tallyline.llm.rawtext import tidied
 from tallyline.llm.subwords import bags
 
 WINDOW = 32
@@ -51,6 +52,7 @@ LEAST_STEPS = 60
 THRESHOLD = 0.7
 SLICE_WORDS = 200_000
 CACHE_WORDS = 250_000
+CACHE_BYTES = 8 << 20
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -221,16 +223,18 @@ class Vocabulary:
 
     def forget(self) -> None:
         self.number: dict[bytes, int] = {}
+        self.held = 0
         self.vectors = self.net.inputs(bags([b""], ORDERS, BUCKETS))[:0]
 
     def tokens(self, words: list[bytes]) -> np.ndarray:
-        if len(self.number) > CACHE_WORDS:
+        if len(self.number) > CACHE_WORDS or self.held > CACHE_BYTES:
             self.forget()
         known = len(self.number)
         found, number = self.number.setdefault, self.number
         tokens = np.array([found(w, len(number)) for w in words], np.int64)
         if len(number) > known:
             fresh = list(islice(number, known, None))
+            self.held += sum(map(len, fresh))
             self.vectors = np.concatenate([self.vectors, self.net.inputs(bags(fresh, ORDERS, BUCKETS))])
         return tokens
 
@@ -393,8 +397,7 @@ def scorer(net: Network):
     @F.arrow_udf(T.DoubleType())
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = Vocabulary(net)
-        for texts in batches:
-            yield pa.array(scores(net, texts.cast(pa.binary()).to_pylist(), vocabulary))
+        yield from tidied(pa.array(scores(net, texts.cast(pa.binary()).to_pylist(), vocabulary)) for texts in batches)
 
     return score
 

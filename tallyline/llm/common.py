@@ -29,8 +29,8 @@ def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     Batches are made in each running task on both sides, several copies of them, so with
     long texts their size decides the memory that an executor needs.
     """
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", spark.conf.get(BATCH_SETTING, "-1").strip().lower()).groups()
-    if not 0 < int(number) * _UNITS.get(unit, 1 << 40) <= most:
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", spark.conf.get(BATCH_SETTING).strip().lower()).groups()
+    if int(number) * _UNITS.get(unit, 1 << 40) > most:
         spark.conf.set(BATCH_SETTING, str(most))
 
 

@@ -1,9 +1,10 @@
-"""Jobs for ``spark-submit``: the batch run, the event publisher, the alert stream."""
+"""Jobs for ``spark-submit``: the batch run, the event publisher, the alert stream, the expiry of raw events."""
 
 from __future__ import annotations
 
 import argparse
 import uuid
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions import values
 from tallyline.plans.runs import RunStore, run_batch
-from tallyline.session import CHECKPOINT_SETTING, build_session, remove_path
+from tallyline.session import CHECKPOINT_SETTING, build_session, path_exists, remove_path
 from tallyline.sources import events, records
 from tallyline.sources.schemas import RAW_SCHEMAS
 from tallyline.streaming import sinks, windows
@@ -42,7 +43,8 @@ def _batch(args: argparse.Namespace) -> None:
 
 def _publish(args: argparse.Namespace) -> None:
     spark = build_session("event-publisher", args.master, cluster=True)
-    rows = events.event_rows(records.read_dataset(spark, "crimes", args.crimes))
+    raw = records.read_dataset(spark, "crimes", args.crimes, multiline=not args.single_line, fmt=args.input_format)
+    rows = events.event_rows(raw)
     if args.max_rows:
         rows = records.first_n(rows, args.max_rows, [F.col("date"), F.col("case_number")])
     events.publish(events.to_messages(rows, "district" if args.format == "kafka" else None), args.format, args.path, **_options(args.option))
@@ -54,6 +56,17 @@ def _alerts(args: argparse.Namespace) -> None:
         query.awaitTermination()
 
 
+def _expire(args: argparse.Namespace) -> None:
+    spark = build_session("raw-log-expiry", args.master, cluster=True)
+    expire_raw_log(spark, f"{args.store}/raw_events", datetime.now(timezone.utc) - timedelta(seconds=args.ttl))
+
+
+def expire_raw_log(spark: SparkSession, path: str, cutoff: datetime) -> None:
+    """Drop the raw events that came in before the cutoff."""
+    if path_exists(spark, path):
+        sinks.raw_log(spark, path).expire(cutoff)
+
+
 def start_alert_job(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     """The alert stream, the stream of refused messages, and the raw log where asked."""
     intake = {"maxOffsetsPerTrigger": str(args.intake)} if args.format == "kafka" else {"maxFilesPerTrigger": "64"}
@@ -63,7 +76,7 @@ def start_alert_job(spark: SparkSession, args: argparse.Namespace) -> list[Strea
     parsed = events.parse_events(lines.select("value", *(["timestamp"] if arrival is not None else [])))
     good = events.accepted(parsed)
     timed = good.withColumn("moment", events.event_time(F.col("date"), args.time_basis, arrival))
-    emits = windows.trailing_stream(timed, "district", "moment", "case_number", args.size, args.slide)
+    emits = windows.trailing_stream(timed, "district", "moment", "case_number", args.size, args.slide, args.late)
     minima = dict(zip(("LOW", "MEDIUM", "HIGH"), args.minima))
     trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
     store, beside = sinks.AlertStore(spark, args.store), args.checkpoint.rstrip("/")
@@ -78,7 +91,7 @@ def start_alert_job(spark: SparkSession, args: argparse.Namespace) -> list[Strea
 
 
 def parser() -> argparse.ArgumentParser:
-    """The three jobs and their arguments."""
+    """The jobs and their arguments."""
     parser = argparse.ArgumentParser(prog="tallyline", description=__doc__)
     parser.add_argument("--master", help="for a local trial; spark-submit sets it on a cluster")
     jobs = parser.add_subparsers(required=True)
@@ -90,8 +103,6 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--run-id")
     batch.add_argument("--sample-rows", type=int, help="use only the first rows of each file")
     batch.add_argument("--clusters", type=int, default=10)
-    batch.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
-    batch.add_argument("--single-line", action="store_true", help="no field holds a line break: large CSV files are split")
     batch.add_argument("--work-dir", help="shared folder for intermediate data; default: below the store")
     batch.set_defaults(job=_batch)
 
@@ -108,12 +119,21 @@ def parser() -> argparse.ArgumentParser:
     alerts.add_argument("--threshold", type=int, default=values.THRESHOLD)
     alerts.add_argument("--minima", type=int, nargs=3, default=list(values.SEVERITY_MINIMA.values()))
     alerts.add_argument("--time-basis", choices=("event", "arrival"), default="event")
+    alerts.add_argument("--late", default="1 hour", help="how far behind the newest event one may come and count; idle areas are forgotten after it")
     alerts.add_argument("--intake", type=int, default=1_000_000, help="most messages of a Kafka micro-batch")
     alerts.add_argument("--schema", help="columns of a file source, such as 'value string, timestamp timestamp'")
     alerts.add_argument("--raw-log", action="store_true", help="keep every accepted event, by day of intake")
     alerts.add_argument("--every", help="trigger interval, such as '10 seconds'; default: what is there, then end")
     alerts.set_defaults(job=_alerts)
 
+    expire = jobs.add_parser("expire", help="drop raw events past their time to live")
+    expire.add_argument("--store", required=True)
+    expire.add_argument("--ttl", type=int, default=86400, help="seconds an event is kept after its intake")
+    expire.set_defaults(job=_expire)
+
+    for job in (batch, publish):
+        job.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
+        job.add_argument("--single-line", action="store_true", help="no field holds a line break: one scan is enough")
     for job in (publish, alerts):
         job.add_argument("--format", default="kafka")
         job.add_argument("--path")

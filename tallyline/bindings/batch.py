@@ -288,7 +288,48 @@ def _points(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.valid_points(table(spark, folder, "lineitem"), F.col("l_discount"), F.col("l_tax"))
 
 
-@query("hotspots")
+# The steps of the fit: draws by hash with squared distances, then means in whole numbers until nothing moves.
+HOTSPOTS = """
+    WITH RECURSIVE places AS (
+        SELECT CAST(round(l_discount * 1000000) AS BIGINT) AS x, CAST(round(l_tax * 1000000) AS BIGINT) AS y, count(*) AS w
+        FROM lineitem WHERE l_discount <> 0 AND l_tax <> 0 GROUP BY 1, 2),
+    wanted AS (SELECT least(10, count(*)) AS k FROM places),
+    draws AS (
+        SELECT p.x, p.y, p.w, step, -ln((CAST('0x' || substr(md5('42:' || step || ':' || x || ':' || y), 1, 8) AS BIGINT)
+               + CAST(0.5 AS DOUBLE)) / 4294967296) AS race FROM places p, range(10) steps(step)),
+    seeds AS (
+        SELECT 1 AS n, [min({'s': race / w, 'x': x, 'y': y})] AS cs FROM draws WHERE step = 0 HAVING count(*) > 0
+        UNION ALL
+        SELECT n + 1, list_append(any_value(cs), min({'s': race / CAST(w * gap AS DOUBLE), 'x': x, 'y': y})) FROM (
+            SELECT n, cs, d.x, d.y, d.w, d.race, list_min(list_transform(cs, lambda c: (d.x - c.x) * (d.x - c.x) + (d.y - c.y) * (d.y - c.y))) AS gap
+            FROM seeds JOIN draws d ON d.step = seeds.n, wanted WHERE n < k)
+        WHERE gap > 0 GROUP BY n),
+    fit AS (
+        SELECT 0 AS n, list_transform(cs, lambda c: {'x': c.x, 'y': c.y}) AS cs, [CAST(0 AS BIGINT)] AS members, true AS moved
+        FROM seeds WHERE n = (SELECT max(n) FROM seeds)
+        UNION ALL
+        SELECT n + 1, new, members, new <> cs FROM (
+            SELECT n, any_value(cs) AS cs,
+                   list_transform(range(1, len(any_value(cs)) + 1), lambda i: coalesce(
+                       list_filter(list({'i': best, 'c': {'x': mx, 'y': my}}), lambda m: m.i = i)[1].c, any_value(cs)[i])) AS new,
+                   list_transform(range(1, len(any_value(cs)) + 1), lambda i: coalesce(
+                       list_filter(list({'i': best, 'w': w}), lambda m: m.i = i)[1].w, 0)) AS members
+            FROM (SELECT n, any_value(cs) AS cs, best, CAST(sum(w) AS BIGINT) AS w,
+                         CAST(floor((2 * sum(w * x) + sum(w)) / (2 * sum(w))) AS BIGINT) AS mx,
+                         CAST(floor((2 * sum(w * y) + sum(w)) / (2 * sum(w))) AS BIGINT) AS my
+                  FROM (SELECT n, cs, x, y, w, list_position(gaps, list_min(gaps)) AS best
+                        FROM (SELECT n, cs, p.x, p.y, p.w, list_transform(cs, lambda c: (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y)) AS gaps
+                              FROM fit, places p WHERE moved AND n < 100))
+                  GROUP BY n, best)
+            GROUP BY n)),
+    fitted AS (SELECT cs, members FROM fit WHERE n = (SELECT max(n) FROM fit))
+    SELECT CAST(i - 1 AS INTEGER) AS cluster_id, cs[i].x / 1000000 AS centroid_latitude, cs[i].y / 1000000 AS centroid_longitude,
+           members[i] AS crime_count
+    FROM (SELECT cs, members, unnest(range(1, len(cs) + 1)) AS i FROM fitted)
+"""
+
+
+@query("hotspots", HOTSPOTS)
 def hotspots(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.hotspots(_points(spark, folder))
 

@@ -11,7 +11,7 @@ from tallyline.functions.text import first_usable as usable
 from tallyline.functions.text import standard_columns as renamed
 from tallyline.operators.clusters import valid_points as with_coordinates
 from tallyline.session import scratch_path
-from tallyline.sources import cleaning, events, records, schemas
+from tallyline.sources import cleaning, events, records, schemas, splitcsv
 from tallyline.sources.schemas import RAW_SCHEMAS
 
 
@@ -111,6 +111,29 @@ def csv_scan_text(spark: SparkSession, folder: str) -> DataFrame:
     return scanned.select("doc_id", "lang", "source", F.length("text").alias("chars"), F.md5("text").alias("digest"))
 
 
+@query(
+    "csv_scan_split",
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, CAST(length(text) AS INTEGER) AS chars, md5(text) AS digest
+    FROM documents
+    """,
+)
+def csv_scan_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The same texts from one file, dealt over many tasks although their fields hold line breaks."""
+    path = scratch_path(spark, "documents-one-csv")
+    columns = ("doc_id", "lang", "source", "text")
+    documents = table(spark, folder, "documents")
+    records.write_csv(documents.select(*(F.col(c).cast("string") for c in columns)).coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")  # splits of a small file; only while it is read
+    try:
+        scanned = splitcsv.scan_split(spark, path, schemas.all_strings(columns))
+        shown = scanned.select("doc_id", "lang", "source", F.length("text").alias("chars"), F.md5("text").alias("digest"))
+        return records.to_parquet(shown, scratch_path(spark, "scanned"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @query(
     "sample_first_n",
     "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500",

@@ -15,7 +15,7 @@ from tallyline.plans import contracts, correlations, incidents as incident_plan,
 from tallyline.plans.runs import COMPLETED, FAILED, RUNNING, RunStore, ledger_state, row_counts, run_batch
 from tallyline.plans.trends import crime_trends
 from tallyline.serving import reads
-from tallyline.session import scratch_path
+from tallyline.session import path_exists, scratch_path, write_whole
 from tallyline.sources import records
 from tallyline.sources.schemas import RAW_SCHEMAS
 
@@ -91,6 +91,46 @@ def staged_publish(spark: SparkSession, folder: str) -> DataFrame:
     return store.read("crime_trends").drop(contracts.CREATED)
 
 
+class BrokenStore(RunStore):
+    """A store whose publish breaks when one table is written."""
+
+    def _write(self, df: DataFrame, run_id: str, path: str) -> int:
+        if "/final/" in path and path_exists(self.spark, f"{self.root}/broken"):
+            raise RuntimeError("the job is gone")
+        if "/final/" in path:
+            write_whole(self.spark, f"{self.root}/broken", "one table is written")
+        return super()._write(df, run_id, path)
+
+
+@query(
+    "publish_atomic",
+    f"""
+    SELECT 'crime_trends' AS table_name, count(*) AS row_count, CAST(sum(crime_count) AS BIGINT) AS total
+    FROM ({trends_sql("(SELECT * FROM orders WHERE o_orderstatus = 'F')", "o_orderdate")})
+    UNION ALL SELECT 'sex_offender_density', count(*), CAST(sum(offender_count) AS BIGINT) FROM (WITH {DENSITY} SELECT * FROM density)
+    """,
+)
+def publish_atomic(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tables of a run, published whole; a second publish of it that breaks between the tables changes neither."""
+    names = ("crime_trends", "sex_offender_density")
+    store = RunStore(spark, scratch_path(spark, "atomic"))
+    for name in names:
+        store.stage(_result(spark, folder, name, OLD), name, OLD)
+    store.publish(OLD, names)
+    store.stage(_result(spark, folder, "crime_trends", NEW), "crime_trends", OLD)
+    store.stage(_result(spark, folder, "sex_offender_density", NEW).limit(1), "sex_offender_density", OLD)
+    try:
+        BrokenStore(spark, store.root).publish(OLD, names)
+    except RuntimeError:
+        pass
+    sums = []
+    for name, column in (("crime_trends", "crime_count"), ("sex_offender_density", "offender_count")):
+        rows = store.read(name).where(F.col("run_id") == OLD)
+        total = rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum(column).alias("total"))
+        sums.append(total.select(F.lit(name).alias("table_name"), "row_count", "total"))
+    return reduce(DataFrame.unionByName, sums)
+
+
 @query(
     "run_row_counts",
     f"""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.bindings.registry import query
@@ -14,7 +15,7 @@ from tallyline.bindings.tables import (
 )
 from tallyline.operators import trailing
 from tallyline.serving import reads
-from tallyline.session import scratch_path
+from tallyline.session import folder_names, scratch_path, set_file_time
 from tallyline.sources import events
 from tallyline.sources.records import to_parquet
 from tallyline.streaming import alerts, sinks, windows
@@ -232,21 +233,28 @@ def timed(accepted: DataFrame) -> DataFrame:
 FEEDS, FEED_ROWS = 8, 100_000
 
 
-def _topic(spark: SparkSession, folder: str, with_arrival: bool = False) -> str:
-    """The events as files of JSON lines in time order, each a slice of time written after
-    the one before. Eight files at least, more where a file would pass ``FEED_ROWS`` rows."""
+def _topic(spark: SparkSession, folder: str, with_arrival: bool = False, again: Column | None = None) -> str:
+    """The events as files of JSON lines in time order, written by one job.
+
+    Eight files at least, more where a file would pass ``FEED_ROWS`` rows: ranges of
+    (time, id) of about equal size, so events crowded in time are dealt out too. The
+    stream takes files by their time of change, which is set in the order of the ranges.
+    Lines where ``again`` holds come a second time, behind all others.
+    """
     path = scratch_path(spark, "topic")
     rows = table(spark, folder, "events")
-    moment = F.unix_micros(F.col("ts").cast("timestamp"))
-    span = rows.agg(F.min(moment).alias("low"), F.max(moment).alias("high"), F.count(F.lit(1)).alias("n")).first()
-    feeds = max(FEEDS, -(-span["n"] // FEED_ROWS))
-    number = F.floor((moment - F.lit(span["low"])) * F.lit(feeds) / F.lit(span["high"] - span["low"] + 1))
-    shown = ["value"] + (["arrived"] if with_arrival else [])
-    lines = event_lines(spark, folder, more={"feed": number, "arrived": F.col("ts").cast("timestamp")})
-    kept = to_parquet(lines, scratch_path(spark, "feeds"))
-    for feed in range(feeds):
-        slice_ = kept.where(F.col("feed") == feed).select(*shown).repartition(1)
-        slice_.write.mode("append").format("json" if with_arrival else "text").save(path)
+    feeds = max(FEEDS, -(-rows.count() // FEED_ROWS))
+    more = {"arrived": F.col("ts").cast("timestamp"), "ident": F.col("event_id")}
+    if again is not None:
+        more["again"] = again
+    lines = event_lines(spark, folder, more=more)
+    if again is not None:
+        copies = lines.where("again").withColumn("arrived", F.col("arrived") + F.make_dt_interval(F.lit(100_000)))
+        lines = lines.unionAll(copies)
+    lines = lines.repartitionByRange(feeds, "arrived", "ident")
+    lines.select("value", *(["arrived"] if with_arrival else [])).write.format("json" if with_arrival else "text").save(path)
+    for number, name in enumerate(sorted(folder_names(spark, path, "part-"))):
+        set_file_time(spark, f"{path}/part-{name}", 1_000_000_000_000 + 1000 * number)
     return path
 
 
@@ -309,3 +317,95 @@ def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
     running = sinks.start_alerts(emits, store, scratch_path(spark, "checkpoint"), minima=MINIMA, threshold=THRESHOLD)
     running.awaitTermination()
     return _shown(store.counts.latest(_like_counts(spark)))
+
+
+@query(
+    "stream_dedupe",
+    """
+    SELECT alert_id, event_type, hour FROM (
+        SELECT event_type || '_' || strftime(ts, '%Y%m%dT%H') AS alert_id, event_type, strftime(ts, '%Y-%m-%d %H:00:00') AS hour
+        FROM events)
+    GROUP BY ALL
+    """,
+)
+def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    """One alert per type and hour, told apart in the stream; a third of the events comes twice, far apart."""
+    lines = events.read_event_stream(spark, "text", _topic(spark, folder, again=F.col("event_id") % 3 == 0), maxFilesPerTrigger="1")
+    good = timed(events.accepted(events.parse_events(lines, EVENT_FIELDS)))
+    raised = good.select(
+        F.concat_ws("_", "event_type", F.date_format("moment", "yyyyMMdd'T'HH")).alias("alert_id"),
+        "event_type",
+        F.date_trunc("hour", "moment").alias("hour"),
+    )
+    once = windows.once_within(raised, ["alert_id"], "hour", "3650 days")
+    target = sinks.BatchTable(spark, scratch_path(spark, "once"), ("alert_id",), "hour")
+    sinks.start_batches(once, target.upsert, scratch_path(spark, "checkpoint")).awaitTermination()
+    shape = spark.createDataFrame([], once.schema)
+    return target.stored(shape).select("alert_id", "event_type", stamp("hour").alias("hour"))
+
+
+LATE_SECONDS = 7200
+LATE_SHARE = 37
+
+
+@query(
+    "stream_late",
+    f"""
+    WITH timed AS (SELECT event_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events),
+    cut AS (SELECT min(t) + (max(t) - min(t)) * 4 // 5 AS cut FROM timed),
+    mark AS (SELECT max(t) - {LATE_SECONDS} AS mark FROM timed, cut WHERE t < cut AND event_id % {LATE_SHARE} <> 0),
+    told AS (
+        SELECT event_type, t // {SIZE} * {SIZE} AS s, (event_id % {LATE_SHARE} = 0 OR t >= cut) AND t < mark AS late FROM timed, cut, mark)
+    SELECT event_type, strftime(make_timestamp(s * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+           count(*) FILTER (WHERE NOT late) AS on_time, count(*) FILTER (WHERE late) AS late
+    FROM told GROUP BY event_type, s
+    """,
+)
+def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Events on time in windows and the late ones beside them: some come when the watermark has passed them."""
+    path = scratch_path(spark, "topic")
+    rows = table(spark, folder, "events")
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    span = rows.agg(F.min(second).alias("low"), F.max(second).alias("high")).first()
+    cut = span["low"] + (span["high"] - span["low"]) * 4 // 5
+    first = (second < cut) & (F.col("event_id") % LATE_SHARE != 0)
+    lines = to_parquet(event_lines(spark, folder, more={"first": first}), scratch_path(spark, "lines"))
+    for number, part in enumerate((lines.where("first"), lines.where(~F.col("first")))):
+        part.select("value").write.text(f"{path}/in={number}")
+        for name in folder_names(spark, f"{path}/in={number}", "part-"):
+            set_file_time(spark, f"{path}/in={number}/part-{name}", 1_000_000_000_000 + 1000 * number)
+    files = len(folder_names(spark, f"{path}/in=0", "part-"))
+    given = events.read_event_stream(spark, "text", f"{path}/*", maxFilesPerTrigger=str(files))
+    good = timed(events.accepted(events.parse_events(given, EVENT_FIELDS))).select("event_id", "event_type", "moment")
+    marked = windows.marked_late(good, "moment", f"{LATE_SECONDS} seconds")
+    counts = sinks.BatchTable(spark, scratch_path(spark, "on-time"), ("event_type", "window_start"), "window_start")
+    late = scratch_path(spark, "late")
+    sinks.start_late_split(marked, counts, late, scratch_path(spark, "checkpoint"), "event_type", "moment", SIZE, SIZE).awaitTermination()
+    shape = spark.createDataFrame([], "event_type string, window_start timestamp, window_end timestamp, event_count long")
+    on_time = sinks.summed_parts(counts, shape).select("event_type", "window_start", F.col("event_count").alias("on_time"), F.lit(0).cast("long").alias("late"))
+    behind = sinks.BatchTable(spark, late, (), "moment", "json").stored(spark.createDataFrame([], good.schema))
+    begin = F.timestamp_seconds(F.floor(F.unix_seconds("moment") / SIZE) * SIZE).alias("window_start")
+    behind = behind.select("event_type", begin, F.lit(0).cast("long").alias("on_time"), F.lit(1).cast("long").alias("late"))
+    both = on_time.unionByName(behind).groupBy("event_type", "window_start").agg(F.sum("on_time").alias("on_time"), F.sum("late").alias("late"))
+    return both.withColumn("window_start", stamp("window_start"))
+
+
+@query(
+    "raw_log_expiry",
+    """
+    SELECT event_type || '_' || strftime(ts, '%Y-%m-%dT%H:%M:%S') AS event_id, event_type, value AS latitude
+    FROM events WHERE date_trunc('second', ts) >= (SELECT max(date_trunc('second', ts)) FROM events) - INTERVAL 1 DAY
+    """,
+)
+def raw_log_expiry(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw log in two batches after its expiry, run twice: what is stored, without a filter when reading."""
+    parsed = events.accepted(events.parse_events(event_lines(spark, folder), EVENT_FIELDS)).drop("event_id")
+    kept = to_parquet(events.raw_documents(parsed, events.event_time(F.col("date")), "event_type", "date"), scratch_path(spark, "raw"))
+    log = sinks.raw_log(spark, scratch_path(spark, "raw-log"))
+    half = F.pmod(F.xxhash64("event_id", "latitude"), F.lit(2))
+    for batch in (0, 1):
+        log.upsert(kept.where(half == batch), batch, WRITER)
+    newest = kept.agg(F.max(F.unix_seconds("ingested_at")).alias("now")).first()["now"]
+    for _ in range(2):
+        log.expire(datetime.fromtimestamp(newest - 86400, timezone.utc))
+    return log.stored(kept).select("event_id", "event_type", "latitude")

@@ -1,12 +1,17 @@
 """Run protocol: ledger, staged tables, publish, and the whole batch run.
 
-Parquet has no commit over several tables. The ledger row ``completed`` is the
-commit: it is appended last, and readers only look at completed runs.
+A publish is one commit over all its tables. The rows of each table are written to a
+fresh folder of their own, which no reader looks at yet; then a commit file that names
+all these folders is renamed into place. Readers go by the commits: per table and run the
+last commit that has it decides. A publish that ends anywhere before the rename
+changes nothing for readers, and an older publish of the same run stays whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -22,7 +27,7 @@ from tallyline.plans.density import sex_offender_density
 from tallyline.plans.incidents import area_violence, detail_counts, violence_stats
 from tallyline.plans.outcomes import arrest_rates, case_tally
 from tallyline.plans.trends import crime_trends
-from tallyline.session import materialise, path_exists, remove_path
+from tallyline.session import folder_names, materialise, path_exists, remove_path, write_whole
 from tallyline.sources.cleaning import CLEANERS
 
 # States of a run.
@@ -41,33 +46,86 @@ class RunStore:
     def _path(self, table: str, staged: bool) -> str:
         return f"{self.root}/{'staging' if staged else 'final'}/{table}"
 
-    def _replace(self, df: DataFrame, table: str, run_id: str, staged: bool) -> int:
-        """Overwrite the partition of one run; the row count comes with the write."""
+    def _write(self, df: DataFrame, run_id: str, path: str) -> int:
+        """Write the rows of one run to a folder; their count comes with the write."""
         if not re.fullmatch(r"[0-9A-Za-z_.-]+", run_id):
             raise ValueError(f"run id is not usable as a folder name: {run_id!r}")
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.drop("run_id").write.mode("overwrite").parquet(f"{self._path(table, staged)}/run_id={run_id}")
+        counted.drop("run_id").write.mode("overwrite").parquet(path)
         return int(seen.get["rows"])
 
     def stage(self, df: DataFrame, table: str, run_id: str) -> int:
         """Write a result to its staging table; the run's earlier rows there go."""
-        return self._replace(conform(df, table, run_id), table, run_id, staged=True)
+        return self._write(conform(df, table, run_id), run_id, f"{self._path(table, True)}/run_id={run_id}")
 
     def read(self, table: str, staged: bool = False) -> DataFrame:
         """All runs of a table; empty with the right columns before the first write."""
         schema = ", ".join(f"{n} {t}" for n, t in columns_of(table)) + f", {CREATED} timestamp, run_id string"
-        return conform(_read_or_empty(self.spark, self._path(table, staged), schema), table)
+        path = self._path(table, staged)
+        if staged:
+            return conform(_read_or_empty(self.spark, path, schema), table)
+        parts = [f"{path}/run_id={run}/part={part}" for run, part in sorted(self.published(table).items())]
+        if not parts:
+            return conform(self.spark.createDataFrame([], schema), table)
+        reader = self.spark.read.schema(f"{schema}, part string").option("basePath", path)
+        return conform(reader.parquet(*parts).drop("part"), table)
+
+    def commits(self) -> DataFrame:
+        """What every publish made visible: its number, tables, runs, folders and rows."""
+        shape = "number long, run_id string, parts array<struct<table: string, part: string, rows: long>>"
+        path = f"{self.root}/commits"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], "number long, run_id string, table string, part string, rows long")
+        listed = self.spark.read.schema(shape).json(path)
+        return listed.select("number", "run_id", F.inline("parts"))
+
+    def published(self, table: str) -> dict[str, str]:
+        """The folder that counts of each run of a table: one row per run reaches the driver."""
+        mine = self.commits().where(F.col("table") == table)
+        return dict(mine.groupBy("run_id").agg(F.max_by("part", F.struct("number", "part")).alias("part")).collect())
 
     def publish(self, run_id: str, tables: Iterable[str]) -> dict[str, int]:
-        """Staging rows of the run replace its rows in the final tables."""
+        """Staging rows of the run replace its rows in the final tables, in all of them at once."""
         names = list(tables)
         for table in names:
             columns_of(table)
             if not path_exists(self.spark, f"{self._path(table, staged=True)}/run_id={run_id}"):
                 raise ValueError(f"nothing is staged of {table} for run {run_id}")
-        staged = {table: self.read(table, staged=True).where(F.col("run_id") == run_id) for table in names}
-        return {table: self._replace(rows, table, run_id, staged=False) for table, rows in staged.items()}
+        rows, part = {}, uuid.uuid4().hex
+        try:
+            for table in names:
+                staged = self.read(table, staged=True).where(F.col("run_id") == run_id)
+                rows[table] = self._write(staged, run_id, self._part(table, run_id, part))
+            self._commit(run_id, part, rows)
+        except Exception:
+            for table in names:
+                remove_path(self.spark, self._part(table, run_id, part))
+            raise
+        return rows
+
+    def _part(self, table: str, run_id: str, part: str) -> str:
+        return f"{self._path(table, staged=False)}/run_id={run_id}/part={part}"
+
+    def _commit(self, run_id: str, part: str, rows: Mapping[str, int]) -> None:
+        """Make the folders of a publish visible, all by one rename."""
+        taken = [int(name.split("-")[0]) for name in folder_names(self.spark, f"{self.root}/commits", "") if name[:1].isdigit()]
+        number = max(taken, default=0) + 1
+        parts = [{"table": table, "part": part, "rows": n} for table, n in rows.items()]
+        commit = {"number": number, "run_id": run_id, "parts": parts}
+        write_whole(self.spark, f"{self.root}/commits/{number:010d}-{part}.json", json.dumps(commit))
+
+    def drop_replaced(self) -> None:
+        """Remove folders that a later publish of their run replaced, and what broken publishes left.
+
+        For a time without readers of the replaced rows and without a running publish.
+        """
+        for table in {row["table"] for row in self.commits().select("table").distinct().collect()}:
+            current = self.published(table)
+            for run in folder_names(self.spark, self._path(table, False), "run_id="):
+                for part in folder_names(self.spark, f"{self._path(table, False)}/run_id={run}", "part="):
+                    if current.get(run) != part:
+                        remove_path(self.spark, self._part(table, run, part))
 
     def export(self, table: str, run_id: str, fmt: str, **options: str) -> None:
         """Append a published run of a table to any other Spark sink, such as ``jdbc``."""

@@ -21,6 +21,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Files are split alike whatever number of cores a job finds.
+    "spark.sql.files.minPartitionNum": "1000",
+    # Rows with long texts go to Python workers in batches of bounded bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -99,6 +103,30 @@ def remove_path(spark: SparkSession, path: str) -> None:
     there.getFileSystem(context._jsc.hadoopConfiguration()).delete(there, True)
 
 
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that is there whole or not at all: under another name first, then renamed."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    there = hadoop.Path(path)
+    system = there.getFileSystem(context._jsc.hadoopConfiguration())
+    made = hadoop.Path(there.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = system.create(made)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if system.exists(there) or not system.rename(made, there):
+        system.delete(made, False)
+        raise FileExistsError(path)
+
+
+def set_file_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Set when a file was last changed, which orders the files of a stream."""
+    context = spark.sparkContext
+    there = context._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(context._jsc.hadoopConfiguration()).setTimes(there, millis, -1)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: evaluated once, survives the loss of executors."""
     shared_dir(df.sparkSession)

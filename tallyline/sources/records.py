@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyline.sources.schemas import RAW_SCHEMAS
+from tallyline.sources.splitcsv import scan_split
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = True) -> DataFrame:
     """Read CSV files with a header under a fixed schema; bad rows are kept as NULLs.
 
-    With ``multiline`` quoted fields may hold line breaks, and a file is then one
-    task. Feed many files of moderate size, or convert once with
-    :func:`to_parquet`; set it to False for data without such fields, so that
-    large files are split.
+    With ``multiline`` quoted fields may hold line breaks. Files of at most one split are
+    then read whole, a task for each; where some are larger all are read by
+    :func:`splitcsv.scan_split`, which gives the same rows and many tasks to a file.
+    Without it a single plain scan is enough.
     """
+    if multiline and largest_file(spark, path) > split_bytes(spark):
+        return scan_split(spark, path, schema)
     return (
         spark.read.schema(schema)
         .options(header=True, mode="PERMISSIVE", multiLine=multiline, escape='"')
@@ -23,6 +29,18 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool
     )
 
 
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file of a path; only the listing is read."""
+    files = spark.read.format("binaryFile").load(path).select("length")
+    return files.agg(F.coalesce(F.max("length"), F.lit(0)).alias("n")).first()["n"]
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """Most bytes that one task of a file scan takes."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write text columns so that :func:`scan_csv` reads back the same values."""
     df.write.mode("overwrite").options(

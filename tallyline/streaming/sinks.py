@@ -14,12 +14,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyline.operators.hops import hop_counts
 from tallyline.operators.keys import first_per_key
 from tallyline.session import folder_names, path_exists, remove_path
 from tallyline.streaming.alerts import alert_documents, alert_rows, anomaly_rows, count_rows
@@ -113,6 +114,34 @@ class BatchTable:
         for name in others:
             remove_path(self.spark, f"{self._folder(day)}/batch={name}")
 
+    def expire(self, cutoff: datetime) -> None:
+        """Drop the rows whose ``day_of`` is before the cutoff (UTC): whole day folders without
+        reading them, and of the cutoff's own day the batches that have older rows.
+
+        A running writer is not disturbed: it only makes folders of newer batches. Of a
+        batch with rows on both sides the newer ones are written to a folder of their
+        own before the old folder goes, so no row to be kept is missing at any time; a reader
+        between the two meets it twice, as after :meth:`fold`. A second run changes nothing.
+        """
+        for day in self.days():
+            if day < cutoff.date():
+                remove_path(self.spark, self._folder(day))
+        edge = cutoff.date()
+        if not path_exists(self.spark, self._folder(edge)):
+            return
+        rows = self.spark.read.option("basePath", self.path).format(self.fmt).load(self._folder(edge))
+        limit = F.lit(cutoff.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+        ends = rows.groupBy("batch").agg(F.min(self.day_of).alias("low"), F.max(self.day_of).alias("high"))
+        # As many rows as the day has micro-batches with something to drop.
+        old = ends.where(F.col("low") < limit).select("batch", (F.col("high") >= limit).alias("both")).collect()
+        both = [row["batch"] for row in old if row["both"]]
+        if both:
+            path = f"{self._folder(edge)}/batch=kept-{uuid.uuid4().hex}"
+            kept = rows.where(F.col("batch").isin(both) & (F.col(self.day_of) >= limit))
+            kept.drop("day", "batch").write.format(self.fmt).save(path)
+        for row in old:
+            remove_path(self.spark, f"{self._folder(edge)}/batch={row['batch']}")
+
     def upsert(self, rows: DataFrame, batch_id: int, writer: str) -> None:
         """Last write wins: the batch is appended, :meth:`latest` picks the winner."""
         self._write(rows, batch_id, writer)
@@ -234,12 +263,47 @@ def start_batches(
 def start_raw_log(
     documents: DataFrame, path: str, checkpoint: str, columns: Sequence[str] = (), trigger: dict | None = None
 ) -> StreamingQuery:
-    """Optional raw event log, one folder per day of intake: what is past its time
-    to live is pruned when reading, and whole days can be dropped."""
+    """Optional raw event log, one folder per day of intake and micro-batch: see :func:`raw_log`."""
     chosen = documents.select(*columns) if columns else documents
-    dated = chosen.withColumn("ingest_day", F.to_date("ingested_at"))
-    writer = dated.writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy("ingest_day")
-    return writer.trigger(**(trigger or {"availableNow": True})).start(path)
+    return start_batches(chosen, raw_log(documents.sparkSession, path).upsert, checkpoint, "append", trigger)
+
+
+def raw_log(spark: SparkSession, path: str) -> BatchTable:
+    """The raw event log as a table; :meth:`BatchTable.expire` drops what is past its time to live."""
+    return BatchTable(spark, path, ("event_id",), "ingested_at")
+
+
+def start_late_split(
+    marked: DataFrame,
+    counts: BatchTable,
+    late_path: str,
+    checkpoint: str,
+    key: str,
+    time: str,
+    size: int,
+    slide: int,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Window counts of the events on time, and the late ones beside them like refused messages.
+
+    ``marked`` comes from :func:`windows.marked_late`. One query feeds both, so that each
+    event is in one of them. A micro-batch adds its own counts per window as rows of
+    ``counts`` (:func:`summed_parts` adds them up); late events go to ``late_path`` as JSON.
+    """
+    late_rows = BatchTable(marked.sparkSession, late_path, (), time, "json")
+
+    def save(batch: DataFrame, batch_id: int, writer: str) -> None:
+        parts = hop_counts(batch.where(~F.col("late")), key, time, size, slide)
+        counts.upsert(parts, batch_id, writer)
+        late_rows.upsert(batch.where("late").drop("late"), batch_id, writer)
+
+    return start_batches(marked, save, checkpoint, "append", trigger)
+
+
+def summed_parts(counts: BatchTable, like: DataFrame, value: str = "event_count") -> DataFrame:
+    """Counts per key, added up over the micro-batches that found some of them."""
+    keys = [c for c in like.columns if c != value]
+    return counts.stored(like).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
 def start_quarantine(rejects: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

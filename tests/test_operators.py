@@ -221,3 +221,61 @@ def test_hotspots(spark):
     empty = clusters.hotspots(points.where("latitude > 90"), k=3)
     assert empty.columns == ["cluster_id", "centroid_latitude", "centroid_longitude", "crime_count"] and empty.count() == 0
     assert len(clusters.hotspots(points.limit(1), k=10).collect()) == 1
+
+
+def test_hotspots_do_not_depend_on_partitioning(spark):
+    """Bit-equal centers for any order of rows, number of partitions and split of equal points."""
+    import random
+
+    draw = random.Random(3)
+    rows = [(41 + draw.gauss(0, 0.2), -87 + draw.gauss(0, 0.3)) for _ in range(400)] + [(-3.5, 100.25)] * 200
+    found = []
+    for parts in (1, 3, 16):
+        draw.shuffle(rows)
+        points = spark.createDataFrame(rows, "latitude double, longitude double").repartition(parts)
+        found.append([tuple(r) for r in clusters.hotspots(points, k=5).collect()])
+    assert found[0] == found[1] == found[2] and len(found[0]) == 5
+    assert sum(r[3] for r in found[0]) == 600
+    again = [tuple(r) for r in clusters.hotspots(points, k=5, seed=43).collect()]
+    assert again[0][1:3] != found[0][0][1:3] or again != found[0]
+
+
+def test_hotspots_against_plain_steps(spark):
+    """The same fit, step by step in plain Python."""
+    import hashlib
+    import math
+    import random
+
+    draw = random.Random(9)
+    rows = [(round(draw.uniform(-2, 2), 1) or 0.1, round(draw.uniform(-2, 2), 1) or 0.1) for _ in range(150)]
+    places = {}
+    for x, y in rows:
+        key = (round(x * 1_000_000), round(y * 1_000_000))
+        places[key] = places.get(key, 0) + 1
+    gap = lambda p, c: (p[0] - c[0]) ** 2 + (p[1] - c[1]) ** 2
+    centers = []
+    for step in range(6):
+        race = []
+        for p, w in places.items():
+            chance = w * min((gap(p, c) for c in centers), default=1)
+            if chance:
+                u = (int(hashlib.md5(f"42:{step}:{p[0]}:{p[1]}".encode()).hexdigest()[:8], 16) + 0.5) / 4294967296
+                race.append((-math.log(u) / chance, p))
+        centers.append(min(race)[1])
+    while True:
+        sums = [[0, 0, 0] for _ in centers]
+        for p, w in places.items():
+            best = min(range(len(centers)), key=lambda i: (gap(p, centers[i]), i))
+            sums[best] = [sums[best][0] + w * p[0], sums[best][1] + w * p[1], sums[best][2] + w]
+        moved = [tuple((2 * s[k] + s[2]) // (2 * s[2]) for k in (0, 1)) if s[2] else c for s, c in zip(sums, centers, strict=True)]
+        if moved == centers:
+            break
+        centers = moved
+    wanted = [(i, c[0] / 1_000_000, c[1] / 1_000_000, s[2]) for i, (c, s) in enumerate(zip(centers, sums, strict=True))]
+    points = spark.createDataFrame(rows, "latitude double, longitude double")
+    assert [tuple(r) for r in clusters.hotspots(points, k=6).collect()] == wanted
+
+
+def test_mllib_fit_stays(spark):
+    points = spark.createDataFrame([(41.0, -87.0)] * 3 + [(42.0, -88.0)], "latitude double, longitude double")
+    assert sorted(r["crime_count"] for r in clusters.mllib_hotspots(points, k=2).collect()) == [1, 3]

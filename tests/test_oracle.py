@@ -43,7 +43,7 @@ def test_registers_agree():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     queries, oracle = load().QUERIES, load().ORACLE
     assert set(queries) <= set(contract.queries()) and set(oracle) <= set(queries)
-    assert set(queries) - set(oracle) == {"hotspots"}
+    assert set(queries) == set(oracle)
 
 
 def test_entry(spark):

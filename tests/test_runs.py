@@ -225,3 +225,62 @@ def test_batch_job_reads_parquet_and_cleans_up(spark, raw, tmp_path):
     args.job(args)
     state = runs.ledger_state(runs.RunStore(spark, str(tmp_path / "store")).ledger()).first()
     assert state["status"] == "completed" and not list((tmp_path / "store").glob("work/*"))
+
+
+def trend(spark, *keys):
+    return spark.createDataFrame([("month", k, n) for k, n in keys], "trend_type string, trend_key string, crime_count long")
+
+
+def spots(spark, *rows):
+    return spark.createDataFrame(rows, "cluster_id int, centroid_latitude double, centroid_longitude double, crime_count long")
+
+
+def held(store, run):
+    rows = [store.read(t).where(F.col("run_id") == run).drop("run_id", contracts.CREATED).collect() for t in ("crime_trends", "hotspots")]
+    return [sorted(map(tuple, r)) for r in rows]
+
+
+@pytest.mark.parametrize("at", ["second table", "commit"])
+def test_broken_publish_leaves_the_older_one_whole(spark, tmp_path, monkeypatch, at):
+    store = runs.RunStore(spark, str(tmp_path))
+    store.stage(trend(spark, ("a", 1)), "crime_trends", "r")
+    store.stage(spots(spark, (0, 1.0, 2.0, 3)), "hotspots", "r")
+    store.publish("r", ["crime_trends", "hotspots"])
+    before = held(store, "r")
+    store.stage(trend(spark, ("b", 7), ("c", 8)), "crime_trends", "r")
+    store.stage(spots(spark, (0, 9.0, 9.0, 9)), "hotspots", "r")
+    real = runs.RunStore._write
+
+    def broken(self, df, run_id, path):
+        if "final/hotspots" in path:
+            raise RuntimeError("lost")
+        return real(self, df, run_id, path)
+
+    with monkeypatch.context() as patch:
+        if at == "commit":
+            patch.setattr(runs, "write_whole", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        else:
+            patch.setattr(runs.RunStore, "_write", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            store.publish("r", ["crime_trends", "hotspots"])
+    assert held(store, "r") == before == [[("month", "a", 1)], [(0, 1.0, 2.0, 3)]]
+    assert len(list(tmp_path.glob("final/*/run_id=r/part=*"))) == 2  # nothing is left of the broken one
+    reader = store.read("crime_trends")
+    store.publish("r", ["crime_trends", "hotspots"])
+    assert held(store, "r") == [[("month", "b", 7), ("month", "c", 8)], [(0, 9.0, 9.0, 9)]]
+    assert reader.count() == 1  # who began to read before sees what was there then
+    store.drop_replaced()
+    assert len(list(tmp_path.glob("final/*/run_id=r/part=*"))) == 2
+    assert held(store, "r") == [[("month", "b", 7), ("month", "c", 8)], [(0, 9.0, 9.0, 9)]]
+
+
+def test_commits_name_what_was_published(spark, tmp_path):
+    store = runs.RunStore(spark, str(tmp_path))
+    assert store.commits().count() == 0 and store.published("hotspots") == {}
+    for run in ("r1", "r2", "r1"):
+        store.stage(trend(spark, (run, 1)), "crime_trends", run)
+        store.publish(run, ["crime_trends"])
+    rows = store.commits().collect()
+    assert sorted((r["number"], r["run_id"], r["table"], r["rows"]) for r in rows) == [(1, "r1", "crime_trends", 1), (2, "r2", "crime_trends", 1), (3, "r1", "crime_trends", 1)]
+    assert set(store.published("crime_trends")) == {"r1", "r2"}
+    assert store.published("crime_trends")["r1"] == next(r["part"] for r in rows if r["number"] == 3)

@@ -305,3 +305,118 @@ def test_late_rows_are_counted(spark, tmp_path):
     query = sinks.start_batches(counts, target.upsert, str(tmp_path / "cp"), "update")
     query.awaitTermination()
     assert windows.late_rows(query) == 1
+
+
+def emits_with(spark, folder, late):
+    return windows.trailing_stream(stream(spark, folder), "district", "moment", "ident", SIZE, SLIDE, late)
+
+
+def kept_keys(query):
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
+def test_idle_keys_leave_the_state(spark, tmp_path):
+    """Keys that do not come back are forgotten when the watermark has passed what they can matter for."""
+    base = 1704067200
+    rows = [(i, base + i, str(i % 7)) for i in range(14)] + [(50 + i, base + 2000 + 400 * i, "9") for i in range(6)]
+    write_topic(tmp_path / "topic", rows, 0, 2)
+    store = sinks.AlertStore(spark, str(tmp_path / "out"))
+    query = sinks.start_alerts(emits_with(spark, tmp_path / "topic", "100 seconds"), store, str(tmp_path / "cp"), minima=MINIMA, threshold=4)
+    query.awaitTermination()
+    held = kept_keys(query)
+    assert max(held) >= 7 and held[-1] <= 1
+    assert live_counts(spark, store) == expected_counts(spark, tmp_path / "topic")
+
+
+def test_state_goes_on_after_a_restart_and_forgets(spark, tmp_path):
+    rows = made_events(300)
+    folder, store = tmp_path / "topic", sinks.AlertStore(spark, str(tmp_path / "out"))
+    for number, part in enumerate((rows[:150], rows[150:])):
+        write_topic(folder, part, 10 * number, 50)
+        query = sinks.start_alerts(emits_with(spark, folder, "30 seconds"), store, str(tmp_path / "cp"), minima=MINIMA, threshold=4)
+        query.awaitTermination()
+    assert live_counts(spark, store) == expected_counts(spark, folder)
+
+
+def test_row_of_a_forgotten_key_is_not_counted(spark, tmp_path):
+    """Behind the watermark, with the state gone: no emit, and no state made for it."""
+    base = 1704067200
+    rows = [(0, base, "7"), (1, base + 9000, "8"), (2, base + 9001, "8"), (3, base + 10, "7"), (4, base + 9100, "8")]
+    write_topic(tmp_path / "topic", rows, 0, 1)
+    store = sinks.AlertStore(spark, str(tmp_path / "out"))
+    sinks.start_alerts(emits_with(spark, tmp_path / "topic", "10 seconds"), store, str(tmp_path / "cp"), minima=MINIMA, threshold=4).awaitTermination()
+    assert [(d, end - base, n) for d, end, n in live_counts(spark, store)] == [("007", 0, 1), ("008", 9000, 1), ("008", 9100, 3)]
+
+
+def test_late_rows_and_rows_on_time_are_all_rows(spark, tmp_path):
+    base = 1704067200
+    rows = [(i, base + 60 * i, "7") for i in range(40)] + [(100 + i, base + i, "8") for i in range(5)] + [(200, base + 2401, "7"), (201, base + 2339, "7")]
+    write_topic(tmp_path / "topic", rows, 0, 10)
+    marked = windows.marked_late(stream(spark, tmp_path / "topic").select("ident", "district", "moment"), "moment", "60 seconds")
+    counts = sinks.BatchTable(spark, str(tmp_path / "on-time"), ("district", "window_start"), "window_start")
+    given = (marked, counts, str(tmp_path / "late"), str(tmp_path / "cp"), "district", "moment", SIZE, SIZE)
+    sinks.start_late_split(*given).awaitTermination()
+    shape = spark.createDataFrame([], "district string, window_start timestamp, window_end timestamp, event_count long")
+    late = sorted(r["ident"] for r in spark.read.json(str(tmp_path / "late")).collect())
+    on_time = sinks.summed_parts(counts, shape)
+    # The last file comes under a watermark of 60 seconds before the newest of the files before it.
+    assert late == [100, 101, 102, 103, 104]
+    assert on_time.agg(F.sum("event_count")).first()[0] + len(late) == len(rows)
+    twin = hops.hop_counts(batch(spark, tmp_path / "topic").where(~F.col("ident").isin(late)), "district", "moment", SIZE, SIZE)
+    assert on_time.exceptAll(twin).count() == 0 and twin.exceptAll(on_time).count() == 0
+
+
+def test_marked_names_are_kept(spark, tmp_path):
+    (tmp_path / "topic").mkdir()
+    with pytest.raises(ValueError, match="late"):
+        windows.marked_late(stream(spark, tmp_path / "topic").withColumn("Late", F.lit(1)), "moment", "1 minute")
+
+
+def test_copies_are_told_in_the_stream(spark, tmp_path):
+    """Doubled events in one micro-batch, across micro-batches and after a restart come out once."""
+    rows = made_events(120)
+    folder = tmp_path / "topic"
+    target = sinks.BatchTable(spark, str(tmp_path / "once"), ("case_number",), "moment")
+    for number, part in enumerate((rows[:60] + rows[:60], rows[30:] + rows[:10])):
+        write_topic(folder, part, 10 * number, 30)
+        once = windows.once_within(stream(spark, folder).select("case_number", "moment"), ["case_number"], "moment", "10 days")
+        sinks.start_batches(once, target.upsert, str(tmp_path / "cp")).awaitTermination()
+    got = target.stored(spark.createDataFrame([], once.schema)).collect()
+    assert sorted(int(r["case_number"]) for r in got) == list(range(120))
+
+
+def test_expiry_drops_days_and_old_rows(spark, tmp_path):
+    log = sinks.raw_log(spark, str(tmp_path / "log"))
+    stamps = [0, 40_000, 86_400, 90_000, 100_000, 172_800, 180_000]
+    rows = spark.createDataFrame([(f"e{s}", s) for s in stamps], "event_id string, s long").withColumn("ingested_at", F.timestamp_seconds("s"))
+    for batch, seconds in enumerate(([0, 86_400], [40_000, 90_000, 100_000], [172_800, 180_000])):
+        log.upsert(rows.where(F.col("s").isin(seconds)), batch, "q")
+    begun = log.stored(rows)  # a reader of the newest day, begun before
+    newest = begun.where("day = '1970-01-03'")
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "log" / "day=1970-01-03").rglob("*.parquet")}
+    for _ in range(2):
+        log.expire(datetime.fromtimestamp(95_000, timezone.utc))
+        assert sorted(r["s"] for r in log.stored(rows).collect()) == [100_000, 172_800, 180_000]
+        assert not (tmp_path / "log" / "day=1970-01-01").exists()
+    assert newest.count() == 2 and untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "log" / "day=1970-01-03").rglob("*.parquet")}
+    log.upsert(rows.where("s = 180000").withColumn("event_id", F.lit("new")), 3, "q")  # the writer goes on
+    assert log.stored(rows).count() == 4
+    log.expire(datetime.fromtimestamp(10 * 86_400, timezone.utc))
+    assert log.stored(rows).count() == 0 and log.days() == []
+
+
+def test_topic_files_are_even_and_in_time_order(spark):
+    """All files of the fixture by one job, crowded seconds dealt out, times of change in order."""
+    import os
+
+    from tallyline.bindings import streams as fixture
+
+    folder = os.environ.get("TALLYLINE_TESTDATA", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    path = Path(fixture._topic(spark, folder).removeprefix("file:"))
+    files = sorted(path.glob("part-*.txt"), key=lambda p: p.stat().st_mtime)
+    dates = [[json.loads(x)["date"] for x in p.read_text().splitlines()] for p in files]
+    assert len(files) == fixture.FEEDS and all(dates)
+    assert all(max(a) <= min(b) for a, b in zip(dates, dates[1:], strict=False))
+    assert max(map(len, dates)) <= 2 * sum(map(len, dates)) / len(dates)

@@ -186,7 +186,9 @@ def _cut(texts: pa.Array, repeated: pa.Array, least: pa.Array) -> pa.Array:
 
 def repeats(docs: DataFrame, stash: Stash, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Stored ``(id, th, numbers)``: which chunks of a document an earlier document has."""
-    listed = docs.select(id_key(id_col).alias("id"), text_key(text).alias("th"), digests(text).alias("d"))
+    # Hashed once: counts and join read the stored digests, and explode puts no second call of the UDF into a filter.
+    hashed = docs.select(id_key(id_col).alias("id"), text_key(text).alias("th"), digests(text).alias("d"))
+    listed = stash.put(hashed, "digests")
     seen = (
         listed.select("id", F.explode("d").alias("digest"))
         .groupBy("digest")
@@ -199,7 +201,7 @@ def repeats(docs: DataFrame, stash: Stash, text: str = "text", id_col: str = "do
     later = placed.join(shared, "digest").where("first < id").select("id", "th", "number")
     later = stash.put(later, "later")
     numbers = stash.put(later.groupBy("id", "th").agg(F.collect_set("number").alias("numbers")), "numbers")
-    stash.drop(shared, later)
+    stash.drop(listed, shared, later)
     return numbers
 
 

@@ -50,7 +50,7 @@ ROUNDS = 5
 BATCH = 256
 LEAST_STEPS = 60
 THRESHOLD = 0.7
-SLICE_WORDS = 200_000
+SLICE_WORDS = 100_000
 CACHE_WORDS = 250_000
 CACHE_BYTES = 8 << 20
 

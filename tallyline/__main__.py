@@ -15,7 +15,7 @@ from tallyline.plans.runs import RunStore, run_batch
 from tallyline.session import CHECKPOINT_SETTING, build_session, path_exists, remove_path
 from tallyline.sources import events, records
 from tallyline.sources.schemas import RAW_SCHEMAS
-from tallyline.streaming import sinks, windows
+from tallyline.streaming import sinks, summary, windows
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -52,8 +52,11 @@ def _publish(args: argparse.Namespace) -> None:
 
 def _alerts(args: argparse.Namespace) -> None:
     spark = build_session("alert-stream", args.master, cluster=True)
+    watched = summary.StreamSummary(spark, f"{args.store}/summary")
+    spark.streams.addListener(watched)
     for query in start_alert_job(spark, args):
         query.awaitTermination()
+        watched.settle(query)
 
 
 def _expire(args: argparse.Namespace) -> None:
@@ -74,18 +77,18 @@ def start_alert_job(spark: SparkSession, args: argparse.Namespace) -> list[Strea
     # A source that tells when a message came in (Kafka does) has it in ``timestamp``.
     arrival = F.col("timestamp") if "timestamp" in lines.columns else None
     parsed = events.parse_events(lines.select("value", *(["timestamp"] if arrival is not None else [])))
-    good = events.accepted(parsed)
+    good = events.accepted(summary.observed_intake(parsed))
     timed = good.withColumn("moment", events.event_time(F.col("date"), args.time_basis, arrival))
     emits = windows.trailing_stream(timed, "district", "moment", "case_number", args.size, args.slide, args.late)
     minima = dict(zip(("LOW", "MEDIUM", "HIGH"), args.minima))
     trigger = {"processingTime": args.every} if args.every else {"availableNow": True}
     store, beside = sinks.AlertStore(spark, args.store), args.checkpoint.rstrip("/")
     started = [
-        sinks.start_alerts(emits, store, args.checkpoint, minima=minima, threshold=args.threshold, trigger=trigger),
+        sinks.start_alerts(summary.observed_emits(emits, minima), store, args.checkpoint, minima=minima, threshold=args.threshold, trigger=trigger),
         sinks.start_quarantine(events.quarantined(parsed), f"{args.store}/quarantine", f"{beside}-quarantine", trigger),
     ]
     if args.raw_log:
-        log = events.raw_documents(good, arrival if arrival is not None else F.current_timestamp())
+        log = events.raw_documents(events.accepted(parsed), arrival if arrival is not None else F.current_timestamp())
         started.append(sinks.start_raw_log(log, f"{args.store}/raw_events", f"{beside}-raw", trigger=trigger))
     return started
 

@@ -334,6 +334,19 @@ def hotspots(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.hotspots(_points(spark, folder))
 
 
+@query(
+    "hotspots_empty",
+    """
+    SELECT CAST(NULL AS INTEGER) AS cluster_id, CAST(NULL AS DOUBLE) AS centroid_latitude, CAST(NULL AS DOUBLE) AS centroid_longitude,
+           count(*) AS crime_count
+    FROM lineitem WHERE l_discount > 90 HAVING count(*) > 0
+    """,
+)
+def hotspots_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """No point is left: an empty result with the same columns."""
+    return clusters.hotspots(_points(spark, folder).where(F.col("latitude") > 90))
+
+
 @query(
     "hotspots_check",
     """

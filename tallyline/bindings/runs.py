@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.bindings.batch import CELLS, CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, cell_centers, density_rows, offender_areas, rounded, trends_sql, violence
 from tallyline.bindings.registry import query
 from tallyline.bindings.tables import BLOCKS, VICTIM_KEYWORD, dimension, incidents, order_moments, outcomes, registry, stamp, table, victims
+from tallyline.functions.values import new_run_id
 from tallyline.operators import clusters
 from tallyline.plans import contracts, correlations, incidents as incident_plan, outcomes as outcome_plan
 from tallyline.plans.runs import COMPLETED, FAILED, RUNNING, RunStore, ledger_state, row_counts, run_batch
@@ -91,6 +92,25 @@ def staged_publish(spark: SparkSession, folder: str) -> DataFrame:
     return store.read("crime_trends").drop(contracts.CREATED)
 
 
+@query(
+    "run_generated_id",
+    f"""
+    SELECT true AS well_formed, true AS in_order, count(*) AS row_count, CAST(sum(crime_count) AS BIGINT) AS total
+    FROM ({trends_sql("orders", "o_orderdate")})
+    """,
+)
+def run_generated_id(spark: SparkSession, folder: str) -> DataFrame:
+    """A run under an id made for it: the id tells its time, and its rows are found by it."""
+    store = RunStore(spark, scratch_path(spark, "generated"))
+    run = new_run_id()
+    store.stage(_result(spark, folder, "crime_trends", NEW), "crime_trends", run)
+    store.publish(run, ["crime_trends"])
+    rows = store.read("crime_trends").where(F.col("run_id") == run)
+    shape = F.lit(run).rlike("^batch_[0-9]{8}_[0-9]{6}$") & F.try_to_timestamp(F.lit(run), F.lit("'batch_'yyyyMMdd'_'HHmmss")).isNotNull()
+    sums = rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("crime_count").alias("total"))
+    return sums.select(shape.alias("well_formed"), (F.lit(run) > F.lit(NEW)).alias("in_order"), "row_count", "total")
+
+
 class BrokenStore(RunStore):
     """A store whose publish breaks when one table is written."""
 

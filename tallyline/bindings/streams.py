@@ -18,7 +18,7 @@ from tallyline.serving import reads
 from tallyline.session import folder_names, scratch_path, set_file_time
 from tallyline.sources import events
 from tallyline.sources.records import to_parquet
-from tallyline.streaming import alerts, sinks, windows
+from tallyline.streaming import alerts, sinks, summary, windows
 
 
 WRITER = "tables"
@@ -110,7 +110,7 @@ def alert_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("serve_live_alerts", f"SELECT * EXCLUDE (window_start, window_end, source) FROM ({_alerts_sql()}) ORDER BY window_end DESC, alert_id LIMIT 100")
 def serve_live_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(reads.live_alerts(live(spark, folder).alerts.latest(_like_alerts(spark)), 100))
+    return _shown(reads.live_alerts(live(spark, folder).page(_like_alerts(spark), 100), 100))
 
 
 COUNTS = f"""
@@ -223,6 +223,33 @@ def stream_summary(spark: SparkSession, folder: str) -> DataFrame:
     return alerts.stream_summary(parsed, spark.read.schema(shape).json(path))
 
 
+@query(
+    "stream_live_summary",
+    f"""
+    WITH RECURSIVE good AS (SELECT * FROM events WHERE event_id % 50 > 3), {emits_sql("good")}
+    SELECT (SELECT count(*) FROM events) AS rows_processed, (SELECT count(*) FROM events WHERE event_id % 50 <= 3) AS rows_rejected,
+           (SELECT count(*) FROM emits) AS windows_emitted, (SELECT count(severity) FROM emits) AS anomalies_detected,
+           CAST(0 AS BIGINT) AS rows_late
+    """,
+)
+def stream_live_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The same counts from the running stream itself, as its listener put them down."""
+    watched = summary.StreamSummary(spark, scratch_path(spark, "summary"))
+    spark.streams.addListener(watched)
+    try:
+        lines = events.read_event_stream(spark, "text", _topic(spark, folder, broken=True), maxFilesPerTrigger="1")
+        parsed = summary.observed_intake(events.parse_events(lines, EVENT_FIELDS))
+        emits = windows.trailing_stream(timed(events.accepted(parsed)), "event_type", "moment", "event_id", SIZE, SLIDE)
+        target = sinks.BatchTable(spark, scratch_path(spark, "emits"), ("key", "window_end"), "at")
+        placed = summary.observed_emits(emits, MINIMA).withColumn("at", F.timestamp_seconds("window_end"))
+        running = sinks.start_batches(placed, target.upsert, scratch_path(spark, "checkpoint"))
+        running.awaitTermination()
+        watched.settle(running)
+    finally:
+        spark.streams.removeListener(watched)
+    return watched.totals()
+
+
 def timed(accepted: DataFrame) -> DataFrame:
     """Accepted events with their event time and a numeric id."""
     return accepted.withColumns(
@@ -233,13 +260,14 @@ def timed(accepted: DataFrame) -> DataFrame:
 FEEDS, FEED_ROWS = 8, 100_000
 
 
-def _topic(spark: SparkSession, folder: str, with_arrival: bool = False, again: Column | None = None) -> str:
+def _topic(spark: SparkSession, folder: str, with_arrival: bool = False, again: Column | None = None, broken: bool = False) -> str:
     """The events as files of JSON lines in time order, written by one job.
 
     Eight files at least, more where a file would pass ``FEED_ROWS`` rows: ranges of
     (time, id) of about equal size, so events crowded in time are dealt out too. The
     stream takes files by their time of change, which is set in the order of the ranges.
-    Lines where ``again`` holds come a second time, behind all others.
+    Lines where ``again`` holds come a second time, behind all others; with ``broken`` a
+    fixed share of the lines is damaged.
     """
     path = scratch_path(spark, "topic")
     rows = table(spark, folder, "events")
@@ -247,7 +275,7 @@ def _topic(spark: SparkSession, folder: str, with_arrival: bool = False, again:
     more = {"arrived": F.col("ts").cast("timestamp"), "ident": F.col("event_id")}
     if again is not None:
         more["again"] = again
-    lines = event_lines(spark, folder, more=more)
+    lines = event_lines(spark, folder, broken, more)
     if again is not None:
         copies = lines.where("again").withColumn("arrived", F.col("arrived") + F.make_dt_interval(F.lit(100_000)))
         lines = lines.unionAll(copies)

@@ -25,6 +25,7 @@ from tallyline.operators.keys import first_per_key
 from tallyline.session import folder_names, path_exists, remove_path
 from tallyline.streaming.alerts import alert_documents, alert_rows, anomaly_rows, count_rows
 
+NEWEST_DAYS = 8
 TAGS = "written_at timestamp, writer string, batch_id long, day date, batch string"
 
 
@@ -88,16 +89,22 @@ class BatchTable:
 
     def newest(self, like: DataFrame, n: int) -> DataFrame:
         """:meth:`latest` over as many of the newest days as hold ``n`` rows, for pages
-        whose order begins with the day's column. Days are counted one after the other,
-        newest first, so a page costs the same however long the history is."""
-        chosen: list[date] = []
-        held = 0
-        for day in self.days():
-            chosen.append(day)
-            held += self.latest(like, [day]).count()
-            if held >= n:
-                break
-        return self.latest(like, chosen)
+        whose order begins with the day's column. The newest days are counted by one
+        aggregate, and twice as many by another only where they do not fill the page,
+        so a page costs the same however long the history is."""
+        days, taken = self.days(), NEWEST_DAYS
+        while True:
+            chosen = days[:taken]
+            keys = F.count_distinct(*(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in self.keys)).alias("n")
+            sizes = dict(self.stored(like, chosen).groupBy("day").agg(keys).collect()) if chosen else {}
+            held = 0
+            for number, day in enumerate(chosen, 1):
+                held += sizes.get(day, 0)
+                if held >= n:
+                    return self.latest(like, chosen[:number])
+            if taken >= len(days):
+                return self.latest(like, chosen)
+            taken *= 2
 
     def fold(self, like: DataFrame, day: date) -> None:
         """Put a closed day's last row per key and writer into one folder, then drop the others.
@@ -204,6 +211,11 @@ class AlertStore:
     def alerts(self) -> BatchTable:
         return BatchTable(self.spark, f"{self.root}/alerts", ("alert_id",), "window_end")
 
+    @property
+    def recent(self) -> BatchTable:
+        """The alerts again, by the day they were written: the page of the newest ones reads the newest days only."""
+        return BatchTable(self.spark, f"{self.root}/alerts_by_writing", ("alert_id",), "alert_timestamp")
+
     @property
     def documents(self) -> BatchTable:
         return BatchTable(self.spark, f"{self.root}/alert_logs", ("alert_id",), "window_end", "json")
@@ -211,8 +223,19 @@ class AlertStore:
     def save(self, anomalies: DataFrame, batch_id: int, writer: str, source: str = "stream") -> None:
         """Counts always; alerts and their documents only with a severity."""
         self.counts.upsert(count_rows(anomalies), batch_id, writer)
-        added = self.alerts.insert_absent(alert_rows(anomalies, source), batch_id, writer)
+        raised = alert_rows(anomalies, source)
+        if raised.isEmpty():  # most micro-batches raise nothing
+            return
+        added = self.alerts.insert_absent(raised, batch_id, writer)
         self.documents.upsert(alert_documents(added), batch_id, writer)
+        self.recent.upsert(added, batch_id, writer)
+
+    def page(self, like: DataFrame, n: int) -> DataFrame:
+        """Alerts among which the ``n`` written last are, each once."""
+        rows = self.recent.newest(like, n)
+        rest = [c for c in like.columns if c != "alert_id"]
+        last = rows.groupBy("alert_id").agg(F.max(F.struct("alert_timestamp", *(c for c in rest if c != "alert_timestamp"))).alias("row"))
+        return last.select(*(F.col(c) if c == "alert_id" else F.col(f"row.{c}") for c in like.columns))
 
 
 def start_alerts(

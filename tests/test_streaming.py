@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import hops, trailing
 from tallyline.sources import events
-from tallyline.streaming import alerts, sinks, windows
+from tallyline.streaming import alerts, sinks, summary, windows
 
 SIZE, SLIDE = 300, 60
 MINIMA = {"LOW": 4, "MEDIUM": 6, "HIGH": 8}
@@ -420,3 +420,50 @@ def test_topic_files_are_even_and_in_time_order(spark):
     assert len(files) == fixture.FEEDS and all(dates)
     assert all(max(a) <= min(b) for a, b in zip(dates, dates[1:], strict=False))
     assert max(map(len, dates)) <= 2 * sum(map(len, dates)) / len(dates)
+
+
+def test_summary_of_the_running_stream(spark, tmp_path):
+    """Each micro-batch is put down once, whether the listener or the end of the query tells of it."""
+    folder = tmp_path / "topic"
+    write_topic(folder, made_events(160), 0, 40)
+    (folder / "zz.txt").write_text('oops\n{"case_number": "1"}\n')
+    watched = summary.StreamSummary(spark, str(tmp_path / "summary"))
+    assert watched.batches().count() == 0 and watched.totals().first()["rows_processed"] == 0
+    lines = events.read_event_stream(spark, "text", str(folder), maxFilesPerTrigger="1")
+    good = timed(events.accepted(summary.observed_intake(events.parse_events(lines))))
+    emits = summary.observed_emits(windows.trailing_stream(good, "district", "moment", "ident", SIZE, SLIDE), MINIMA)
+    store = sinks.AlertStore(spark, str(tmp_path / "out"))
+    spark.streams.addListener(watched)
+    try:
+        query = sinks.start_alerts(emits, store, str(tmp_path / "cp"), minima=MINIMA, threshold=4)
+        query.awaitTermination()
+        watched.settle(query)
+        watched.settle(query)
+    finally:
+        spark.streams.removeListener(watched)
+    rows = watched.batches().where("rows_processed > 0").collect()
+    assert len(rows) == 5 and sum(r["rows_processed"] for r in rows) == 162
+    expected = alerts.anomaly_rows(batch_emits(spark, folder), "key", MINIMA, 4).collect()
+    total = watched.totals().first()
+    assert (total["rows_rejected"], total["windows_emitted"], total["rows_late"]) == (2, len(expected), 0)
+    assert total["anomalies_detected"] == sum(r["severity"] is not None for r in expected)
+
+
+def test_page_of_alerts_reads_the_days_written_last(spark, tmp_path):
+    """However many alerts are stored, the page opens the folders of the newest days of writing only."""
+    store = sinks.AlertStore(spark, str(tmp_path / "out"))
+    shape = shape_alerts(spark)
+    for day in range(12):
+        stamped = [(f"a{day}-{k}", day) for k in range(3)]
+        rows = spark.createDataFrame(stamped, "alert_id string, d int").select(
+            "alert_id", F.lit("007").alias("district"), F.timestamp_seconds(F.col("d") * 86400 + 5).alias("alert_timestamp"),
+            F.timestamp_seconds(F.lit(0)).alias("window_start"), F.timestamp_seconds(F.lit(300)).alias("window_end"),
+            F.lit(9).cast("long").alias("event_count"), F.lit(4).cast("long").alias("threshold_value"), F.lit("HIGH").alias("severity"),
+            F.lit("m").alias("message"), F.lit("s").alias("source"),
+        )
+        store.recent.upsert(rows, day, "q")
+    page = store.page(shape, 4)
+    assert sorted(r["alert_id"] for r in page.collect()) == [f"a{d}-{k}" for d in (10, 11) for k in range(3)]
+    assert {p.split("day=")[1][:10] for p in page.inputFiles()} == {"1970-01-11", "1970-01-12"}
+    assert store.page(shape, 10**6).count() == 36
+    assert sinks.AlertStore(spark, str(tmp_path / "none")).page(shape, 4).count() == 0

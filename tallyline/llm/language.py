@@ -3,8 +3,9 @@
 A text is the mean of the embeddings of all its words' subwords (hashed byte n-grams of
 the lower-cased, end-marked word, and the word as one). A linear layer and softmax give
 the languages' chances. Both are trained in numpy by stochastic gradient descent, on
-the driver, on a bounded sample: ``SAMPLE_ROWS`` rows dealt out evenly over languages,
-``SAMPLE_WORDS`` words of each, and a short piece of each so that short texts are met.
+the driver, on a bounded sample: ``SAMPLE_ROWS`` rows dealt out evenly over languages
+(one of each at least), ``SAMPLE_WORDS`` words drawn over the whole of each text, and a short
+piece of each so that short texts are met.
 
 As the mean and the layer are linear, a word's share in the logits is worked out once
 per task and word; a text is then a sum over its words, the whole of it.
@@ -21,13 +22,14 @@ not held out; a tie goes to the first language by code point; repeats score alik
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +42,8 @@ BUCKETS = 1 << 16
 WIDTH = 16
 SAMPLE_ROWS = 3000
 SAMPLE_WORDS = 120
-SAMPLE_CHARS = 4000
+WORD_CHARS = 400
+BROADCAST_LANGUAGES = 100_000
 EPOCHS = 3
 BATCH = 32
 RATE = 0.1
@@ -251,19 +254,52 @@ def predictor(model: Model | None):
     return run
 
 
+def drawn_words(text: str | None, most: int = SAMPLE_WORDS) -> str | None:
+    """Some words of a text, drawn at random over the whole of it, in their order; the same ones in every run.
+
+    Of a very long stretch without white space a piece from a random place stands for the word.
+    """
+    if text is None:
+        return None
+    words = text.split()
+    draw = np.random.default_rng(zlib.crc32(text.encode()))
+    if len(words) > most:
+        words = [words[k] for k in np.sort(draw.choice(len(words), most, replace=False)).tolist()]
+    for k, word in enumerate(words):
+        if len(word) > WORD_CHARS:
+            at = int(draw.integers(0, len(word) - WORD_CHARS + 1))
+            words[k] = word[at : at + WORD_CHARS]
+    return " ".join(words)
+
+
+@F.arrow_udf(T.StringType())
+def _drawn(texts: pa.Array) -> pa.Array:
+    return pa.array([drawn_words(t) for t in texts.to_pylist()], pa.string())
+
+
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
-    """Train on a bounded sample of the rows that may be learned from, even over languages."""
+    """Train on a bounded sample of the rows that may be learned from, even over languages.
+
+    Every language has its share of the ``rows``, one row at least. Words are drawn from
+    whole texts inside the tasks.
+    """
     known = docs.where(learnable("doc_id", 4, 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()
-    each = max(1, rows // max(len(sizes), 1))
-    lucky = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1_000_000))
-    if not sizes:
+    sizes = known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+    languages = sizes.count()
+    if not languages:
         return None
-    shares = [F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, 1.2 * each / r["n"]) * 1_000_000))]
-    share = F.coalesce(F.create_map(*shares)[F.col("lang")], F.lit(0))
-    drawn = known.where(lucky < share).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang")
-    drawn = drawn.orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "text", "lang").limit(2 * rows).collect()
-    return train([r["text"] for r in drawn], [r["lang"] for r in drawn])
+    each = max(1, rows // languages)
+    # Many more than needed pass the draw by hash, so that no language is left out by chance.
+    share = F.least(F.lit(1.0), (each + 4 * each**0.5 + 32) / F.col("n"))
+    lucky = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 40)) < share * F.lit(float(1 << 40))
+    small = F.broadcast(sizes) if languages <= BROADCAST_LANGUAGES else sizes
+    drawn = known.select("doc_id", "text", "lang").join(small, F.col("lang") == F.col("of")).where(lucky)
+    words = drawn.select("doc_id", "lang", _drawn("text").alias("text"))
+    order = [F.xxhash64("doc_id", "lang"), F.col("doc_id"), F.col("text")]
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).alias("place")
+    found = words.select("lang", "text", *(c.alias(f"o{k}") for k, c in enumerate(order)), place).where(F.col("place") <= each)
+    chosen = found.orderBy("o0", "o1", "o2", "lang").collect()
+    return train([r["text"] for r in chosen], [r["lang"] for r in chosen])
 
 
 def predicted(model: Model | None, text: Column | str = "text") -> Column:

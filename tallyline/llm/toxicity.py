@@ -12,8 +12,10 @@ negatives; of a toxic text those count as positive that the network of the round
 before finds positive, its best window always.
 
 Training takes a bounded sample of labelled rows (``SAMPLE_ROWS``, about half of them
-toxic where there are enough, by hash) and at most ``WINDOWS_PER_ROW`` windows of each,
-on the driver. Scoring covers every window of every text, in tasks, without a shuffle.
+toxic where there are enough, by hash) and, on the driver, a bounded number of windows of
+each: some drawn at random over the whole text, and of toxic texts, after two rounds,
+those that the network finds most toxic wherever they lie. The curve is fitted on figures
+of whole texts. Scoring covers every window of every text, in tasks, without a shuffle.
 
 Defined results: NULL, empty or blank text has no window and scores as the bias of the
 empty text, which is 0; labels whose text is missing are left out; without both kinds of
@@ -22,7 +24,8 @@ labels every text scores 0; rows without an id are not held out; repeated rows s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.common import learnable
+from tallyline.llm.common import Stash, learnable
 from tallyline.llm.rawtext import tidied
 from tallyline.llm.subwords import bags
 
@@ -44,8 +47,11 @@ EMBED = 8
 HIDDEN = 8
 ATTEND = 8
 SAMPLE_ROWS = 3000
-SAMPLE_CHARS = 20_000
 WINDOWS_PER_ROW = 8
+TOXIC_WINDOWS_PER_ROW = 8
+MINED_PER_ROW = 4
+MINE_BEFORE = 2
+WINDOW_BYTES = 8192
 ROUNDS = 5
 BATCH = 256
 LEAST_STEPS = 60
@@ -297,51 +303,111 @@ def _round(net: Network, adam: Adam, windows: list[list[bytes]], marks: np.ndarr
         adam.apply(net.backward(vectors, bag, part, real, slope))
 
 
+def drawn_windows(text: bytes | None, toxic: bool) -> list[list[bytes]]:
+    """Windows drawn at random over the whole text, the same ones in every run. Windows of very long words are left to scoring."""
+    words = words_of(text)
+    starts, most = windows_of(len(words)), TOXIC_WINDOWS_PER_ROW if toxic else WINDOWS_PER_ROW
+    if len(starts) > most:
+        draw = np.random.default_rng(zlib.crc32(text))
+        starts = sorted(starts[k] for k in draw.choice(len(starts), most, replace=False))
+    made = [words[s : s + WINDOW] for s in starts]
+    return [w for w in made if sum(map(len, w)) <= WINDOW_BYTES]
+
+
+def best_windows(net: Network, texts: list[bytes | None], most: int = MINED_PER_ROW) -> list[list[list[bytes]]]:
+    """The windows of each text, of all it has, that the network finds most toxic."""
+    made: list[list[list[bytes]]] = []
+    vocabulary = Vocabulary(net)
+    for text in texts:
+        words = words_of(text)
+        starts = windows_of(len(words))
+        order = np.argsort(-window_logits(net, [words], vocabulary)[0], kind="stable")[:most].tolist() if starts else []
+        windows = [words[starts[k] : starts[k] + WINDOW] for k in order]
+        made.append([w for w in windows if sum(map(len, w)) <= WINDOW_BYTES])
+    return made
+
+
+def text_figures(net: Network, texts: list[bytes | None]) -> list[tuple[float, float, float] | None]:
+    """:func:`figures` of whole texts; None for a text without a window."""
+    vocabulary = Vocabulary(net)
+    logits = (window_logits(net, [words_of(text)], vocabulary)[0] for text in texts)
+    return [figures(x) if len(x) else None for x in logits]
+
+
 def train(texts: list[bytes | None], labels: list[int], seed: int = 11, clean_weight: float = 1.0) -> Network:
-    """Fit the network and its calibration to labelled texts.
+    """Fit the network and its calibration to labelled texts that are at hand."""
+    rows = [(t, int(y)) for t, y in zip(texts, labels, strict=True)]
+    toxic = [k for k, (_, y) in enumerate(rows) if y]
+
+    def mine(net: Network) -> dict[int, list[list[bytes]]]:
+        return dict(zip(toxic, best_windows(net, [rows[k][0] for k in toxic]), strict=True))
+
+    def figure(net: Network) -> dict[int, tuple | None]:
+        return dict(enumerate(text_figures(net, [t for t, _ in rows])))
+
+    return fitted([(y, drawn_windows(t, bool(y))) for t, y in rows], mine, figure, seed, clean_weight)
 
+
+def fitted(
+    drawn: list[tuple[int, list[list[bytes]]]],
+    mine: Callable[[Network], dict[int, list[list[bytes]]]],
+    figure: Callable[[Network], dict[int, tuple | None]],
+    seed: int = 11,
+    clean_weight: float = 1.0,
+) -> Network:
+    """Fit the network to rows of (label, windows), and its calibration to figures of whole texts.
+
+    ``mine`` gives, by row, windows that the network so far finds most toxic, wherever they
+    lie in the text; ``figure`` gives, by row, the figures of the whole text.
     ``clean_weight`` is how many clean rows each sampled one stands for, against toxic ones.
     """
     net = Network.fresh(seed)
-    rows = [(words_of(t), int(y)) for t, y in zip(texts, labels, strict=True)]
-    rows = [r for r in rows if r[0]]
-    if len({y for _, y in rows}) < 2:
+    rows = [k for k, (_, windows) in enumerate(drawn) if windows]
+    label = np.array([y for y, _ in drawn], np.int64)
+    if len(set(label[rows].tolist())) < 2:
         net.usable = False
         return net
     draw = np.random.default_rng(seed)
     rows = [rows[k] for k in draw.permutation(len(rows))]
-    aside = [k for k in range(len(rows)) if k % 5 == 0]
-    learn = [k for k in range(len(rows)) if k % 5]
-    if len({rows[k][1] for k in learn}) < 2 or len({rows[k][1] for k in aside}) < 2:
-        learn = aside = list(range(len(rows)))
+    aside, learn = rows[::5], [k for n, k in enumerate(rows) if n % 5]
+    if len(set(label[learn].tolist())) < 2 or len(set(label[aside].tolist())) < 2:
+        learn = aside = rows
     adam = Adam(net.weights)
-    windows, owner = [], []
-    for k in learn:
-        words = rows[k][0]
-        starts = windows_of(len(words))
-        if len(starts) > WINDOWS_PER_ROW:
-            starts = [starts[i] for i in sorted(draw.choice(len(starts), WINDOWS_PER_ROW, replace=False))]
-        for s in starts:
-            windows.append(words[s : s + WINDOW])
-            owner.append(k)
-    owner = np.array(owner)
-    toxic = np.array([rows[k][1] for k in owner], bool)
-    use, marks = np.ones(len(windows), bool), toxic.astype(np.float32)
+    windows = [w for k in learn for w in drawn[k][1]]
+    owner = np.array([k for k in learn for _ in drawn[k][1]])
+    use = np.ones(len(windows), bool)
     for number in range(ROUNDS):
+        if number == MINE_BEFORE:
+            found = mine(net)
+            held = {(k, b" ".join(w)) for k, w in zip(owner.tolist(), windows, strict=True)}
+            more = [(k, w) for k in learn if label[k] for w in found.get(k, []) if (k, b" ".join(w)) not in held]
+            windows += [w for _, w in more]
+            owner = np.r_[owner, np.array([k for k, _ in more], np.int64)]
+            use = np.ones(len(windows), bool)
+            use[label[owner] > 0] = _positive(net, windows, owner, label, 0.0)[label[owner] > 0]
         chosen = np.flatnonzero(use)
-        _round(net, adam, [windows[k] for k in chosen], marks[chosen], draw)
+        _round(net, adam, [windows[k] for k in chosen], label[owner[chosen]].astype(np.float32), draw)
         if number < ROUNDS - 1:
-            logits = np.concatenate(window_logits(net, windows))
-            best = np.full(len(rows), -np.inf)
-            np.maximum.at(best, owner, logits)
-            middle = np.median(logits[~toxic]) if number == 0 else 0.0
-            use = ~toxic | (logits >= best[owner]) | (logits > max(middle, 0.0))
+            use = _positive(net, windows, owner, label, None if number == 0 else 0.0)
         adam.rate *= 0.8
-    pooled = np.array([figures(x) for x in window_logits(net, [rows[k][0] for k in aside])])
-    net.curve = _calibrated(pooled, np.array([rows[k][1] for k in aside], np.float64), clean_weight)
+    whole = figure(net)
+    aside = [k for k in aside if whole.get(k) is not None]
+    net.curve = _calibrated(np.array([whole[k] for k in aside]), label[aside].astype(np.float64), clean_weight)
     return net.slim()
 
 
+def _positive(net: Network, windows: list[list[bytes]], owner: np.ndarray, label: np.ndarray, line: float | None) -> np.ndarray:
+    """Windows to learn from: all of clean texts; of toxic ones those above the line, the best always.
+
+    Without a line it is the middle of the clean windows, or 0 where that is higher."""
+    logits = np.concatenate(window_logits(net, windows))
+    toxic = label[owner] > 0
+    best = np.full(len(label), -np.inf)
+    np.maximum.at(best, owner, logits)
+    line = max(np.median(logits[~toxic]), 0.0) if line is None else line
+    return ~toxic | (logits >= best[owner]) | (logits > line)
+
+
 def figures(logits: np.ndarray) -> tuple[float, float, float]:
     """What the curve sees of a text's windows."""
     chances = sigmoid(logits.astype(np.float64))
@@ -402,25 +468,71 @@ def scorer(net: Network):
     return score
 
 
+@F.arrow_udf(T.ArrayType(T.BinaryType()))
+def _drawn(texts: pa.Array, toxic: pa.Array) -> pa.Array:
+    pairs = zip(texts.cast(pa.binary()).to_pylist(), toxic.to_pylist(), strict=True)
+    return pa.array([[b" ".join(w) for w in drawn_windows(t, bool(y))] for t, y in pairs], pa.list_(pa.binary()))
+
+
+def _mined(net: Network):
+    @F.arrow_udf(T.ArrayType(T.BinaryType()))
+    def run(texts: pa.Array) -> pa.Array:
+        found = best_windows(net, texts.cast(pa.binary()).to_pylist())
+        return pa.array([[b" ".join(w) for w in windows] for windows in found], pa.list_(pa.binary()))
+
+    return run
+
+
+def _figured(net: Network):
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(text_figures(net, texts.cast(pa.binary()).to_pylist()), pa.list_(pa.float64()))
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:
-    """Train on a bounded sample of the labelled rows that may be learned from."""
+    """Train on a bounded sample of the labelled rows that may be learned from.
+
+    The whole texts of the sample stay with the tasks, which draw windows from them,
+    find the most toxic ones, and work out the figures to calibrate on. What reaches
+    the driver is bounded in rows, windows of a row and bytes of a window.
+    """
     known = labels.where(learnable("doc_id", 3, 1) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     kinds = []
     for kind in (0, 1):
         share = min(1.0, 1.2 * (rows // 2) / max(sizes.get(kind, 0), 1))
-        lucky = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
+        lucky = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
         kinds.append((F.col("toxic") == kind) & lucky)
     sample = known.where(kinds[0] | kinds[1]).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(2 * rows)
-    # Texts of the sample, at most SAMPLE_CHARS each for training only. The sample has 2 * rows rows of two
-    # numbers at most, so it is broadcast and no text is shuffled.
-    joined = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(sample), "doc_id")
-    drawn = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "toxic").limit(rows).collect()
-    drawn = [r for r in drawn if r["text"] is not None]
+    # The sample has 2 * rows rows of two numbers at most, so it is broadcast and no text is shuffled.
+    joined = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id")
+    stash = Stash(docs.sparkSession)
+    texts = stash.put(joined.select("doc_id", F.xxhash64("text").alias("th"), "toxic", "text"), "toxicity-sample")
+
+    def taken(column: Column, kind: Column | None = None) -> list:
+        """A figure of the sampled rows, in an order that does not change."""
+        some = texts if kind is None else texts.where(kind)
+        found = some.select("doc_id", "th", "toxic", column.alias("made")).orderBy(F.xxhash64("doc_id"), "doc_id", "th", "toxic")
+        return found.limit(rows).collect()
+
+    def windows(made: list[bytes] | None) -> list[list[bytes]]:
+        return [bytes(w).split() for w in made or []]
+
+    drawn = taken(_drawn("text", "toxic"))
     marks = [r["toxic"] for r in drawn]
+    place = {(r["doc_id"], r["th"], r["toxic"]): k for k, r in enumerate(drawn)}
+    at = lambda r: place.get((r["doc_id"], r["th"], r["toxic"]))
     toxic, clean = max(sum(marks), 1), max(len(marks) - sum(marks), 1)
-    share = (sizes.get(0, 0) / clean) / max(sizes.get(1, 0) / toxic, 1e-9)
-    return train([r["text"].encode() for r in drawn], marks, clean_weight=min(max(share, 1.0), 50.0))
+    net = fitted(
+        [(r["toxic"], windows(r["made"])) for r in drawn],
+        lambda net: {at(r): windows(r["made"]) for r in taken(_mined(net.slim())("text"), F.col("toxic") == 1)},
+        lambda net: {at(r): r["made"] for r in taken(_figured(net.slim())("text"))},
+        clean_weight=(sizes.get(0, 0) / clean) / max(sizes.get(1, 0) / toxic, 1e-9),
+    )
+    stash.drop(texts)
+    return net
 
 
 def scored(net: Network, text: Column | str = "text") -> Column:

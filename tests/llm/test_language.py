@@ -58,3 +58,28 @@ def test_column(spark):
     assert np.array_equal(again.embedding, model.embedding)
     assert language.fit(docs.limit(0)) is None
     assert docs.select(language.predicted(None)["lang_pred"]).distinct().collect()[0][0] == "und"
+
+
+def test_words_are_drawn_over_the_whole_text(spark):
+    """What stands behind the first characters of long texts is learned from."""
+    draw = random.Random(4)
+    given = []
+    for i, lang in enumerate(["aa", "bb", "cc"] * 60):
+        given.append((i, "zzz " * 3000 + text(draw, lang, 400), lang))
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    fresh = [(text(draw, lang, 60), lang) for lang in ["aa", "bb", "cc"] * 20]
+    langs, *_ = language.predict(model, [t for t, _ in fresh])
+    assert sum(a == y for a, (_, y) in zip(langs, fresh, strict=True)) >= 57
+    made = language.drawn_words(given[0][1])
+    assert len(made.split()) == language.SAMPLE_WORDS and made == language.drawn_words(given[0][1])
+    assert len(language.drawn_words("字" * 10**6)) == language.WORD_CHARS and language.drawn_words(None) is None
+
+
+def test_no_language_is_left_out(spark):
+    given = [(i, f"w{i % 1100} x{i % 1100} y{i % 1100}", f"l{i % 1100:04d}") for i in range(6600)]
+    given += [(10_000 + i, "common words here", "l0000") for i in range(3000)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    kept = docs.where(language.learnable("doc_id", 4, 2)).select("lang").distinct().count()
+    assert len(model.languages) == kept > 1000

@@ -114,3 +114,61 @@ def test_planted_span_scores_near_its_best_window():
         best = max(x.max() for x in tox.window_logits(net, every))
         plain = tox.window_logits(net, [clean])[0].max()
         assert found.max() - plain >= 0.7 * (best - plain), at
+
+
+def test_passages_behind_long_clean_text_are_learned(spark):
+    """Toxic passages that begin behind 20,000 characters, a few windows of hundreds."""
+    draw = random.Random(12)
+    rows = texts(draw, 240)
+    clean = [t.decode() for t, y in rows if not y]
+    given = []
+    for i in range(150):
+        long = " ".join(draw.choice(clean) for _ in range(90))
+        bad = i % 2
+        given.append((i, long + (" " + " ".join(draw.choice(BAD) for _ in range(24)) if bad else "") + " " + draw.choice(clean), bad))
+    assert min(len(t) for _, t, _ in given) > 20_000
+    docs = spark.createDataFrame([(i, t) for i, t, _ in given], "doc_id long, text string")
+    net = tox.fit(docs, spark.createDataFrame([(i, y) for i, _, y in given], "doc_id long, toxic int"))
+    scored = {r["doc_id"]: r["s"] for r in docs.select("doc_id", tox.scored(net).alias("s")).collect()}
+    right = sum((scored[i] >= tox.THRESHOLD) == y for i, _, y in given)
+    assert right >= 0.85 * len(given)
+
+
+def plain_logit(net, words):
+    """The network word by word, in plain loops."""
+    import math
+
+    w = {k: v.astype(float) for k, v in net.weights.items()}
+    inputs = []
+    for word in words:
+        ids, _ = bags([word], tox.ORDERS, tox.BUCKETS)
+        inputs.append(list(w["words"][ids[0]]) + [sum(w["grams"][i][c] for i in ids) / len(ids) for c in range(w["grams"].shape[1])])
+    sig = lambda x: 1 / (1 + math.exp(-x))
+    size = w["state_f"].shape[0]
+    states = {}
+    for way, order in (("f", range(len(words))), ("b", range(len(words) - 1, -1, -1))):
+        h = [0.0] * size
+        for t in order:
+            g = [sum(x * w[f"in_{way}"][i][c] for i, x in enumerate(inputs[t])) + w[f"bias_{way}"][c] for c in range(3 * size)]
+            u = [sum(h[i] * w[f"state_{way}"][i][c] for i in range(size)) for c in range(3 * size)]
+            z = [sig(g[c] + u[c]) for c in range(size)]
+            r = [sig(g[size + c] + u[size + c]) for c in range(size)]
+            n = [math.tanh(g[2 * size + c] + r[c] * u[2 * size + c]) for c in range(size)]
+            h = [(1 - z[c]) * n[c] + z[c] * h[c] for c in range(size)]
+            states[way, t] = h
+    both = [states["f", t] + states["b", t] for t in range(len(words))]
+    raw = [sum(math.tanh(sum(s[i] * w["attend"][i][a] for i in range(2 * size))) * w["query"][a] for a in range(len(w["query"]))) for s in both]
+    share = [math.exp(x - max(raw)) for x in raw]
+    pooled = [sum(p * s[i] for p, s in zip(share, both, strict=True)) / sum(share) for i in range(2 * size)]
+    return sum(p * o for p, o in zip(pooled, w["out"], strict=True)) + w["bias"][0]
+
+
+def test_forward_against_plain_loops():
+    draw = random.Random(13)
+    rows = texts(draw, 90)
+    net = tox.train([t for t, _ in rows], [y for _, y in rows])
+    for text, _ in rows[:6]:
+        words = tox.words_of(text)
+        (found,) = tox.window_logits(net, [words])
+        wanted = [plain_logit(net, words[s : s + tox.WINDOW]) for s in tox.windows_of(len(words))]
+        assert np.allclose(found, wanted, atol=2e-3)

@@ -148,18 +148,11 @@ def nearest_center(points: DataFrame, centers: DataFrame, k: int, name: str = "c
         F.when(F.size("c") <= k, F.col("c")).otherwise(F.raise_error(F.lit(f"more than {k} centers"))).alias("c")
     )
 
-    def field(i: int, part: str) -> Column:
-        return F.get(F.col("centers_"), F.lit(i))[part]
-
-    def gap(i: int) -> Column:
-        across, up = F.col(x) - field(i, "x"), F.col(y) - field(i, "y")
+    def gap(c: Column) -> Column:
+        across, up = F.col(x) - c["x"], F.col(y) - c["y"]
         return across * across + up * up
 
-    # Plain numbers, not structs: one short expression per center stays compiled.
-    gaps = [f"gap_{i}_" for i in range(k)]
-    measured = points.withColumn("centers_", packed.scalar()).withColumns({g: gap(i) for i, g in enumerate(gaps)})
-    measured = measured.withColumn("best_", F.least(*gaps) if k > 1 else F.col(gaps[0]))
-    chosen = F.lit(None)
-    for i in reversed(range(k)):
-        chosen = F.when(F.col(gaps[i]) == F.col("best_"), field(i, "id")).otherwise(chosen)
-    return measured.select(*points.columns, chosen.alias(name))
+    # One list per point: a chain of comparisons of single numbers grows past what Spark compiles.
+    measured = points.withColumn("centers_", packed.scalar()).withColumn("gaps_", F.transform("centers_", gap))
+    nearest = (F.array_position("gaps_", F.array_min("gaps_")) - 1).cast("int")
+    return measured.select(*points.columns, F.get("centers_", nearest)["id"].alias(name))

@@ -134,7 +134,7 @@ class BatchTable:
             if day < cutoff.date():
                 remove_path(self.spark, self._folder(day))
         edge = cutoff.date()
-        if not path_exists(self.spark, self._folder(edge)):
+        if not folder_names(self.spark, self._folder(edge), "batch="):
             return
         rows = self.spark.read.option("basePath", self.path).format(self.fmt).load(self._folder(edge))
         limit = F.lit(cutoff.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")

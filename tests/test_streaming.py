@@ -401,6 +401,9 @@ def test_expiry_drops_days_and_old_rows(spark, tmp_path):
     assert newest.count() == 2 and untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "log" / "day=1970-01-03").rglob("*.parquet")}
     log.upsert(rows.where("s = 180000").withColumn("event_id", F.lit("new")), 3, "q")  # the writer goes on
     assert log.stored(rows).count() == 4
+    for _ in range(2):  # the edge day has nothing to keep
+        log.expire(datetime.fromtimestamp(180_001, timezone.utc))
+        assert log.stored(rows).count() == 0
     log.expire(datetime.fromtimestamp(10 * 86_400, timezone.utc))
     assert log.stored(rows).count() == 0 and log.days() == []
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+SHUFFLE_SETTING = "spark.sql.shuffle.partitions"
 LOCAL_MASTER = re.compile(r"local(\[[^\]]*\])?")
 
 # What a large cluster job starts from. The first shuffle width is generous and AQE
@@ -127,6 +130,23 @@ def set_file_time(spark: SparkSession, path: str, millis: int) -> None:
     there.getFileSystem(context._jsc.hadoopConfiguration()).setTimes(there, millis, -1)
 
 
+@contextmanager
+def state_width(spark: SparkSession, width: int | None = None) -> Iterator[None]:
+    """Streams begun in here deal their keyed state over ``width`` partitions.
+
+    Every micro-batch opens and commits each partition of the state, however little is
+    in it, so by default there are as many as the cluster has cores, and never more than
+    the session's shuffles have. Spark copies the setting when a stream begins and keeps
+    it in the checkpoint: a stream begun before goes on with what it has.
+    """
+    before = spark.conf.get(SHUFFLE_SETTING)
+    spark.conf.set(SHUFFLE_SETTING, str(width or min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_SETTING, before)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: evaluated once, survives the loss of executors."""
     shared_dir(df.sparkSession)

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.hops import hop_counts
 from tallyline.operators.keys import first_per_key
-from tallyline.session import folder_names, path_exists, remove_path
+from tallyline.session import folder_names, path_exists, remove_path, state_width
 from tallyline.streaming.alerts import alert_documents, alert_rows, anomaly_rows, count_rows
 
 NEWEST_DAYS = 8
@@ -263,9 +263,12 @@ def start_batches(
     checkpoint: str,
     mode: str = "append",
     trigger: dict | None = None,
+    width: int | None = None,
 ) -> StreamingQuery:
     """A streaming query that hands each micro-batch, its number and the query id to ``save``.
 
+    ``width`` is the number of partitions of keyed state; see :func:`session.state_width`.
+
     The micro-batch is first written beside the checkpoint, in one of two slots that
     take turns, and ``save`` gets it as read back by the session that defined the
     stream. A stateful stream runs without adaptive execution; what ``save`` does is
@@ -280,7 +283,8 @@ def start_batches(
         save(spark.read.schema(schema).parquet(slot), batch_id, query_id)
 
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    with state_width(spark, width):
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def start_raw_log(

@@ -425,6 +425,48 @@ def test_topic_files_are_even_and_in_time_order(spark):
     assert max(map(len, dates)) <= 2 * sum(map(len, dates)) / len(dates)
 
 
+@pytest.mark.parametrize("name", ["stream_alerts"])
+def test_micro_batches_do_not_grow_with_the_events(spark, monkeypatch, name):
+    """Many files of few events: a micro-batch takes an eighth of them, not one."""
+    import os
+
+    from tallyline.bindings import streams as fixture
+    from tallyline.session import folder_names
+
+    folder = os.environ.get("TALLYLINE_TESTDATA", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+
+    class Begun(Exception):
+        pass
+
+    def taken(spark, fmt, path, schema=None, **options):
+        raise Begun(len(folder_names(spark, path, "part-")), int(options["maxFilesPerTrigger"]))
+
+    monkeypatch.setattr(fixture, "FEED_ROWS", 20)
+    monkeypatch.setattr(events, "read_event_stream", taken)
+    with pytest.raises(Begun) as begun:
+        getattr(fixture, name)(spark, folder)
+    files, together = begun.value.args
+    assert files > 2 * fixture.FEEDS and -(-files // together) <= fixture.FEEDS
+
+
+def test_state_has_no_more_partitions_than_the_cluster_cores(spark, topic, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(3 * cores))
+    try:
+        for name, width in (("cores", None), ("two", 2)):
+            counts = windows.hop_stream(stream(spark, topic, 9), "district", "moment", SIZE, SLIDE, "60 days")
+            target = sinks.BatchTable(spark, str(tmp_path / name), ("district", "window_start", "window_end"), "window_start")
+            sinks.start_batches(counts, target.upsert, str(tmp_path / f"cp-{name}"), "update", width=width).awaitTermination()
+            made = {p.name for p in (tmp_path / f"cp-{name}" / "state" / "0").iterdir() if p.name.isdigit()}
+            assert len(made) == (width or cores)
+            assert spark.conf.get("spark.sql.shuffle.partitions") == str(3 * cores)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_summary_of_the_running_stream(spark, tmp_path):
     """Each micro-batch is put down once, whether the listener or the end of the query tells of it."""
     folder = tmp_path / "topic"

@@ -119,11 +119,11 @@ def csv_scan_text(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def csv_scan_split(spark: SparkSession, folder: str) -> DataFrame:
-    """The same texts from one file, dealt over many tasks although their fields hold line breaks."""
-    path = scratch_path(spark, "documents-one-csv")
+    """The same texts from files of many splits each, dealt over many tasks although their fields hold line breaks."""
+    path = scratch_path(spark, "documents-split-csv")
     columns = ("doc_id", "lang", "source", "text")
     documents = table(spark, folder, "documents")
-    records.write_csv(documents.select(*(F.col(c).cast("string") for c in columns)).coalesce(1), path)
+    records.write_csv(documents.select(*(F.col(c).cast("string") for c in columns)), path)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")  # splits of a small file; only while it is read
     try:

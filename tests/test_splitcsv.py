@@ -120,3 +120,20 @@ def test_split_bytes(spark, size):
         assert records.split_bytes(spark) == size[1]
     finally:
         spark.conf.set(BYTES, before)
+
+
+def test_texts_are_written_and_scanned_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The query's files are made side by side, none by a task that reads all texts."""
+    from tallyline.bindings import cleaning
+
+    made = []
+    monkeypatch.setattr(cleaning, "scratch_path", lambda spark, label: made.append(str(tmp_path / label)) or made[-1])
+    text = F.concat(F.lit('say "'), F.col("id").cast("string"), F.lit('",\nthen '), F.repeat(F.lit("go\n"), 4000))
+    rows = spark.range(120, numPartitions=3).select(
+        F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source")
+    )
+    rows.write.parquet(str(tmp_path / "tables" / "documents.parquet"))
+    found = {r["doc_id"]: (r["chars"], r["digest"]) for r in cleaning.csv_scan_split(spark, str(tmp_path / "tables")).collect()}
+    wanted = rows.select(F.col("doc_id").cast("string"), F.length("text"), F.md5("text")).collect()
+    assert found == {d: (n, digest) for d, n, digest in wanted} and len(wanted) == 120
+    assert len(list((tmp_path / "documents-split-csv").glob("part-*"))) == 3

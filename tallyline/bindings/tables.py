@@ -24,15 +24,22 @@ def stamp(moment: str | Column) -> Column:
     return F.date_format(F.col(moment) if isinstance(moment, str) else moment, STAMP)
 
 
+def areas(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Key and area code of every customer or supplier: made before the joins, so once per
+    customer or supplier and not once per row that is joined to it."""
+    short = name[0]
+    return table(spark, folder, name).select(f"{short}_{name[:4]}key", area_code(F.col(f"{short}_nationkey")).alias("district"))
+
+
 def incidents(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as incidents, the customer's nation as area."""
-    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    orders, customer = table(spark, folder, "orders"), areas(spark, folder, "customer")
     joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
     moment = F.col("o_orderdate").cast("timestamp")
     return joined.select(
         F.col("o_orderkey").cast("string").alias("case_number"),
         F.col("o_orderpriority").alias("primary_type"),
-        area_code(F.col("c_nationkey")).alias("district"),
+        F.col("district"),
         moment.alias("event_timestamp"),
         F.year(moment).alias("year"),
         F.col("o_orderstatus").alias("status"),
@@ -76,14 +83,15 @@ OUTCOMES = """
 
 def victims(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with their part and supplier; times and second keyword may be NULL."""
-    lines, part, supplier = (table(spark, folder, n) for n in ("lineitem", "part", "supplier"))
+    lines, part = (table(spark, folder, n) for n in ("lineitem", "part"))
+    supplier = areas(spark, folder, "supplier")
     joined = lines.join(part, lines["l_partkey"] == part["p_partkey"]).join(
         supplier, lines["l_suppkey"] == supplier["s_suppkey"]
     )
     return joined.select(
         F.when(F.col("l_linenumber") != 7, F.col("l_shipdate").cast("timestamp")).alias("event_timestamp"),
         F.concat(F.lit("0"), (F.col("l_linenumber") - 1).cast("string")).alias("month"),
-        area_code(F.col("s_nationkey")).alias("district"),
+        F.col("district"),
         F.col("p_brand").alias("community_area"),
         F.col("p_type").alias("incident_primary"),
         F.when(F.col("l_returnflag") == "A", F.col("p_type")).alias("victimization_primary"),
@@ -108,15 +116,14 @@ VICTIMS = """
 
 
 def block_incidents(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines placed in a supplier block, with the customer's nation as area."""
-    lines, orders, customer = (table(spark, folder, n) for n in ("lineitem", "orders", "customer"))
-    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).join(
-        customer, orders["o_custkey"] == customer["c_custkey"]
-    )
-    return joined.select(
-        F.concat(F.lit("SUPP "), F.col("l_suppkey").cast("string")).alias("block"),
-        area_code(F.col("c_nationkey")).alias("district"),
-    )
+    """Lines placed in a supplier block, with the customer's nation as area.
+
+    Orders get their area first, so that the lines, the largest table, are joined once.
+    """
+    lines, orders, customer = table(spark, folder, "lineitem"), table(spark, folder, "orders"), areas(spark, folder, "customer")
+    placed = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select("o_orderkey", "district")
+    joined = lines.join(placed, lines["l_orderkey"] == placed["o_orderkey"])
+    return joined.select(F.concat(F.lit("SUPP "), F.col("l_suppkey").cast("string")).alias("block"), "district")
 
 
 BLOCKS = """

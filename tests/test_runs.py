@@ -1,5 +1,6 @@
 """The batch run from raw files to served tables."""
 
+import os
 import random
 
 import pytest
@@ -284,3 +285,16 @@ def test_commits_name_what_was_published(spark, tmp_path):
     assert sorted((r["number"], r["run_id"], r["table"], r["rows"]) for r in rows) == [(1, "r1", "crime_trends", 1), (2, "r2", "crime_trends", 1), (3, "r1", "crime_trends", 1)]
     assert set(store.published("crime_trends")) == {"r1", "r2"}
     assert store.published("crime_trends")["r1"] == next(r["part"] for r in rows if r["number"] == 3)
+
+
+TABLES = os.environ.get("TALLYLINE_TESTDATA", "/root/testdata/sf0.001")
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+@pytest.mark.parametrize("name", ["incidents", "victims", "block_incidents"])
+def test_areas_are_made_before_the_joins(spark, name):
+    """Once per customer or supplier: in the plan the texts are worked on below the last join."""
+    from tallyline.bindings import tables
+
+    plan = getattr(tables, name)(spark, TABLES)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE") > plan.rindex("Join Inner")

@@ -7,7 +7,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.bindings.batch import CELLS, CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, cell_centers, density_rows, offender_areas, rounded, trends_sql, violence
+from tallyline.bindings.batch import CELLS, CORRELATIONS, RATE_ROWS, STATS_DETAIL, STATS_TOP, DENSITY, cell_centers, density_rows, rounded, trends_sql, violence
 from tallyline.bindings.registry import query
 from tallyline.bindings.tables import BLOCKS, VICTIM_KEYWORD, dimension, incidents, order_moments, outcomes, registry, stamp, table, victims
 from tallyline.functions.values import new_run_id
@@ -16,7 +16,7 @@ from tallyline.plans import contracts, correlations, incidents as incident_plan,
 from tallyline.plans.runs import COMPLETED, FAILED, RUNNING, RunStore, ledger_state, row_counts, run_batch
 from tallyline.plans.trends import crime_trends
 from tallyline.serving import reads
-from tallyline.session import path_exists, scratch_path, write_whole
+from tallyline.session import materialise, path_exists, scratch_path, write_whole
 from tallyline.sources import records
 from tallyline.sources.schemas import RAW_SCHEMAS
 
@@ -28,9 +28,8 @@ def _result(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
     seen = (lambda rows: rows.where(F.col("status") == "F")) if run == OLD else (lambda rows: rows)
     if name == "crime_trends":
         return crime_trends(seen(order_moments(spark, folder)))
-    cases = seen(incidents(spark, folder))
     if name == "arrest_rates":
-        return outcome_plan.arrest_rates(outcome_plan.case_tally(cases, outcomes(spark, folder)))
+        return outcome_plan.arrest_rates(_tally(spark.sparkContext.applicationId, folder, run))
     if name == "violence_stats":
         return incident_plan.violence_stats(incident_plan.detail_counts(victims(spark, folder), VICTIM_KEYWORD))
     if name == "sex_offender_density":
@@ -40,8 +39,17 @@ def _result(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
         lines = table(spark, folder, "lineitem")
         centers = cell_centers(clusters.valid_points(lines, F.col("l_discount"), F.col("l_tax")))
         return centers.toDF("cluster_id", "centroid_latitude", "centroid_longitude", "crime_count")
-    tally = outcome_plan.case_tally(cases, outcomes(spark, folder))
-    return correlations.correlations(tally, violence(spark, folder), offender_areas(spark, folder))
+    tally = _tally(spark.sparkContext.applicationId, folder, run)
+    return correlations.correlations(tally, violence(spark, folder), published(spark, folder, "sex_offender_density"))
+
+
+# As in a batch run: the rates and the correlations of a run share one tally.
+@lru_cache(maxsize=None)
+def _tally(application: str, folder: str, run: str) -> DataFrame:
+    spark = SparkSession.getActiveSession()
+    cases = incidents(spark, folder)
+    seen = cases.where(F.col("status") == "F") if run == OLD else cases
+    return materialise(outcome_plan.case_tally(seen, outcomes(spark, folder)))
 
 
 # Kept per application and folder: the given tables do not change while a session runs.

@@ -298,3 +298,14 @@ def test_areas_are_made_before_the_joins(spark, name):
 
     plan = getattr(tables, name)(spark, TABLES)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("RLIKE") > plan.rindex("Join Inner")
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+def test_rates_and_correlations_of_a_run_share_one_tally(spark, monkeypatch):
+    from tallyline.bindings import runs as fixture
+
+    made, tally = [], fixture.outcome_plan.case_tally
+    monkeypatch.setattr(fixture.outcome_plan, "case_tally", lambda *tables: made.append(1) or tally(*tables))
+    folder = f"{TABLES}/."  # a name of its own, so nothing is kept of it yet
+    rows = [fixture._result(spark, folder, name, fixture.NEW).count() for name in ("arrest_rates", "correlations")]
+    assert all(rows) and made == [1]

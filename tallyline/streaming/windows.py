@@ -61,12 +61,18 @@ def keyed_state(spark: SparkSession) -> None:
         spark.conf.set(PROVIDER, ROCKSDB)
 
 
+def _per_second(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    """One row per second, in order."""
+    return pd.concat(parts, ignore_index=True).groupby("t", as_index=False).agg({"n": "sum", "first_id": "min"})
+
+
 class TrailingCounter(StatefulProcessor):
     """The last ``size`` seconds of a key: counts per second and the second of the last emit.
 
     A timer at the end of what the state can still tell removes it, so a key that does
     not come back costs nothing. A micro-batch's rows are taken in batch by batch and
-    merged per second; what is held is as large as the seconds, not as the rows.
+    merged per second as soon as they are as many as the seconds so far; what is held is
+    as large as the seconds, not as the rows, and a row is merged a few times at most.
     """
 
     def __init__(self, size: int, slide: int):
@@ -77,11 +83,13 @@ class TrailingCounter(StatefulProcessor):
         self.state = handle.getValueState("window", "seconds array<long>, counts array<long>, last_emit long, ends long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        fresh = None
+        parts, loose = [], 0
         for frame in rows:
-            part = frame[["t", "n", "first_id"]]
-            both = part if fresh is None else pd.concat([fresh, part], ignore_index=True)
-            fresh = both.groupby("t", as_index=False).agg({"n": "sum", "first_id": "min"})
+            parts.append(frame[["t", "n", "first_id"]])
+            loose += len(frame)
+            if loose >= len(parts[0]):
+                parts, loose = [_per_second(parts)], 0
+        fresh = _per_second(parts)
         stored = self.state.get()
         if stored is None:
             # The key is new or its state is gone; what is behind the watermark cannot be counted any more.

@@ -425,7 +425,7 @@ def test_topic_files_are_even_and_in_time_order(spark):
     assert max(map(len, dates)) <= 2 * sum(map(len, dates)) / len(dates)
 
 
-@pytest.mark.parametrize("name", ["stream_alerts", "stream_counts", "stream_dedupe", "stream_arrival", "stream_live_summary"])
+@pytest.mark.parametrize("name", ["stream_alerts", "stream_counts", "stream_dedupe", "stream_arrival", "stream_live_summary", "stream_hop_counts"])
 def test_micro_batches_do_not_grow_with_the_events(spark, monkeypatch, name):
     """Many files of few events: a micro-batch takes an eighth of them, not one."""
     import os

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyline.bindings.registry import query
 from tallyline.bindings.scalars import HOPS
 from tallyline.bindings.tables import (
-    EVENT_FIELDS, MINIMA, SIZE, SLIDE, THRESHOLD, emits_sql, event_lines, stamp, table,
+    EVENT_FIELDS, MINIMA, SIZE, SLIDE, THRESHOLD, emits_sql, event_line, event_lines, stamp, table,
 )
 from tallyline.operators import trailing
 from tallyline.serving import reads
@@ -272,15 +272,14 @@ def _topic(spark: SparkSession, folder: str, with_arrival: bool = False, again:
     path = scratch_path(spark, "topic")
     rows = table(spark, folder, "events")
     feeds = max(FEEDS, -(-rows.count() // FEED_ROWS))
-    more = {"arrived": F.col("ts").cast("timestamp"), "ident": F.col("event_id")}
+    # Dealt out as plain rows: Spark takes its sample for the ranges of all that stands below them, lines too.
+    placed = rows.withColumn("arrived", F.col("ts").cast("timestamp"))
     if again is not None:
-        more["again"] = again
-    lines = event_lines(spark, folder, broken, more)
-    if again is not None:
-        copies = lines.where("again").withColumn("arrived", F.col("arrived") + F.make_dt_interval(F.lit(100_000)))
-        lines = lines.unionAll(copies)
-    lines = lines.repartitionByRange(feeds, "arrived", "ident")
-    lines.select("value", *(["arrived"] if with_arrival else [])).write.format("json" if with_arrival else "text").save(path)
+        copies = placed.where(again).withColumn("arrived", F.col("arrived") + F.make_dt_interval(F.lit(100_000)))
+        placed = placed.unionAll(copies)
+    placed = placed.repartitionByRange(feeds, "arrived", "event_id")
+    lines = placed.select(event_line(broken).alias("value"), *(["arrived"] if with_arrival else []))
+    lines.write.format("json" if with_arrival else "text").save(path)
     for number, name in enumerate(sorted(folder_names(spark, path, "part-"))):
         set_file_time(spark, f"{path}/part-{name}", 1_000_000_000_000 + 1000 * number)
     return path

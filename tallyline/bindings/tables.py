@@ -178,11 +178,8 @@ EVENT_FIELDS = {
 }
 
 
-def event_lines(
-    spark: SparkSession, folder: str, broken: bool = False, more: dict[str, Column] | None = None
-) -> DataFrame:
-    """Events as JSON lines; with ``broken`` a fixed share of them is damaged. ``more``
-    names columns to stand beside the line."""
+def event_line(broken: bool = False) -> Column:
+    """An event as a JSON line; with ``broken`` a fixed share of them is damaged."""
     ident = F.col("event_id")
     half = ident % 50
     fields = {
@@ -200,9 +197,15 @@ def event_lines(
         fields["arrest"] = F.when(half == 2, F.lit("maybe")).otherwise(fields["arrest"])
         fields["latitude"] = F.when(half == 3, F.lit("north")).otherwise(fields["latitude"])
     whole = F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())))
-    value = F.when(half == 0, F.substring(whole, 1, 20)).otherwise(whole) if broken else whole
+    return F.when(half == 0, F.substring(whole, 1, 20)).otherwise(whole) if broken else whole
+
+
+def event_lines(
+    spark: SparkSession, folder: str, broken: bool = False, more: dict[str, Column] | None = None
+) -> DataFrame:
+    """Events as JSON lines, see :func:`event_line`. ``more`` names columns to stand beside the line."""
     beside = [column.alias(name) for name, column in (more or {}).items()]
-    return table(spark, folder, "events").select(value.alias("value"), *beside)
+    return table(spark, folder, "events").select(event_line(broken).alias("value"), *beside)
 
 
 def emits_sql(source: str = "events") -> str:

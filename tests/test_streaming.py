@@ -425,6 +425,27 @@ def test_topic_files_are_even_and_in_time_order(spark):
     assert max(map(len, dates)) <= 2 * sum(map(len, dates)) / len(dates)
 
 
+def test_topic_makes_each_line_once(spark, monkeypatch):
+    """Spark looks for the borders of the ranges in plain rows, not in the lines."""
+    import os
+
+    from tallyline.bindings import streams as fixture
+
+    folder = os.environ.get("TALLYLINE_TESTDATA", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    made = spark.sparkContext.accumulator(0)
+
+    def as_line(date):
+        made.add(1)
+        return date
+
+    whole = F.date_format
+    monkeypatch.setattr(F, "date_format", lambda *given: F.udf(as_line, "string")(whole(*given)))
+    fixture._topic(spark, folder)
+    assert made.value == spark.read.parquet(f"{folder}/events.parquet").count()
+
+
 @pytest.mark.parametrize("name", ["stream_alerts", "stream_counts", "stream_dedupe", "stream_arrival", "stream_live_summary", "stream_hop_counts"])
 def test_micro_batches_do_not_grow_with_the_events(spark, monkeypatch, name):
     """Many files of few events: a micro-batch takes an eighth of them, not one."""

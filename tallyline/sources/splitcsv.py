@@ -6,7 +6,8 @@ summed up as where it ends for either way to enter it (a function of two states)
 functions of a file's splits are put together by a prefix over (file, start of split),
 which tells how each split is really entered. Then every split glues its lines to
 records by itself, records that cross splits are put together from their parts, and
-``from_csv`` reads each record under the schema.
+``from_csv`` reads each record under the schema. Where the look through finds a record on
+every line, Spark's own scan by lines reads the files instead, only the columns asked for.
 
 The text is scanned twice by Python helpers over Arrow batches; where records cross
 splits a third scan picks their parts out of the splits concerned. Nothing is shuffled
@@ -19,6 +20,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -34,8 +36,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 QUOTE, DELIMITER = '"', ","
 OUTSIDE = -1
 
-# How a split is left if entered outside and inside, and whether a record begins in it either way.
-EFFECTS = "path string, start long, out_end int, in_end int, out_begins boolean, in_begins boolean"
+# How a split is left if entered outside and inside, and whether a record begins in it either way;
+# ``plain`` if each of its lines, entered outside, is a record that a scan by lines reads alike.
+EFFECTS = "path string, start long, out_end int, in_end int, out_begins boolean, in_begins boolean, plain boolean"
+
+# Between any two commas is an even number of quotes: such a line is left as it is entered, outside or inside.
+EVEN = r'^(?:[^"]|"[^",]*")*$'
+# What a scan by lines reads in its own way: lines of white space only, and other ends of lines.
+UNLIKE = r"\r|^[\x00-\x20]+$"
 
 
 def leaves_inside(line: str, inside: bool) -> bool:
@@ -52,8 +60,8 @@ def leaves_inside(line: str, inside: bool) -> bool:
     return inside
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array, bool]]:
-    """Stretches of lines of one split, in order: file, start of the split, lines, whether a quote is among them."""
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array, pa.Array]]:
+    """Stretches of lines of one split, in order: file, start of the split, lines, and which are :data:`EVEN`."""
     for batch in batches:
         starts, paths, lines = batch.column("start"), batch.column("path"), batch.column("value")
         at = 0
@@ -62,29 +70,30 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Arr
             size = pc.index(here, False).as_py()
             size = batch.num_rows - at if size < 0 else size
             stretch = lines.slice(at, size)
-            yield paths[at].as_py(), starts[at].as_py(), stretch, pc.any(pc.match_substring(stretch, QUOTE)).as_py()
+            yield paths[at].as_py(), starts[at].as_py(), stretch, pc.match_substring_regex(stretch, EVEN)
             at += size
 
 
 def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per split; see :data:`EFFECTS`."""
     done: list[tuple] = []
-    key, ends, begins = None, [False, True], [False, False]
-    for path, start, lines, quoted in _lines(batches):
+    key, ends, begins, plain = None, [False, True], [False, False], True
+    for path, start, lines, even in _lines(batches):
         if (path, start) != key:
             if key:
-                done.append((*key, *map(int, ends), *begins))
+                done.append((*key, *map(int, ends), *begins, plain))
             key, ends, begins = (path, start), [False, True], [False, False]
-        if not quoted:
-            begins = [begun or not end for begun, end in zip(begins, ends, strict=True)]
-            continue
-        for line in lines.to_pylist():
-            begins = [begun or not end for begun, end in zip(begins, ends, strict=True)]
-            if QUOTE in line:
-                ends = [leaves_inside(line, end) for end in ends]
+            plain = start > 0 or lines[0].as_py() != ""  # the header is the first line
+        begins = [begun or not end for begun, end in zip(begins, ends, strict=True)]
+        odd = np.flatnonzero(~even.to_numpy(zero_copy_only=False))
+        plain = plain and not len(odd) and not pc.any(pc.match_substring_regex(lines, UNLIKE)).as_py()
+        for at, line in zip(odd, lines.take(pa.array(odd)).to_pylist(), strict=True):
+            ends = [leaves_inside(line, end) for end in ends]
+            if at + 1 < len(lines):  # the next line begins as this one ends
+                begins = [begun or not end for begun, end in zip(begins, ends, strict=True)]
     if key:
-        done.append((*key, *map(int, ends), *begins))
-    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
+        done.append((*key, *map(int, ends), *begins, plain))
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
     columns = list(zip(*done, strict=True)) if done else [[]] * len(kinds)
     names = [field.split()[0] for field in EFFECTS.split(", ")]
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -135,21 +144,21 @@ def _records(layout: dict[str, dict[int, int]], parts: bool):
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["path", "owner", "at", "header", "record"])
 
-        for path, start, lines, quoted in _lines(batches):
+        for path, start, lines, even in _lines(batches):
             if (path, start) != key:
                 if open_lines and parts:
                     yield part()
                 key, open_lines, owner = (path, start), [], entered(path, start)
                 inside, header = owner != OUTSIDE, start == 0
             made: list[str] = []
-            if not quoted and not inside:
-                made = lines.to_pylist()
-                if header and made:
-                    made, header = made[1:], False
+            if not inside and pc.all(even).as_py():
+                whole, header = lines.slice(1) if header else lines, False
+                if len(whole) and not parts:
+                    yield pa.RecordBatch.from_arrays([whole.cast(pa.string())], names=["record"])
             else:
-                for line in lines.to_pylist():
+                for line, same in zip(lines.to_pylist(), even.to_pylist(), strict=True):
                     open_lines.append(line)
-                    inside = leaves_inside(line, inside)
+                    inside = inside if same else leaves_inside(line, inside)
                     if not inside:
                         if owner != OUTSIDE:  # the end of a record that an earlier split began
                             if parts:
@@ -173,6 +182,9 @@ def scan_split(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path)
     placed = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
     effects = materialise(placed.mapInArrow(_effects, EFFECTS))
+    options = {"mode": "PERMISSIVE", "escape": '"'}
+    if effects.agg(F.coalesce(F.bool_and("plain"), F.lit(True)).alias("plain")).first()["plain"]:
+        return spark.read.schema(schema).options(header=True, lineSep="\n", **options).csv(path)
     layout: dict[str, dict[int, int]] = {}
     for row in entries(effects).toLocalIterator():
         layout.setdefault(row["path"], {})[row["start"]] = row["owner"]
@@ -188,6 +200,6 @@ def scan_split(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         records = records.unionByName(glued.where(~F.col("header")).select(whole))
     ended = F.regexp_replace("record", "\r$", "")
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
-    options = {"mode": "PERMISSIVE", "escape": '"', "multiLine": "true"}
-    parsed = records.select(ended.alias("record")).where(F.col("record") != "").select(F.from_csv("record", fields, options).alias("row"))
+    row = F.from_csv("record", fields, {**options, "multiLine": "true"}).alias("row")
+    parsed = records.select(ended.alias("record")).where(F.col("record") != "").select(row)
     return parsed.select(*(F.col("row")[f.name].alias(f.name) for f in schema.fields))

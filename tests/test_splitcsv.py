@@ -137,3 +137,41 @@ def test_texts_are_written_and_scanned_by_many_tasks(spark, tmp_path, monkeypatc
     wanted = rows.select(F.col("doc_id").cast("string"), F.length("text"), F.md5("text")).collect()
     assert found == {d: (n, digest) for d, n, digest in wanted} and len(wanted) == 120
     assert len(list((tmp_path / "documents-split-csv").glob("part-*"))) == 3
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_of_a_line_each_are_read_by_lines(spark, tmp_path, tiny_splits):
+    """No Python and only the columns asked for where the look through finds a record on every line."""
+    draw = random.Random(5)
+    rows = [[draw.choice(["x", "", " padded ", "a 'b'", "é日本", 'say "x"']) for _ in range(3)] for _ in range(300)]
+    with open(tmp_path / "f.csv", "w", newline="", encoding="utf-8") as file:
+        csv.writer(file, lineterminator="\n", quoting=csv.QUOTE_ALL).writerows([["A", "B", "C"], *rows])
+        file.write('\n\n1,2\n1,2,3,4\n"q" x,"r",""\n')
+    made = splitcsv.scan_split(spark, str(tmp_path), SCHEMA)
+    assert "MapInArrow" not in plan_of(made) and made.rdd.getNumPartitions() > 3
+    assert shown(made) == shown(whole(spark, str(tmp_path))) and made.count() == 303
+    assert "struct<a:string>" in plan_of(made.select("a"))
+
+
+@pytest.mark.parametrize("odd", ['a,"b\nc",d\n', "a,b\r\n", "a,b,c\n \t\n", '"a,b",c,d\n'])
+def test_one_other_line_keeps_the_split_scan(spark, tmp_path, tiny_splits, odd):
+    (tmp_path / "f.csv").write_bytes(("A,B,C\n" + '1,"2",3\n' * 200 + odd + '1,"2",3\n' * 200).encode())
+    made = splitcsv.scan_split(spark, str(tmp_path), SCHEMA)
+    assert "MapInArrow" in plan_of(made)
+    assert sum(row == ("1", "2", "3") for row in shown(made)) == 400
+
+
+def test_even_lines_are_left_as_they_are_entered():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    draw = random.Random(7)
+    lines = ["".join(draw.choice('",a ') for _ in range(draw.randrange(9))) for _ in range(3000)]
+    even = pc.match_substring_regex(pa.array(lines), splitcsv.EVEN).to_pylist()
+    for line, same in zip(lines, even, strict=True):
+        assert same == all(piece.count('"') % 2 == 0 for piece in line.split(","))
+        assert not same or [splitcsv.leaves_inside(line, at) for at in (False, True)] == [False, True]
+    assert 300 < sum(even) < 2700

@@ -26,6 +26,7 @@ from tallyline.session import folder_names, path_exists, remove_path, state_widt
 from tallyline.streaming.alerts import alert_documents, alert_rows, anomaly_rows, count_rows
 
 NEWEST_DAYS = 8
+TASK_ROWS = 1_000_000
 TAGS = "written_at timestamp, writer string, batch_id long, day date, batch string"
 
 
@@ -42,7 +43,27 @@ class BatchTable:
     day_of: str
     fmt: str = "parquet"
 
-    def _write(self, rows: DataFrame, batch_id: int, writer: str) -> None:
+    def _sizes(self, rows: DataFrame) -> dict[str | None, int]:
+        """How many rows each day has: a number per day of the batch reaches the driver."""
+        day = F.to_date(F.col(self.day_of)).cast("string")
+        return dict(rows.groupBy(day.alias("day")).count().collect())
+
+    def _gathered(self, tagged: DataFrame, sizes: dict[str | None, int]) -> DataFrame:
+        """Few files per day, side by side: a day goes to one task, one of more than
+        :data:`TASK_ROWS` rows to several, and the days of a batch to all cores. Making
+        folders and files is what many small days cost, and AQE, which goes by bytes,
+        would leave them to one task."""
+        files = {day: -(-n // TASK_ROWS) for day, n in sizes.items()}
+        cores = self.spark.sparkContext.defaultParallelism
+        width = max(1, min(sum(files.values()), max(cores, sum(sizes.values()) // TASK_ROWS)))
+        large = [F.lit(x) for day, n in files.items() if n > 1 for x in (day or "", n)]
+        if not large:
+            return tagged.repartition(width, "day")
+        parts = F.coalesce(F.try_element_at(F.create_map(*large), F.coalesce(F.col("day").cast("string"), F.lit(""))), F.lit(1))
+        return tagged.repartition(width, F.col("day"), F.pmod(F.xxhash64(*self.keys, self.day_of), parts))
+
+    def _write(self, rows: DataFrame, batch_id: int, writer: str, sizes: dict[str | None, int] | None = None) -> None:
+        """``sizes`` tells how many rows a day has at most, where that is known; else they are counted first."""
         taken = sorted(set(rows.columns) & {tag.split()[0] for tag in TAGS.split(", ")})
         if taken:
             raise ValueError(f"column names kept for the table's own use: {taken}")
@@ -55,8 +76,7 @@ class BatchTable:
                 "batch": F.lit(f"{writer}-{batch_id}"),
             }
         )
-        # Few files per day: Spark gathers the rows of a day, and AQE splits a large day.
-        gathered = tagged.hint("rebalance", F.col("day"))
+        gathered = self._gathered(tagged, self._sizes(rows) if sizes is None else sizes)
         (
             gathered.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -176,12 +196,12 @@ class BatchTable:
         taken as stored.
         """
         once = first_per_key(rows, self.keys)
-        day = F.to_date(F.col(self.day_of))
-        days = [row["d"] for row in once.select(day.alias("d")).distinct().collect()]
+        sizes = self._sizes(once)
+        days = [None if day is None else date.fromisoformat(day) for day in sizes]
         mine = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
         known = self.stored(rows, days).where(~mine)
         added = once.join(known.select(*self.keys), list(self.keys), "left_anti").select(*rows.columns)
-        self._write(added, batch_id, writer)
+        self._write(added, batch_id, writer, sizes)
         return self.stored(rows, days).where(F.col("batch") == f"{writer}-{batch_id}").select(*rows.columns)
 
 

@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -245,6 +246,28 @@ def test_batches_touch_their_own_days(spark, tmp_path, monkeypatch):
     assert files and all("day=1970-01-05" in f or "day=1970-01-06" in f for f in files)
 
 
+def test_days_of_a_batch_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    """Many small days go to all cores, a file each; only a large one has several files."""
+    def written():
+        found = [p for p in (tmp_path / "t").rglob("part-*.parquet")]
+        return Counter(p.parent.parent.name for p in found), {p.name.split("-")[1] for p in found}
+
+    table = sinks.BatchTable(spark, str(tmp_path / "t"), ("k",), "at")
+    rows = dated_rows(spark, *((f"a{n}", n, n % 60) for n in range(240)), ("z", 0, None))
+    table.upsert(rows, 0, "q")
+    files, tasks = written()
+    assert len(files) == 61 and set(files.values()) == {1}
+    assert min(2, spark.sparkContext.defaultParallelism) <= len(tasks) <= spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(sinks, "TASK_ROWS", 50)
+    large = dated_rows(spark, *((f"b{n}", n, 3 if n < 400 else None if n < 600 else n) for n in range(620)))
+    table.upsert(large, 0, "q")
+    files, _ = written()
+    assert files["day=1970-01-04"] > 1 and files["day=__HIVE_DEFAULT_PARTITION__"] > 1
+    assert all(n == 1 for day, n in files.items() if day not in ("day=1970-01-04", "day=__HIVE_DEFAULT_PARTITION__"))
+    assert table.stored(large).where("k like 'b%'").select("k", "n", "at").exceptAll(large).isEmpty()
+    assert table.stored(large).where("k like 'b%'").count() == 620
+
+
 def test_fold_keeps_the_winners(spark, tmp_path):
     table = sinks.BatchTable(spark, str(tmp_path / "t"), ("k",), "at")
     for batch, n in enumerate((1, 2, 3)):

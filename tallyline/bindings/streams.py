@@ -23,6 +23,9 @@ from tallyline.streaming import alerts, sinks, summary, windows
 
 WRITER = "tables"
 
+# All events come in a few batches here, each of which spans a large part of all days.
+FOLDERS = "month"
+
 
 def emitted(spark: SparkSession, folder: str) -> DataFrame:
     """Throttled trailing windows of the events, one key per event type."""
@@ -79,7 +82,7 @@ def alert_rows(spark: SparkSession, folder: str) -> DataFrame:
 def _live(application: str, folder: str) -> sinks.AlertStore:
     """All anomalies saved in one batch, then once more: a replay changes nothing."""
     spark = SparkSession.getActiveSession()
-    store = sinks.AlertStore(spark, scratch_path(spark, "live"))
+    store = sinks.AlertStore(spark, scratch_path(spark, "live"), FOLDERS)
     rows = to_parquet(anomalies(spark, folder), scratch_path(spark, "anomalies"))
     for _ in range(2):
         store.save(rows, 0, WRITER)
@@ -154,7 +157,7 @@ def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
         "batch", "district", F.timestamp_seconds("s").alias("window_start"),
         F.timestamp_seconds(F.col("s") + 86400).alias("window_end"), "event_count", F.current_timestamp().alias("updated_at"),
     )
-    target = sinks.BatchTable(spark, scratch_path(spark, "upsert"), ("district", "window_start", "window_end"), "window_end")
+    target = sinks.BatchTable(spark, scratch_path(spark, "upsert"), ("district", "window_start", "window_end"), "window_end", span=FOLDERS)
     kept = to_parquet(shaped, scratch_path(spark, "counts"))
     for batch in (0, 1, 1, 2, 2):
         target.upsert(kept.where(F.col("batch") == batch).drop("batch"), batch, WRITER)
@@ -181,7 +184,7 @@ def insert_if_absent(spark: SparkSession, folder: str) -> DataFrame:
         F.col("batch").alias("third"),
     )
     kept = to_parquet(made, scratch_path(spark, "made"))
-    target = sinks.BatchTable(spark, scratch_path(spark, "alerts"), ("alert_id",), "window_end")
+    target = sinks.BatchTable(spark, scratch_path(spark, "alerts"), ("alert_id",), "window_end", span=FOLDERS)
     for batch in (0, 1, 1, 2):
         part = kept.where(F.col("third") == batch)
         target.insert_absent(part.unionAll(part), batch, WRITER)
@@ -240,7 +243,7 @@ def stream_live_summary(spark: SparkSession, folder: str) -> DataFrame:
         lines = _messages(spark, folder, broken=True)
         parsed = summary.observed_intake(events.parse_events(lines, EVENT_FIELDS))
         emits = windows.trailing_stream(timed(events.accepted(parsed)), "event_type", "moment", "event_id", SIZE, SLIDE)
-        target = sinks.BatchTable(spark, scratch_path(spark, "emits"), ("key", "window_end"), "at")
+        target = sinks.BatchTable(spark, scratch_path(spark, "emits"), ("key", "window_end"), "at", span=FOLDERS)
         placed = summary.observed_emits(emits, MINIMA).withColumn("at", F.timestamp_seconds("window_end"))
         running = sinks.start_batches(placed, target.upsert, scratch_path(spark, "checkpoint"))
         running.awaitTermination()
@@ -310,7 +313,7 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 def stream_hop_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Event-time windows on a stream, updates upserted batch by batch."""
     counts = windows.hop_stream(event_stream(spark, folder), "event_type", "moment", SIZE, SLIDE, "60 days")
-    target = sinks.BatchTable(spark, scratch_path(spark, "hops"), ("event_type", "window_start", "window_end"), "window_start")
+    target = sinks.BatchTable(spark, scratch_path(spark, "hops"), ("event_type", "window_start", "window_end"), "window_start", span=FOLDERS)
     running = sinks.start_batches(counts, target.upsert, scratch_path(spark, "checkpoint"), "update")
     running.awaitTermination()
     shape = spark.createDataFrame([], "event_type string, window_start timestamp, window_end timestamp, event_count long")
@@ -321,7 +324,7 @@ def stream_hop_counts(spark: SparkSession, folder: str) -> DataFrame:
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """The whole speed layer on a stream: parse, keyed trailing counter, bands, sinks."""
     emits = windows.trailing_stream(event_stream(spark, folder), "event_type", "moment", "event_id", SIZE, SLIDE)
-    store = sinks.AlertStore(spark, scratch_path(spark, "alerts"))
+    store = sinks.AlertStore(spark, scratch_path(spark, "alerts"), FOLDERS)
     running = sinks.start_alerts(emits, store, scratch_path(spark, "checkpoint"), minima=MINIMA, threshold=THRESHOLD)
     running.awaitTermination()
     return _shown(store.alerts.latest(_like_alerts(spark)))
@@ -335,7 +338,7 @@ def stream_arrival(spark: SparkSession, folder: str) -> DataFrame:
     moment = events.event_time(F.lit("2001-01-01 00:00:00"), "arrival", F.col("arrived"))
     placed = parsed.withColumns({"moment": moment, "event_id": F.col("event_id").cast("long")})
     emits = windows.trailing_stream(placed, "event_type", "moment", "event_id", SIZE, SLIDE)
-    store = sinks.AlertStore(spark, scratch_path(spark, "arrival"))
+    store = sinks.AlertStore(spark, scratch_path(spark, "arrival"), FOLDERS)
     running = sinks.start_alerts(emits, store, scratch_path(spark, "checkpoint"), minima=MINIMA, threshold=THRESHOLD)
     running.awaitTermination()
     return _shown(store.alerts.latest(_like_alerts(spark)))
@@ -345,7 +348,7 @@ def stream_arrival(spark: SparkSession, folder: str) -> DataFrame:
 def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The live counts the same stream writes: one per emitted window."""
     emits = windows.trailing_stream(event_stream(spark, folder), "event_type", "moment", "event_id", SIZE, SLIDE)
-    store = sinks.AlertStore(spark, scratch_path(spark, "counts"))
+    store = sinks.AlertStore(spark, scratch_path(spark, "counts"), FOLDERS)
     running = sinks.start_alerts(emits, store, scratch_path(spark, "checkpoint"), minima=MINIMA, threshold=THRESHOLD)
     running.awaitTermination()
     return _shown(store.counts.latest(_like_counts(spark)))
@@ -370,7 +373,7 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
         F.date_trunc("hour", "moment").alias("hour"),
     )
     once = windows.once_within(raised, ["alert_id"], "hour", "3650 days")
-    target = sinks.BatchTable(spark, scratch_path(spark, "once"), ("alert_id",), "hour")
+    target = sinks.BatchTable(spark, scratch_path(spark, "once"), ("alert_id",), "hour", span=FOLDERS)
     sinks.start_batches(once, target.upsert, scratch_path(spark, "checkpoint")).awaitTermination()
     shape = spark.createDataFrame([], once.schema)
     return target.stored(shape).select("alert_id", "event_type", stamp("hour").alias("hour"))
@@ -410,7 +413,7 @@ def stream_late(spark: SparkSession, folder: str) -> DataFrame:
     given = events.read_event_stream(spark, "text", f"{path}/*", maxFilesPerTrigger=str(files))
     good = timed(events.accepted(events.parse_events(given, EVENT_FIELDS))).select("event_id", "event_type", "moment")
     marked = windows.marked_late(good, "moment", f"{LATE_SECONDS} seconds")
-    counts = sinks.BatchTable(spark, scratch_path(spark, "on-time"), ("event_type", "window_start"), "window_start")
+    counts = sinks.BatchTable(spark, scratch_path(spark, "on-time"), ("event_type", "window_start"), "window_start", span=FOLDERS)
     late = scratch_path(spark, "late")
     sinks.start_late_split(marked, counts, late, scratch_path(spark, "checkpoint"), "event_type", "moment", SIZE, SIZE).awaitTermination()
     shape = spark.createDataFrame([], "event_type string, window_start timestamp, window_end timestamp, event_count long")

@@ -6,7 +6,8 @@ its own partitions, by overwrite, so a replay of it writes the same files again,
 a query begun afresh does not touch what another one wrote, and nothing that is
 already there is rewritten. A micro-batch lists and reads the folders of its own
 days only, whatever the history. :meth:`BatchTable.fold` puts a closed day into one
-folder.
+folder. Where micro-batches span many days a table takes a folder per month instead
+(``span``): each folder is made, renamed and listed on its own, however few its rows are.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from tallyline.session import folder_names, path_exists, remove_path, state_widt
 from tallyline.streaming.alerts import alert_documents, alert_rows, anomaly_rows, count_rows
 
 NEWEST_DAYS = 8
+# What of a date is set to name the folder it belongs to.
+SPANS: dict[str, dict[str, int]] = {"day": {}, "month": {"day": 1}, "year": {"month": 1, "day": 1}}
 TASK_ROWS = 1_000_000
 TAGS = "written_at timestamp, writer string, batch_id long, day date, batch string"
 
@@ -34,6 +37,8 @@ TAGS = "written_at timestamp, writer string, batch_id long, day date, batch stri
 class BatchTable:
     """A file table written batch by batch; ``day_of`` names a timestamp column.
 
+    ``span`` (of :data:`SPANS`) tells how much time a folder holds. With a month or a year the
+    tag ``day``, and what is said of days below, is the first day of it.
     The names in :data:`TAGS` belong to the table; rows must not use them.
     """
 
@@ -42,11 +47,20 @@ class BatchTable:
     keys: tuple[str, ...]
     day_of: str
     fmt: str = "parquet"
+    span: str = "day"
+
+    def __post_init__(self) -> None:
+        if self.span not in SPANS:
+            raise ValueError(f"unknown span of a folder: {self.span}")
+
+    def _day(self) -> Column:
+        """The day that names a row's folder."""
+        day = F.to_date(F.col(self.day_of))
+        return day if self.span == "day" else F.trunc(day, self.span)
 
     def _sizes(self, rows: DataFrame) -> dict[str | None, int]:
         """How many rows each day has: a number per day of the batch reaches the driver."""
-        day = F.to_date(F.col(self.day_of)).cast("string")
-        return dict(rows.groupBy(day.alias("day")).count().collect())
+        return dict(rows.groupBy(self._day().cast("string").alias("day")).count().collect())
 
     def _gathered(self, tagged: DataFrame, sizes: dict[str | None, int]) -> DataFrame:
         """Few files per day, side by side: a day goes to one task, one of more than
@@ -72,7 +86,7 @@ class BatchTable:
                 "written_at": F.current_timestamp(),
                 "writer": F.lit(writer),
                 "batch_id": F.lit(batch_id).cast("long"),
-                "day": F.to_date(F.col(self.day_of)),
+                "day": self._day(),
                 "batch": F.lit(f"{writer}-{batch_id}"),
             }
         )
@@ -150,10 +164,10 @@ class BatchTable:
         own before the old folder goes, so no row to be kept is missing at any time; a reader
         between the two meets it twice, as after :meth:`fold`. A second run changes nothing.
         """
+        edge = cutoff.date().replace(**SPANS[self.span])
         for day in self.days():
-            if day < cutoff.date():
+            if day < edge:
                 remove_path(self.spark, self._folder(day))
-        edge = cutoff.date()
         if not folder_names(self.spark, self._folder(edge), "batch="):
             return
         rows = self.spark.read.option("basePath", self.path).format(self.fmt).load(self._folder(edge))
@@ -216,20 +230,22 @@ def _ddl(df: DataFrame) -> str:
 
 @dataclass(frozen=True)
 class AlertStore:
-    """The three outputs of the speed layer below one folder."""
+    """The three outputs of the speed layer below one folder. ``span`` is that of the tables
+    by event time, see :class:`BatchTable`; what lies by the time of writing has a folder per day."""
 
     spark: SparkSession
     root: str
+    span: str = "day"
 
     @property
     def counts(self) -> BatchTable:
         return BatchTable(
-            self.spark, f"{self.root}/realtime_district_counts", ("district", "window_start", "window_end"), "window_end"
+            self.spark, f"{self.root}/realtime_district_counts", ("district", "window_start", "window_end"), "window_end", span=self.span
         )
 
     @property
     def alerts(self) -> BatchTable:
-        return BatchTable(self.spark, f"{self.root}/alerts", ("alert_id",), "window_end")
+        return BatchTable(self.spark, f"{self.root}/alerts", ("alert_id",), "window_end", span=self.span)
 
     @property
     def recent(self) -> BatchTable:
@@ -238,7 +254,7 @@ class AlertStore:
 
     @property
     def documents(self) -> BatchTable:
-        return BatchTable(self.spark, f"{self.root}/alert_logs", ("alert_id",), "window_end", "json")
+        return BatchTable(self.spark, f"{self.root}/alert_logs", ("alert_id",), "window_end", "json", self.span)
 
     def save(self, anomalies: DataFrame, batch_id: int, writer: str, source: str = "stream") -> None:
         """Counts always; alerts and their documents only with a severity."""
@@ -335,9 +351,10 @@ def start_late_split(
 
     ``marked`` comes from :func:`windows.marked_late`. One query feeds both, so that each
     event is in one of them. A micro-batch adds its own counts per window as rows of
-    ``counts`` (:func:`summed_parts` adds them up); late events go to ``late_path`` as JSON.
+    ``counts`` (:func:`summed_parts` adds them up); late events go to ``late_path`` as JSON,
+    in folders of the same span.
     """
-    late_rows = BatchTable(marked.sparkSession, late_path, (), time, "json")
+    late_rows = BatchTable(marked.sparkSession, late_path, (), time, "json", counts.span)
 
     def save(batch: DataFrame, batch_id: int, writer: str) -> None:
         parts = hop_counts(batch.where(~F.col("late")), key, time, size, slide)

@@ -268,6 +268,60 @@ def test_days_of_a_batch_are_written_side_by_side(spark, tmp_path, monkeypatch):
     assert table.stored(large).where("k like 'b%'").count() == 620
 
 
+@pytest.mark.parametrize(("span", "first_days"), [("month", ["2024-01-01", "2024-02-01", "2024-03-01"]), ("year", ["2024-01-01"])])
+def test_folders_of_a_longer_span_hold_the_same_rows(spark, tmp_path, span, first_days):
+    """A batch makes a folder per month or year, not per day; writing, reading and expiry agree with days."""
+    begin = 19723  # 2024-01-01
+    rows = dated_rows(spark, *((f"a{n}", n, begin + n % 70) for n in range(140)), ("z", 0, None))
+    shape, kept = like(spark, rows), []
+    for kind in ("day", span):
+        table = sinks.BatchTable(spark, str(tmp_path / kind), ("k",), "at", span=kind)
+        table.upsert(rows, 0, "q")
+        table.upsert(rows, 0, "q")
+        table.upsert(rows.where("n < 3").withColumn("n", F.col("n") + 1000), 1, "q")
+        added = table.insert_absent(dated_rows(spark, ("a5", 9, begin + 5), ("new", 9, begin + 69)), 2, "q")
+        assert [r["k"] for r in added.collect()] == ["new"]
+        page = {r["k"] for r in table.newest(shape, 5).collect()}
+        assert {"a69", "a139", "new"} <= page
+        if kind == span:
+            assert [d.isoformat() for d in table.days()] == first_days[::-1]
+            assert len(list((tmp_path / kind).glob("day=*/batch=q-0"))) == len(first_days) + 1
+            table.fold(shape, table.days()[-1])
+        all_rows = sorted(map(tuple, table.latest(shape).collect()))
+        for _ in range(2):
+            table.expire(datetime(2024, 2, 14, 0, 0))
+        kept.append((all_rows, sorted(map(tuple, table.latest(shape).collect()))))
+    assert kept[0] == kept[1]
+    assert len(kept[0][0]) == 142 and {k for k, *_ in kept[0][1]} == {"z", "new"} | {f"a{n}" for n in range(140) if n % 70 >= 44}
+    with pytest.raises(ValueError, match="span"):
+        sinks.BatchTable(spark, str(tmp_path / "odd"), ("k",), "at", span="week")
+
+
+def test_stream_hop_counts_makes_no_folder_per_day(spark, tmp_path, monkeypatch):
+    """Events of two years: the folders are as many as the months, the rows those of the batch twin."""
+    from tallyline.bindings import streams as fixture
+
+    made = spark.range(400).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(1704067200 + F.col("id") * 155_000).alias("ts"), F.col("id").alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"),
+    )
+    made.write.parquet(str(tmp_path / "events.parquet"))
+    tables, real = [], sinks.start_batches
+
+    def watched(rows, save, *rest, **more):
+        tables.append(save.__self__)
+        return real(rows, save, *rest, **more)
+
+    monkeypatch.setattr(sinks, "start_batches", watched)
+    got = fixture.stream_hop_counts(spark, str(tmp_path))
+    twin = hops.hop_counts(made, "event_type", "ts", fixture.SIZE, fixture.SLIDE)
+    twin = twin.withColumns({c: fixture.stamp(c) for c in ("window_start", "window_end")}).select(*got.columns)
+    assert got.exceptAll(twin).isEmpty() and got.count() == twin.count() == 400 * 6
+    (table,) = tables
+    assert 20 <= len(table.days()) <= 25
+    assert len(list(Path(table.path.removeprefix("file:")).glob("day=*/batch=*"))) <= 25 + fixture.FEEDS
+
+
 def test_fold_keeps_the_winners(spark, tmp_path):
     table = sinks.BatchTable(spark, str(tmp_path / "t"), ("k",), "at")
     for batch, n in enumerate((1, 2, 3)):
